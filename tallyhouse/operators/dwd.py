@@ -12,7 +12,7 @@ from tallyhouse.functions import columns as c
 from tallyhouse.functions import values as v
 from tallyhouse.functions.bands import DetailRules, OrderRules
 from tallyhouse.functions.measures import count_of, count_rows
-from tallyhouse.operators.joins import DimSpec, fits_broadcast, left_join, widen
+from tallyhouse.operators.joins import HOT_SHARE, DimSpec, fits_broadcast, split_left_join, widen
 
 # Dimension columns, by their names in the dimension, and their names in the facts
 CUSTOMER = {"CustomerName": "CustomerName", "CustomerType": "CustomerType"}
@@ -125,17 +125,17 @@ def dwd_orderdetails(
     if orders is not None:
         wide = _with_orders(wide, orders, customers, dt)
     if products is not None:
-        wide = widen(wide, [DimSpec(products, ("ProductID", "ProductID"), PRODUCT, dt.get("products"))], SPREAD)
+        # categories are standardised on the products, not once per line
+        standard = products.withColumn("Category", c.standardised(F.col("Category"), categories))
+        wide = widen(wide, [DimSpec(standard, ("ProductID", "ProductID"), PRODUCT, dt.get("products"))], SPREAD)
     if warehouses is not None:
         dims = [DimSpec(warehouses, ("WarehouseID", "WarehouseID"), WAREHOUSE, dt.get("warehouses"))]
         if factories is not None:
             dims.append(DimSpec(factories, ("FactoryID", "FactoryID"), FACTORY, dt.get("factories")))
         wide = widen(wide, dims, SPREAD).drop("FactoryID")
-    renamed = {"OrderDetailStatus": c.standardised(F.col("Status"), detail_statuses)}
-    if products is not None:
-        filled = F.coalesce("ProductCategory", F.lit(v.UNKNOWN_CATEGORY))
-        renamed["ProductCategory"] = c.standardised(filled, categories)
-    clean = c.with_defaults(wide, DETAIL_DEFAULTS).withColumns({**renamed, **c.line_amounts()})
+    clean = c.with_defaults(wide, DETAIL_DEFAULTS).withColumns(
+        {"OrderDetailStatus": c.standardised(F.col("Status"), detail_statuses), **c.line_amounts()}
+    )
     derived = clean.withColumns(
         {
             "PriceCategory": rules.price.of(F.col("UnitPrice")),
@@ -148,10 +148,9 @@ def dwd_orderdetails(
             "DataQualityLevel", rules.quality.of(F.col("DataQualityScore"))
         )
     if warehouses is not None:
-        efficiency = efficiency_by_name(details, warehouses, dt.get("warehouses"), detail_statuses)
-        # one row per warehouse name: never more than the warehouses, plus the unknown one
-        small = fits_broadcast(warehouses)
-        derived = with_efficiency(derived, efficiency, small=small)
+        by_name = lines_by_name(details, warehouses, dt.get("warehouses"), detail_statuses)
+        # a row per warehouse name: never more than the warehouses, plus the unknown one
+        derived = with_efficiency(derived, by_name, small=fits_broadcast(warehouses))
     return derived.withColumns(c.audit_columns(batch_date))
 
 
@@ -179,16 +178,16 @@ def _with_orders(
     return widen(details, [DimSpec(known, ("OrderID", "OrderID"), names)], SPREAD)
 
 
-def efficiency_by_name(
+def lines_by_name(
     details: DataFrame,
     warehouses: DataFrame,
     dt: str | None = None,
     statuses: Mapping[str, str] = v.DETAIL_STATUS,
 ) -> DataFrame:
-    """W1 by warehouse name: share of delivered lines, in percent.
+    """Lines and delivered lines by warehouse name, from the raw lines.
 
-    Lines are counted by warehouse key before the names are looked up, so neither a
-    busy warehouse nor the lines without one end up in a single task.
+    Counted by warehouse key before the names are looked up, so neither a busy
+    warehouse nor the lines without one end up in a single task.
     """
     counted = (
         details.select("WarehouseID", c.standardised(F.col("Status"), statuses).alias("state"))
@@ -197,17 +196,22 @@ def efficiency_by_name(
     )
     dim = DimSpec(warehouses, ("WarehouseID", "WarehouseID"), {"WarehouseName": "WarehouseName"}, dt)
     named = counted.join(dim.right("WarehouseID"), "WarehouseID", "left")
-    return (
-        named.groupBy(F.coalesce("WarehouseName", F.lit(v.UNKNOWN_WAREHOUSE)).alias("WarehouseName"))
-        .agg(F.sum("lines").alias("lines"), F.sum("delivered").alias("delivered"))
-        .select("WarehouseName", (F.try_divide("delivered", "lines") * 100).alias("WarehouseEfficiency"))
+    return named.groupBy(F.coalesce("WarehouseName", F.lit(v.UNKNOWN_WAREHOUSE)).alias("WarehouseName")).agg(
+        F.sum("lines").alias("lines"), F.sum("delivered").alias("delivered")
     )
 
 
-def with_efficiency(lines: DataFrame, efficiency: DataFrame, *, small: bool) -> DataFrame:
+def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> DataFrame:
+    """Share of delivered lines of the same warehouse name, in percent."""
+    efficiency = by_name.select(
+        "WarehouseName", (F.try_divide("delivered", "lines") * 100).alias("WarehouseEfficiency")
+    )
     if small:
         return lines.join(F.broadcast(efficiency), "WarehouseName", "left")
-    return left_join(lines, efficiency, "WarehouseName", SPREAD)
+    # the counts at hand say which names are hot: at most 1 / HOT_SHARE of them
+    total = by_name.agg(F.sum("lines")).scalar()
+    hot = by_name.filter(F.col("lines") > total * HOT_SHARE).select("WarehouseName").collect()
+    return split_left_join(lines, efficiency, "WarehouseName", SPREAD, [row[0] for row in hot])
 
 
 def warehouse_efficiency(lines: DataFrame) -> DataFrame:
@@ -216,9 +220,7 @@ def warehouse_efficiency(lines: DataFrame) -> DataFrame:
     Equal to a window over the whole warehouse, without moving its lines to one task.
     """
     lines = lines.drop("WarehouseEfficiency")
-    by_name = (
-        lines.groupBy("WarehouseName")
-        .agg(count_rows().alias("lines"), count_of("OrderDetailStatus", "Delivered").alias("delivered"))
-        .select("WarehouseName", (F.try_divide("delivered", "lines") * 100).alias("WarehouseEfficiency"))
+    by_name = lines.groupBy("WarehouseName").agg(
+        count_rows().alias("lines"), count_of("OrderDetailStatus", "Delivered").alias("delivered")
     )
-    return left_join(lines, by_name, "WarehouseName", SPREAD)
+    return with_efficiency(lines, by_name, small=fits_broadcast(by_name))

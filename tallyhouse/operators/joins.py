@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key holding at least this share of the fact's rows is split over all reducers.
@@ -46,15 +46,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Every key that holds more than ``share`` of the rows, in one pass.
+def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Every key that holds more than ``share`` of the rows, in one pass over that column.
 
-    The frequent-item sketch has room for ``1 / share`` keys, so the result never
-    has more rows than that, whatever the size of the fact.  It may also name keys
-    that are not hot: they are only split for nothing.
+    The frequent-item sketch has room for ``1 / share`` keys, so no more than that
+    come to the driver, whatever the size of the fact.  It may also name keys that
+    are not hot: they are only split for nothing.
     """
-    items = fact.filter(F.col(key).isNotNull()).select(key).freqItems([key], share)
-    return items.select(F.explode(F.col(f"{key}_freqItems")).alias(key))
+    known = fact.filter(F.col(key).isNotNull()).select(key)
+    return known.freqItems([key], share).first()[0] or []
 
 
 def split_left_join(
@@ -62,41 +62,37 @@ def split_left_join(
     right: DataFrame,
     key: str,
     spread_by: Iterable[str],
-    *,
-    share: float = HOT_SHARE,
+    hot: list,
     splits: int | None = None,
 ) -> DataFrame:
     """Left join on ``key`` between two large sides, hot and NULL keys spread out.
 
     Rows of a hot key go to ``splits`` reducers, chosen by a hash of ``spread_by``,
-    and only the matching right rows are copied to all of them.  Rows with a NULL
-    key have no match and are spread as well.  All other rows keep slot 0.
+    and only the right rows of hot keys are copied to all of them.  Rows with a NULL
+    key have no match and are spread as well.  All other rows keep slot 0.  The hot
+    keys are literals and the slot depends on the row alone: both sides agree on
+    them, and a task that runs again sends its rows to the same place.
     """
-    spark = fact.sparkSession
-    splits = splits or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # bounded by 1 / share rows, see hot_keys
-    hot = F.broadcast(hot_keys(fact, key, share).select(F.col(key).alias("__hot")))
-    is_hot = F.col("__hot").isNotNull()
+    splits = splits or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(splits)).cast("int")
-    left = (
-        fact.join(hot, F.col(key) == F.col("__hot"), "left")
-        .withColumn("__slot", F.when(is_hot | F.col(key).isNull(), slot).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
+    left = fact.withColumn("__slot", F.when(is_hot | F.col(key).isNull(), slot).otherwise(F.lit(0)))
     every_slot = F.sequence(F.lit(0), F.lit(splits - 1))
-    copies = (
-        right.join(hot, F.col(key) == F.col("__hot"), "left")
-        .withColumn("__slot", F.explode(F.when(is_hot, every_slot).otherwise(F.array(F.lit(0)))))
-        .drop("__hot")
-    )
+    copies = right.withColumn("__slot", F.explode(F.when(is_hot, every_slot).otherwise(F.array(F.lit(0)))))
     return left.join(copies, [key, "__slot"], "left").drop("__slot")
 
 
-def left_join(fact: DataFrame, right: DataFrame, key: str, spread_by: Iterable[str]) -> DataFrame:
-    """Left join on ``key``: plain while Spark can broadcast the right side, else split."""
+def left_join(
+    fact: DataFrame, right: DataFrame, key: str, spread_by: Iterable[str], keys_of: DataFrame | None = None
+) -> DataFrame:
+    """Left join on ``key``: plain while Spark can broadcast the right side, else split.
+
+    ``keys_of`` holds the same keys as the fact at less cost, to look for hot ones.
+    """
     if fits_broadcast(right):
         return fact.join(right, key, "left")
-    return split_left_join(fact, right, key, spread_by)
+    hot = hot_keys(fact if keys_of is None else keys_of, key)
+    return split_left_join(fact, right, key, spread_by, hot)
 
 
 def widen(fact: DataFrame, dims: Iterable[DimSpec], spread_by: Iterable[str]) -> DataFrame:
@@ -108,7 +104,10 @@ def widen(fact: DataFrame, dims: Iterable[DimSpec], spread_by: Iterable[str]) ->
     spread_by = list(spread_by)
 
     def step(left: DataFrame, dim: DimSpec) -> DataFrame:
-        return left_join(left, dim.right(dim.on[0]), dim.on[0], spread_by)
+        key = dim.on[0]
+        # the joins made so far do not change the keys the fact brought along
+        keys_of = fact if key in fact.columns else None
+        return left_join(left, dim.right(key), key, spread_by, keys_of)
 
     return reduce(step, dims, fact)
 
@@ -120,6 +119,3 @@ def require_unique(df: DataFrame, *keys: str) -> DataFrame:
         raise ValueError(f"key {', '.join(keys)} is not unique")
     return df
 
-
-def null_safe(left: str, right: str) -> Column:
-    return F.col(left).eqNullSafe(F.col(right))

@@ -109,8 +109,13 @@ def grade_distribution(kpi: DataFrame) -> DataFrame:
     return kpi.groupBy("performance_grade").agg(m.count_rows().alias("day_count"))
 
 
+def printed(column: str, pattern: str) -> Column:
+    """A number as text; halves are rounded to the even digit."""
+    return F.call_function("format_number", F.col(column), F.lit(pattern))
+
+
 def percent_text(column: str) -> Column:
-    return F.format_string("%.1f%%", F.col(column))
+    return F.concat(printed(column, "0.0"), F.lit("%"))
 
 
 def report_rows(kpi: DataFrame) -> DataFrame:
@@ -126,22 +131,32 @@ def report_rows(kpi: DataFrame) -> DataFrame:
     ).orderBy(F.desc("order_date"))
 
 
+def labelled(columns: Mapping[str, Column], between: str) -> Column:
+    return F.concat_ws(between, *(F.concat(F.lit(f"{name}: "), text) for name, text in columns.items()))
+
+
 def basic_report(kpi: DataFrame) -> DataFrame:
     """The statistics as one row of text, for readers without another report.
 
     ``kpi`` is a window of days (``kpi_window``), so its lines fit into one row.
     """
-
-    def one_line(df: DataFrame) -> Column:
-        return F.to_json(F.struct(*df.columns))
-
-    facts = kpi_context(kpi)
-    grades = grade_distribution(kpi)
+    plain = ("day_count", "first_date", "last_date", "total_items", "total_amount")
+    means = ("avg_daily_items", "avg_daily_amount", "avg_item_value")
+    rates = ("avg_delivery_rate", "avg_cancellation_rate", "avg_discount_rate", "avg_high_value_rate")
+    trends = ("items_trend", "amount_trend", "delivery_trend")
+    facts = {
+        **{name: F.col(name).cast("string") for name in plain},
+        **{name: printed(name, "0.00") for name in means},
+        **{name: percent_text(name) for name in rates},
+        **{name: F.col(name) for name in trends},
+    }
+    overview = kpi_context(kpi).select(labelled(facts, "\n").alias("text")).scalar()
+    grade = labelled({"grade": F.col("performance_grade"), "days": F.col("day_count").cast("string")}, ", ")
+    by_grade = grade_distribution(kpi).agg(F.array_join(F.array_sort(F.collect_list(grade)), "\n").alias("text"))
     days = report_rows(kpi)
-    overview = facts.select(one_line(facts).alias("x")).scalar()
-    by_grade = grades.agg(F.array_join(F.sort_array(F.collect_list(one_line(grades))), "\n").alias("x")).scalar()
-    in_order = F.sort_array(F.collect_list(F.struct("order_date", one_line(days).alias("line"))), asc=False)
-    by_day = days.agg(F.array_join(F.transform(in_order, lambda d: d["line"]), "\n").alias("x")).scalar()
+    day = labelled({name: F.col(name) for name in days.columns}, ", ")
+    # each line starts with its date
+    by_day = days.agg(F.array_join(F.sort_array(F.collect_list(day), asc=False), "\n").alias("text"))
     advice = "\n".join(
         [
             "Watch the delivery and cancellation rates.",
@@ -150,6 +165,6 @@ def basic_report(kpi: DataFrame) -> DataFrame:
             "Keep the performance grade up.",
         ]
     )
-    parts = [("Overview", overview), ("Grades", by_grade), ("Days", by_day), ("Next steps", F.lit(advice))]
-    text = F.concat_ws("\n\n", *(F.concat(F.lit(f"# {title}\n"), body) for title, body in parts))
+    parts = {"Overview": overview, "Grades": by_grade.scalar(), "Days": by_day.scalar(), "Next steps": F.lit(advice)}
+    text = F.concat_ws("\n\n", *(F.concat(F.lit(f"# {title}\n"), body) for title, body in parts.items()))
     return kpi.sparkSession.range(1).select(text.alias("report"))

@@ -121,12 +121,18 @@ def window_by_dt(df: DataFrame, as_of: str, days: int = 30, part_col: str = "dt"
     return df.filter(F.col(part_col).between(days_before(as_of, days), as_of))
 
 
-def latest_snapshot(df: DataFrame, as_of: str, part_col: str = "dt") -> DataFrame:
+def latest_snapshot(
+    df: DataFrame, as_of: str, part_col: str = "dt", dates: Iterable[str] | None = None
+) -> DataFrame:
     """Rows of the newest partition not after ``as_of``.
 
     For facts loaded as full snapshots: every order appears in every partition, so
-    adding partitions up would count it many times.
+    adding partitions up would count it many times.  With the table's ``dates`` at
+    hand the choice is a literal and nothing has to be read to make it.
     """
+    if dates is not None:
+        newest = max((d for d in dates if d <= as_of), default=None)
+        return df.filter(F.col(part_col) == F.lit(newest))
     known = df.filter(F.col(part_col) <= as_of)
     return known.filter(F.col(part_col) == known.agg(F.max(part_col)).scalar())
 

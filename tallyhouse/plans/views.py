@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import rollups, views
+from tallyhouse.operators.snapshots import latest_snapshot
+from tallyhouse.sinks.tables import list_partitions
 
 
 @dataclass(frozen=True)
@@ -68,16 +70,15 @@ def register_views(
     Views are session views over DataFrame functions.  ``databases`` says where a
     base table lives, by its name up to the first underscore (``dwd``, ``dws``).
     """
-    from tallyhouse.operators.snapshots import latest_snapshot
-
     available, made = set(available), []
     for name, view in VIEWS.items():
         if view.base not in available:
             continue
         database = (databases or {}).get(view.base.split("_")[0])
-        base = spark.table(f"{database}.{view.base}" if database else view.base)
+        table = f"{database}.{view.base}" if database else view.base
+        base = spark.table(table)
         if view.base in KEEPS_RUNS and "dt" in base.columns:
-            base = latest_snapshot(base, as_of)
+            base = latest_snapshot(base, as_of, dates=list_partitions(spark, table))
         view.make(base, as_of).createOrReplaceTempView(name)
         made.append(name)
     return made

@@ -30,9 +30,11 @@ class Layout:
     snapshots: bool = False
     window_days: int = 30
 
-    def recent(self, fact: DataFrame, as_of: str) -> DataFrame:
+    def recent(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
+        """The rows the aggregates of a date stand for, each order or line once."""
+        fact = spark.table(table)
         if self.snapshots:
-            return latest_snapshot(fact, as_of)
+            return latest_snapshot(fact, as_of, dates=sink.list_partitions(spark, table))
         return window_by_dt(fact, as_of, self.window_days)
 
 
@@ -78,8 +80,8 @@ def build_dwd_orderdetails(
 
 def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout = Layout()) -> list[str]:
     """A1 - A3 for a date; returns the tables that got rows."""
-    fact = spark.table(f"{layout.dwd}.dwd_orders")
-    recent, today = layout.recent(fact, as_of), fact.filter(F.col("dt") == as_of)
+    table = f"{layout.dwd}.dwd_orders"
+    recent, today = layout.recent(spark, table, as_of), spark.table(table).filter(F.col("dt") == as_of)
     return _write(
         spark,
         layout,
@@ -94,8 +96,8 @@ def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout = Layout())
 
 def build_dws_orderdetails(spark: SparkSession, as_of: str, layout: Layout = Layout()) -> list[str]:
     """A4 - A6 for a date; returns the tables that got rows."""
-    fact = spark.table(f"{layout.dwd}.dwd_orderdetails")
-    recent, today = layout.recent(fact, as_of), fact.filter(F.col("dt") == as_of)
+    table = f"{layout.dwd}.dwd_orderdetails"
+    recent, today = layout.recent(spark, table, as_of), spark.table(table).filter(F.col("dt") == as_of)
     return _write(
         spark,
         layout,
