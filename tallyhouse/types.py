@@ -10,7 +10,7 @@ LINE_TOTAL = "decimal(20,4)"  # quantity x unit price
 LINE_AMOUNT = "decimal(24,8)"  # line money after a percentage
 AMOUNT = "decimal(28,2)"  # summed money and quantities
 SMALL_AMOUNT = "decimal(10,2)"  # single small money values
-AVERAGE = "decimal(18,2)"
+AVERAGE = "decimal(20,2)"
 FREQUENCY = "decimal(20,4)"
 DAYS = "decimal(9,2)"
 RATE = "double"  # percent, 0 to 100
