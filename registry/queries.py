@@ -216,6 +216,11 @@ def rows_per_partition(spark, sf):
     return rollups.rows_per_partition(by_order_date(ods(spark, sf, "orders")))
 
 
+@query
+def unique_customers(spark, sf):
+    return rollups.unique_count(ods(spark, sf, "orders"), "CustomerID")
+
+
 @query
 def discount_levels(spark, sf):
     return rollups.discount_levels(lines_fact(spark, sf))

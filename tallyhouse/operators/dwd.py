@@ -12,7 +12,7 @@ from tallyhouse.functions import columns as c
 from tallyhouse.functions import values as v
 from tallyhouse.functions.bands import DetailRules, OrderRules
 from tallyhouse.functions.measures import count_of, count_rows
-from tallyhouse.operators.joins import HOT_SHARE, DimSpec, fits_broadcast, split_left_join, widen
+from tallyhouse.operators.joins import HOT_SHARE, DimSpec, HotKeys, fits_broadcast, split_left_join, widen
 
 # Dimension columns, by their names in the dimension, and their names in the facts
 CUSTOMER = {"CustomerName": "CustomerName", "CustomerType": "CustomerType"}
@@ -211,7 +211,7 @@ def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> Dat
     # the counts at hand say which names are hot: at most 1 / HOT_SHARE of them
     total = by_name.agg(F.sum("lines")).scalar()
     hot = by_name.filter(F.col("lines") > total * HOT_SHARE).select("WarehouseName").collect()
-    return split_left_join(lines, efficiency, "WarehouseName", SPREAD, [row[0] for row in hot])
+    return split_left_join(lines, efficiency, "WarehouseName", SPREAD, HotKeys([row[0] for row in hot]))
 
 
 def warehouse_efficiency(lines: DataFrame) -> DataFrame:

@@ -46,15 +46,35 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Every key that holds more than ``share`` of the rows, in one pass over that column.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys of a fact too frequent for one task, and whether rows without a key are."""
+
+    keys: list
+    nulls: bool = False
+
+    def __bool__(self) -> bool:
+        return bool(self.keys) or self.nulls
+
+    def __contains__(self, key: object) -> bool:
+        return key in self.keys
+
+
+def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
+    """The keys holding at least ``share`` of the rows, from two passes over one column.
 
-    The frequent-item sketch has room for ``1 / share`` keys, so no more than that
-    come to the driver, whatever the size of the fact.  It may also name keys that
-    are not hot: they are only split for nothing.
+    A frequent-item sketch names up to ``1 / share`` candidates, all frequent keys
+    among them; counting the candidates leaves the frequent ones.  At most that many
+    values come to the driver, whatever the size of the fact.
     """
-    known = fact.filter(F.col(key).isNotNull()).select(key)
-    return known.freqItems([key], share).first()[0] or []
+    keys = fact.select(key)
+    candidates = keys.filter(F.col(key).isNotNull()).freqItems([key], share).first()[0] or []
+    # one group per candidate, one for the rows without a key, one for all others
+    candidate = F.when(F.col(key).isin(candidates), F.col(key))
+    groups = keys.groupBy(candidate.alias("key"), F.col(key).isNull().alias("none")).count().collect()
+    enough = share * sum(g["count"] for g in groups)
+    hot = [g for g in groups if g["count"] >= enough]
+    return HotKeys([g["key"] for g in hot if g["key"] is not None], any(g["none"] for g in hot))
 
 
 def split_left_join(
@@ -62,19 +82,19 @@ def split_left_join(
     right: DataFrame,
     key: str,
     spread_by: Iterable[str],
-    hot: list,
+    hot: HotKeys,
     splits: int | None = None,
 ) -> DataFrame:
-    """Left join on ``key`` between two large sides, hot and NULL keys spread out.
+    """Left join on ``key`` between two large sides, hot keys spread out.
 
     Rows of a hot key go to ``splits`` reducers, chosen by a hash of ``spread_by``,
-    and only the right rows of hot keys are copied to all of them.  Rows with a NULL
+    and only the right rows of hot keys are copied to all of them.  Rows without a
     key have no match and are spread as well.  All other rows keep slot 0.  The hot
     keys are literals and the slot depends on the row alone: both sides agree on
     them, and a task that runs again sends its rows to the same place.
     """
     splits = splits or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    is_hot = F.col(key).isin(hot.keys) if hot.keys else F.lit(False)
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(splits)).cast("int")
     left = fact.withColumn("__slot", F.when(is_hot | F.col(key).isNull(), slot).otherwise(F.lit(0)))
     every_slot = F.sequence(F.lit(0), F.lit(splits - 1))
@@ -85,14 +105,16 @@ def split_left_join(
 def left_join(
     fact: DataFrame, right: DataFrame, key: str, spread_by: Iterable[str], keys_of: DataFrame | None = None
 ) -> DataFrame:
-    """Left join on ``key``: plain while Spark can broadcast the right side, else split.
+    """Left join on ``key``, split if the right side is too large to broadcast and keys are hot.
 
+    A plain join in all other cases, so that tables bucketed by the key stay in place.
     ``keys_of`` holds the same keys as the fact at less cost, to look for hot ones.
     """
-    if fits_broadcast(right):
-        return fact.join(right, key, "left")
-    hot = hot_keys(fact if keys_of is None else keys_of, key)
-    return split_left_join(fact, right, key, spread_by, hot)
+    if not fits_broadcast(right):
+        hot = hot_keys(fact if keys_of is None else keys_of, key)
+        if hot:
+            return split_left_join(fact, right, key, spread_by, hot)
+    return fact.join(right, key, "left")
 
 
 def widen(fact: DataFrame, dims: Iterable[DimSpec], spread_by: Iterable[str]) -> DataFrame:

@@ -162,6 +162,11 @@ def rows_per_partition(df: DataFrame, part_col: str = "dt") -> DataFrame:
     return df.groupBy(part_col).agg(m.count_rows().alias("record_count")).orderBy(part_col)
 
 
+def unique_count(df: DataFrame, column: str) -> DataFrame:
+    """Rows and distinct values of a column."""
+    return df.agg(m.count_rows().alias("record_count"), F.count_distinct(column).alias("unique_count"))
+
+
 def discount_levels(lines: DataFrame, bulk_quantity: int = 100) -> DataFrame:
     """Lines, bulk lines and money per discount level."""
     return lines.groupBy(discount_level(F.col("Discount")).alias("discount_level")).agg(

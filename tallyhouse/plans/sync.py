@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.snapshots import delta, high_water_mark, stamp
 from tallyhouse.sinks import tables as sink
+from tallyhouse.sources.jdbc import JdbcOptions, read_partitioned, read_table
+from tallyhouse.sources.tables import SOURCE_TABLES
 
-SUMMARY = "table_name string, record_count bigint, status string, processed_date timestamp"
 MODES = ("incremental", "full")
 KEPT = ("keep_history", "latest_only")
 
@@ -43,6 +44,52 @@ class TableSpec:
 Reader = Callable[[SparkSession, TableSpec], DataFrame]
 
 
+def jdbc_reader(opts: JdbcOptions, parallel: int = 1) -> Reader:
+    """Reads a spec's source over JDBC, the known columns of a known table.
+
+    With ``parallel`` a known table is read in that many ranges of its key.
+    """
+
+    def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
+        known = SOURCE_TABLES.get(spec.source.split(".")[-1].lower())
+        if known is None:
+            return read_table(spark, opts, spec.source)
+        if parallel > 1:
+            rows = read_partitioned(spark, opts, spec.source, known["key"], parallel)
+        else:
+            rows = read_table(spark, opts, spec.source)
+        return rows.select(*known["columns"].split())
+
+    return read
+
+
+def default_specs(database: str = "ods") -> list[TableSpec]:
+    """The tables of the business with the way each is copied."""
+    # ---- Fixed values: days of history kept, None for all; "latest" keeps no history
+    kept = {
+        "Orders": None,
+        "OrderDetails": None,
+        "InventoryTransactions": None,
+        "Customers": 90,
+        "Products": 180,
+        "Warehouses": "latest",
+        "Employees": 365,
+        "Factories": "latest",
+        "Inventory": "latest",
+    }
+    return [
+        TableSpec(
+            source=name,
+            target=f"{database}.{name}",
+            inc_col=SOURCE_TABLES[name.lower()]["changed"],
+            mode="full",
+            strategy="latest_only" if days == "latest" else "keep_history",
+            keep_days=None if days == "latest" else days,
+        )
+        for name, days in kept.items()
+    ]
+
+
 def mark_before(spark: SparkSession, spec: TableSpec, as_of: str) -> object | None:
     """The newest change the target holds from earlier runs, None for a full read.
 

@@ -81,7 +81,9 @@ def sized(df: DataFrame, *by: str) -> DataFrame:
     """K9: files of the advised size, whatever the number of tasks before.
 
     Spark joins small pieces and splits a large partition into several files while
-    the job runs, so one partition with most of the rows is no single task.
+    the job runs, so one partition with most of the rows is no single task.  This
+    moves all rows once: worth it for rows of many partitions in every task, not for
+    one partition written by well-filled tasks.
     """
     return df.hint("rebalance", *by)
 
@@ -114,11 +116,12 @@ def write_table(
     path: str | None = None,
     codec: str = CODEC,
     max_records: int | None = None,
+    rebalance: bool = False,
 ) -> WriteResult:
     """K2, K5, K6: a table without partitions, external if ``path`` is given."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer(sized(counted), mode, codec, max_records, path).saveAsTable(name)
+    writer(sized(counted) if rebalance else counted, mode, codec, max_records, path).saveAsTable(name)
     return WriteResult(name, seen.get["rows"])
 
 
@@ -130,11 +133,13 @@ def replace_partitions(
     path: str | None = None,
     codec: str = CODEC,
     max_records: int | None = None,
+    rebalance: bool = False,
 ) -> WriteResult:
     """Write the partitions in ``df`` in place of their old contents.
 
     All other partitions stay, so a run can be repeated.  Spark moves the new files
     in when every task has finished; a run that fails leaves the table as it was.
+    ``rebalance`` sizes the files of rows that belong to many partitions.
     """
     spark = df.sparkSession
     seen = Observation()
@@ -143,13 +148,14 @@ def replace_partitions(
     if table_exists(spark, name):
         columns = [f.name for f in spark.table(name).schema.fields]
         require_same_columns(df, columns, name)
+        ordered = counted.select(*columns)
         with dynamic_overwrite(spark):
-            ordered = sized(counted.select(*columns), part_col)
-            writer(ordered, "overwrite", codec, max_records).insertInto(name)
+            writer(sized(ordered, part_col) if rebalance else ordered, "overwrite", codec, max_records).insertInto(name)
     else:
         others = [c for c in df.columns if c != part_col]
-        ordered = sized(counted.select(*others, part_col), part_col)
-        writer(ordered, "errorifexists", codec, max_records, path).partitionBy(part_col).saveAsTable(name)
+        ordered = counted.select(*others, part_col)
+        ready = sized(ordered, part_col) if rebalance else ordered
+        writer(ready, "errorifexists", codec, max_records, path).partitionBy(part_col).saveAsTable(name)
     spark.catalog.refreshTable(name)
     return WriteResult(name, seen.get["rows"], count_partitions(spark, name, seen.get["dates"], part_col))
 

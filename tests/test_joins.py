@@ -26,7 +26,10 @@ def same_rows(a, b):
 
 def test_hot_keys_holds_every_frequent_key_and_is_bounded(fact):
     found = joins.hot_keys(fact, "k", 0.01)
-    assert 7 in found and None not in found and len(found) <= 100
+    assert found.keys == [7] and found.nulls
+    even = joins.hot_keys(fact.withColumn("k", F.col("id")), "k", 0.01)
+    assert not even and even.keys == [] and not even.nulls
+    assert not joins.hot_keys(fact.limit(0), "k")
 
 
 def test_split_join_equals_plain_join(fact, dim):
@@ -51,7 +54,18 @@ def test_split_join_spreads_hot_and_missing_keys(spark, fact, dim):
 
 
 def test_split_join_without_hot_keys(fact, dim):
-    assert same_rows(joins.split_left_join(fact, dim, "k", ["id"], [], splits=4), fact.join(dim, "k", "left"))
+    assert same_rows(joins.split_left_join(fact, dim, "k", ["id"], joins.HotKeys([]), splits=4), fact.join(dim, "k", "left"))
+
+
+def test_even_keys_are_joined_plainly(spark, dim):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        even = spark.range(2000).select(F.col("id").alias("k"))
+        joined = joins.left_join(even, dim, "k", ["k"])
+        assert "__slot" not in joined._jdf.queryExecution().toString()
+        assert same_rows(joined, even.join(dim, "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_size_decides_about_broadcast(spark, dim):

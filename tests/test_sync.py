@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from registry.adapters import business_table
 from tallyhouse.plans import views as view_plan
 from tallyhouse.plans import warehouse
-from tallyhouse.plans.sync import TableSpec, sync_all, sync_table
+from tallyhouse.plans.sync import TableSpec, default_specs, jdbc_reader, sync_all, sync_table
 from tallyhouse.sinks import tables as sink
+from tallyhouse.sources.tables import SOURCE_TABLES
 
 ROWS = "id int, v string, changed timestamp"
 
@@ -91,6 +92,20 @@ def test_unknown_modes_are_refused():
         TableSpec("a", "b.a", strategy="maybe")
 
 
+def test_jdbc_reader_picks_the_known_columns(spark):
+    from tests.test_sources import OPTS, Session
+
+    columns = SOURCE_TABLES["factories"]["columns"].split()
+    rows = [(i, *("x" * len(columns))) for i in (1, 2)]
+    source = Session(spark.createDataFrame(rows, [*columns, "Other"]))
+    spec = next(s for s in default_specs() if s.source == "Factories")
+    assert jdbc_reader(OPTS)(source, spec).columns == columns
+    jdbc_reader(OPTS, parallel=2)(source, spec)
+    assert source.log[-1]["partitionColumn"] == "FactoryID"
+    assert jdbc_reader(OPTS)(source, TableSpec("other", "a.other")).count() == 2
+    assert (spec.mode, spec.strategy, len(default_specs())) == ("full", "latest_only", 9)
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, db, tmp_path):
     def read(spark, spec):
         if spec.source == "bad":
