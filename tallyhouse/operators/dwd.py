@@ -12,7 +12,15 @@ from tallyhouse.functions import columns as c
 from tallyhouse.functions import values as v
 from tallyhouse.functions.bands import DetailRules, OrderRules
 from tallyhouse.functions.measures import count_of, count_rows
-from tallyhouse.operators.joins import HOT_SHARE, DimSpec, HotKeys, fits_broadcast, split_left_join, widen
+from tallyhouse.operators.joins import (
+    HOT_SHARE,
+    DimSpec,
+    HotKeys,
+    fits_broadcast,
+    split_left_join,
+    through,
+    widen,
+)
 
 # Dimension columns, by their names in the dimension, and their names in the facts
 CUSTOMER = {"CustomerName": "CustomerName", "CustomerType": "CustomerType"}
@@ -45,6 +53,8 @@ DETAIL_DEFAULTS = {
     "ProductCategory": v.UNKNOWN_CATEGORY,
     "WarehouseName": v.UNKNOWN_WAREHOUSE,
 }
+# Columns of a line that tell the rows of a hot key apart
+SPREAD = ("OrderID", "ProductID", "Quantity", "UnitPrice")
 
 
 def dwd_orders(
@@ -121,18 +131,22 @@ def dwd_orderdetails(
     dimensions that have one, by argument name.
     """
     dt = dict(snapshots or {})
-    wide = details
+
+    def dim(name: str, df: DataFrame | None, key: str, columns: Mapping[str, str]) -> DimSpec | None:
+        return None if df is None else DimSpec(df, (key, key), columns, dt.get(name))
+
+    dims = []
     if orders is not None:
-        wide = _with_orders(wide, orders, customers, dt)
+        customer = dim("customers", customers, "CustomerID", CUSTOMER)
+        dims += through(dim("orders", orders, "OrderID", ORDER), customer)
     if products is not None:
         # categories are standardised on the products, not once per line
         standard = products.withColumn("Category", c.standardised(F.col("Category"), categories))
-        wide = widen(wide, [DimSpec(standard, ("ProductID", "ProductID"), PRODUCT, dt.get("products"))], SPREAD)
+        dims.append(dim("products", standard, "ProductID", PRODUCT))
     if warehouses is not None:
-        dims = [DimSpec(warehouses, ("WarehouseID", "WarehouseID"), WAREHOUSE, dt.get("warehouses"))]
-        if factories is not None:
-            dims.append(DimSpec(factories, ("FactoryID", "FactoryID"), FACTORY, dt.get("factories")))
-        wide = widen(wide, dims, SPREAD).drop("FactoryID")
+        factory = dim("factories", factories, "FactoryID", FACTORY)
+        dims += through(dim("warehouses", warehouses, "WarehouseID", WAREHOUSE), factory)
+    wide = widen(details, dims, SPREAD).drop("FactoryID")
     clean = c.with_defaults(wide, DETAIL_DEFAULTS).withColumns(
         {"OrderDetailStatus": c.standardised(F.col("Status"), detail_statuses), **c.line_amounts()}
     )
@@ -154,30 +168,6 @@ def dwd_orderdetails(
     return derived.withColumns(c.audit_columns(batch_date))
 
 
-# Columns of a line that tell the rows of a hot key apart
-SPREAD = ("OrderID", "ProductID", "Quantity", "UnitPrice")
-
-
-def _with_orders(
-    details: DataFrame, orders: DataFrame, customers: DataFrame | None, dt: Mapping[str, str | None]
-) -> DataFrame:
-    order = DimSpec(orders, ("OrderID", "OrderID"), ORDER, dt.get("orders"))
-    if customers is None:
-        return widen(details, [order], SPREAD)
-    customer = ("CustomerID", "CustomerID")
-    if fits_broadcast(order.right("OrderID")):
-        return widen(details, [order, DimSpec(customers, customer, CUSTOMER, dt.get("customers"))], SPREAD)
-    # Orders too large to broadcast: give them their customer first, at the grain of
-    # orders, so that the lines are moved once and not a second time by customer.
-    known = widen(
-        order.snapshot().select("OrderID", *ORDER),
-        [DimSpec(customers, customer, CUSTOMER, dt.get("customers"))],
-        spread_by=["OrderID"],
-    )
-    names = {**ORDER, **{name: name for name in CUSTOMER.values()}}
-    return widen(details, [DimSpec(known, ("OrderID", "OrderID"), names)], SPREAD)
-
-
 def lines_by_name(
     details: DataFrame,
     warehouses: DataFrame,

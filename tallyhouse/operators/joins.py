@@ -134,6 +134,22 @@ def widen(fact: DataFrame, dims: Iterable[DimSpec], spread_by: Iterable[str]) ->
     return reduce(step, dims, fact)
 
 
+def through(dim: DimSpec, outer: DimSpec | None) -> list[DimSpec]:
+    """A dimension and one reached through its key (orders and their customer), for ``widen``.
+
+    Two lookups in a row while both can be broadcast.  Else the second dimension is
+    joined to the first, at the first one's grain, so that the fact is moved once.
+    """
+    if outer is None:
+        return [dim]
+    if fits_broadcast(dim.right(dim.on[0])) and fits_broadcast(outer.right(outer.on[0])):
+        return [dim, outer]
+    link = {name: column for column, name in dim.columns.items()}[outer.on[0]]
+    inner = DimSpec(outer.df, (link, outer.on[1]), outer.columns, outer.dt, outer.part_col)
+    known = widen(dim.snapshot().select(dim.on[1], *dim.columns), [inner], [dim.on[1]])
+    return [DimSpec(known, dim.on, {**dim.columns, **{name: name for name in outer.columns.values()}})]
+
+
 def require_unique(df: DataFrame, *keys: str) -> DataFrame:
     """Fail if a dimension holds a key twice, which would multiply the fact's rows."""
     repeated = df.groupBy(*keys).count().filter("count > 1")
