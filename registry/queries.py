@@ -7,14 +7,19 @@ instead.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.adapters import base_table, business_table
+from tallyhouse.functions import columns, values
 from tallyhouse.operators import dwd, quality, reports, rollups, snapshots, summaries, views
 from tallyhouse.operators.joins import DimSpec, widen
+from tallyhouse.sinks import tables as sinks
+from tallyhouse.sources import tables
 
 AS_OF = "2001-08-01"  # the newest order date of the tables
 WINDOW_AS_OF = "2000-10-31"
@@ -449,6 +454,13 @@ def dq_completeness(spark, sf):
     return quality.check(orders_fact(spark, sf), quality.ORDER_COMPLETENESS)
 
 
+@query
+def dq_completeness_details(spark, sf):
+    lines = ods(spark, sf, "orderdetails")
+    rules = [r for r in quality.DETAIL_COMPLETENESS if r.column in lines.columns]
+    return quality.check(lines, [*rules, quality.not_null("WarehouseID", 0.05)])
+
+
 @query
 def dq_consistency(spark, sf):
     return quality.check(orders_fact(spark, sf), quality.ORDER_CONSISTENCY)
@@ -490,7 +502,8 @@ COPIED = ("customers", "employees", "factories", "warehouses", "products", "orde
 
 @query
 def sync_summary(spark, sf):
-    return reports.sync_summary({name: ods(spark, sf, name) for name in COPIED}, AS_OF)
+    summary = reports.sync_summary({name: ods(spark, sf, name) for name in COPIED}, AS_OF)
+    return summary.withColumn("processed_date", F.col("processed_date").cast("timestamp_ntz"))
 
 
 @query
@@ -536,4 +549,28 @@ def kpi_report_rows(spark, sf):
 
 @query
 def basic_report(spark, sf):
-    return reports.basic_report(reports.kpi_window(lines_kpi(spark, sf), AS_OF))
+    return reports.basic_report(snapshots.last_days(lines_kpi(spark, sf), AS_OF, 7))
+
+
+# ------------------------------------------------------------ writing
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder all executors share: where the cluster keeps checkpoints, a local one in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        return f"{tempfile.mkdtemp(prefix='run-')}/{name}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def partition_replace(spark, sf):
+    """All orders written by year, the years from 2000 on replaced by cleaned ones, all read back."""
+    path = scratch(spark, "orders_by_year")
+    year = F.date_format("OrderDate", "yyyy")
+    orders = ods(spark, sf, "orders").select("OrderID", "Status", "TotalAmount", year.alias("dt"))
+    clean = orders.withColumn("Status", columns.standardised(F.col("Status"), values.ORDER_STATUS))
+    sinks.replace_file_partitions(orders, path, rebalance=True)
+    sinks.replace_file_partitions(clean.filter(F.col("dt") >= "2000"), path, rebalance=True)
+    stored = tables.parquet_files(spark, path).withColumn("dt", F.col("dt").cast("string"))
+    return stored.groupBy("dt", "Status").agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("TotalAmount").alias("total_amount")
+    )

@@ -50,7 +50,6 @@ ORDER_DEFAULTS = {
 }
 DETAIL_DEFAULTS = {
     "ProductName": v.UNKNOWN_PRODUCT,
-    "ProductCategory": v.UNKNOWN_CATEGORY,
     "WarehouseName": v.UNKNOWN_WAREHOUSE,
 }
 # Columns of a line that tell the rows of a hot key apart
@@ -147,7 +146,8 @@ def dwd_orderdetails(
         factory = dim("factories", factories, "FactoryID", FACTORY)
         dims += through(dim("warehouses", warehouses, "WarehouseID", WAREHOUSE), factory)
     wide = widen(details, dims, SPREAD).drop("FactoryID")
-    clean = c.with_defaults(wide, DETAIL_DEFAULTS).withColumns(
+    unknown = {"ProductCategory": categories.get(v.UNKNOWN_CATEGORY, v.UNKNOWN_CATEGORY)}
+    clean = c.with_defaults(wide, {**DETAIL_DEFAULTS, **unknown}).withColumns(
         {"OrderDetailStatus": c.standardised(F.col("Status"), detail_statuses), **c.line_amounts()}
     )
     derived = clean.withColumns(

@@ -70,7 +70,7 @@ DETAIL_RANGES = [
     length_between("ProductSpecification", 0, 500),
     length_between("WarehouseName", 1, 100),
 ]
-DETAIL_REQUIRED = ("OrderDetailID", "OrderID", "ProductID", "Quantity", "UnitPrice")
+DETAIL_COMPLETENESS = [not_null(c) for c in ("OrderDetailID", "OrderID", "ProductID", "Quantity", "UnitPrice")]
 
 
 def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -108,6 +108,15 @@ def write_files(
     writer(df, mode, codec, max_records).partitionBy(*partition_by).save(path)
 
 
+def replace_file_partitions(
+    df: DataFrame, path: str, *, part_col: str = "dt", codec: str = CODEC, rebalance: bool = False
+) -> None:
+    """K4 on plain files: write the partitions in ``df`` in place of their old contents."""
+    ready = sized(df, part_col) if rebalance else df
+    out = writer(ready, "overwrite", codec).option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(part_col).save(path)
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -149,8 +158,9 @@ def replace_partitions(
         columns = [f.name for f in spark.table(name).schema.fields]
         require_same_columns(df, columns, name)
         ordered = counted.select(*columns)
+        ready = sized(ordered, part_col) if rebalance else ordered
         with dynamic_overwrite(spark):
-            writer(sized(ordered, part_col) if rebalance else ordered, "overwrite", codec, max_records).insertInto(name)
+            writer(ready, "overwrite", codec, max_records).insertInto(name)
     else:
         others = [c for c in df.columns if c != part_col]
         ordered = counted.select(*others, part_col)

@@ -71,12 +71,12 @@ def sample_scan(spark: SparkSession, opts: JdbcOptions, table: str, n: int = 100
     return read_table(spark, opts, table).limit(n)
 
 
-def existing_tables(
-    spark: SparkSession, opts: JdbcOptions, catalog_query: str = "SELECT table_name FROM information_schema.tables"
-) -> set[str]:
-    """Lower-case names of the tables the database lists."""
-    names = opts.reader(spark).option("query", catalog_query).load()
-    return {row[0].lower() for row in names.collect()}
+def existing_tables(spark: SparkSession, opts: JdbcOptions, schema: str | None = None) -> set[str]:
+    """Lower-case names of the tables the database lists, of one schema if given."""
+    listed = read_table(spark, opts, "information_schema.tables")
+    if schema is not None:
+        listed = listed.filter(F.col("table_schema") == schema)
+    return {row[0].lower() for row in listed.select("table_name").collect()}
 
 
 def select_existing(wanted: Iterable[str], existing: set[str]) -> tuple[list[str], list[str]]:

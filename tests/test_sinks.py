@@ -103,6 +103,24 @@ def test_files_are_sized(spark, tmp_path):
     assert len(files) == 4 and spark.read.parquet(path).count() == 100
 
 
+def test_file_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "p")
+    sink.replace_file_partitions(load(spark, "d1", 1, 2).unionAll(load(spark, "d2", 3)), path, rebalance=True)
+    sink.replace_file_partitions(load(spark, "d2", 4), path)
+    got = sorted((r["id"], r["dt"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "d1"), (2, "d1"), (4, "d2")]
+
+
+def test_rebalanced_rows_make_one_file_per_small_partition(spark, db, tmp_path):
+    rows = spark.range(1000, numPartitions=8).select(
+        F.col("id").cast("int"), F.lit("v").alias("v"), F.concat(F.lit("d"), F.col("id") % 3).alias("dt")
+    )
+    for _ in range(2):
+        sink.replace_partitions(rows, f"{db}.t", path=str(tmp_path / "t"), rebalance=True)
+    files = list((tmp_path / "t").glob("dt=*/*.parquet"))
+    assert len(files) == 3 and spark.table(f"{db}.t").count() == 1000
+
+
 def test_verification_compares_by_partition(spark, db):
     name = f"{db}.t"
     sink.replace_partitions(load(spark, "d1", 1, 2), name)

@@ -76,8 +76,10 @@ def test_credentials_are_not_printed():
 
 
 def test_tables_are_found_in_any_case(spark):
-    listed = Session(spark.createDataFrame([("Orders",), ("CUSTOMERS",)], "table_name string"))
-    names = jdbc.existing_tables(listed, OPTS)
+    rows = [("shop", "Orders"), ("shop", "CUSTOMERS"), ("other", "gone")]
+    listed = Session(spark.createDataFrame(rows, "TABLE_SCHEMA string, TABLE_NAME string"))
+    names = jdbc.existing_tables(listed, OPTS, "shop")
+    assert jdbc.existing_tables(listed, OPTS) == names | {"gone"}
     assert jdbc.select_existing(["orders", "Customers", "gone"], names) == (["orders", "Customers"], ["gone"])
 
 
