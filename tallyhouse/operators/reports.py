@@ -46,12 +46,12 @@ def segment_report(customers: DataFrame) -> DataFrame:
 
 
 def status_report(customers: DataFrame) -> DataFrame:
-    """Activity states, most customers first."""
+    """Activity states, most customers first."""
     return rollups.customer_status_analysis(customers).orderBy(F.desc("customer_count"), "customer_status")
 
 
 def growth_report(monthly: DataFrame, months: int = 6) -> DataFrame:
-    """The newest months with their growth over the month before.
+    """The newest months with their growth over the month before.
 
     A growth of zero stays zero; NULL means there is nothing to compare to.
     """

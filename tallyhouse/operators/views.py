@@ -20,7 +20,7 @@ def orders_active(orders: DataFrame) -> DataFrame:
 
 
 def orders_delayed(orders: DataFrame) -> DataFrame:
-    """V2: late orders that are still open; an unknown delay is not late."""
+    """Late orders that are still open; an unknown delay is not late."""
     return orders.filter(F.col("IsDelayed") & ~F.col("OrderStatus").isin(*v.CLOSED_ORDER_STATUSES))
 
 

@@ -54,7 +54,7 @@ def batch(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> Da
 
 
 def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout = Layout()) -> sink.WriteResult | None:
-    """Cleaned orders of one load; None if the load is empty."""
+    """Cleaned orders of one load; None if the load is empty."""
     orders = batch(spark, layout, "Orders", batch_date)
     if orders.isEmpty():
         return None

@@ -67,7 +67,7 @@ def read_partitioned(
 
 
 def sample_scan(spark: SparkSession, opts: JdbcOptions, table: str, n: int = 1000) -> DataFrame:
-    """The first ``n`` rows the database returns.  Only ever on request."""
+    """The first ``n`` rows the database returns.  Only ever on request."""
     return read_table(spark, opts, table).limit(n)
 
 
