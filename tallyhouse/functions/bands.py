@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,12 +21,10 @@ class Bands:
     upper: bool = False
 
     def of(self, value: Column) -> Column:
-        def choose(rest: Column, step: tuple[float, object]) -> Column:
-            limit, name = step
-            met = value <= limit if self.upper else value >= limit
-            return F.when(met, F.lit(name)).otherwise(rest)
-
-        return reduce(choose, reversed(self.steps), F.lit(self.rest))
+        arms = F
+        for limit, name in self.steps:
+            arms = arms.when(value <= limit if self.upper else value >= limit, F.lit(name))
+        return arms.otherwise(F.lit(self.rest))
 
 
 # ---- Fixed values: the thresholds of the business rules -------------------

@@ -36,10 +36,10 @@ def standardised(raw: Column, mapping: Mapping[str, str]) -> Column:
     spellings = defaultdict(list)
     for code, name in mapping.items():
         spellings[name].append(code)
-    out = raw
+    arms = F
     for name, codes in spellings.items():
-        out = F.when(raw.isin(codes), F.lit(name)).otherwise(out)
-    return out
+        arms = arms.when(raw.isin(codes), F.lit(name))
+    return raw if arms is F else arms.otherwise(raw)
 
 
 def days_between(start: str, end: str) -> Column:

@@ -52,6 +52,8 @@ DETAIL_DEFAULTS = {
     "ProductName": v.UNKNOWN_PRODUCT,
     "WarehouseName": v.UNKNOWN_WAREHOUSE,
 }
+# Warehouse names, with a percentage each, that are broadcast at most: some megabytes
+BROADCAST_NAMES = 100_000
 # Columns of a line that tell the rows of a hot key apart
 SPREAD = ("OrderID", "ProductID", "Quantity", "UnitPrice")
 
@@ -213,4 +215,4 @@ def warehouse_efficiency(lines: DataFrame) -> DataFrame:
     by_name = lines.groupBy("WarehouseName").agg(
         count_rows().alias("lines"), count_of("OrderDetailStatus", "Delivered").alias("delivered")
     )
-    return with_efficiency(lines, by_name, small=fits_broadcast(by_name))
+    return with_efficiency(lines, by_name, small=by_name.count() <= BROADCAST_NAMES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +64,9 @@ ORDER_CONSISTENCY = [
 ]
 ORDER_STATUS_DOMAIN = [one_of("OrderStatus", v.VALID_ORDER_STATUSES)]
 DETAIL_RANGES = [
-    in_range("Quantity", "0.01", "10000"),
-    in_range("UnitPrice", "0.01", "1000000"),
-    in_range("Discount", "0", "100"),
+    in_range("Quantity", Decimal("0.01"), 10000),
+    in_range("UnitPrice", Decimal("0.01"), 1000000),
+    in_range("Discount", 0, 100),
     length_between("ProductName", 1, 100),
     length_between("ProductSpecification", 0, 500),
     length_between("WarehouseName", 1, 100),
