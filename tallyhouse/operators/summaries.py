@@ -203,35 +203,47 @@ def product_analytics(lines: DataFrame, rules: ProductRules = ProductRules()) ->
     ).withColumn("product_performance_score", m.product_score(rules))
 
 
+WAREHOUSE_KEYS = {
+    "warehouse_id": "WarehouseID",
+    "warehouse_name": "WarehouseName",
+    "warehouse_manager": "WarehouseManager",
+    "factory_name": "FactoryName",
+    "factory_location": "FactoryLocation",
+}
+
+
 def warehouse_analytics(
     lines: DataFrame, rules: WarehouseRules = WarehouseRules(), approx_distinct: bool = False
 ) -> DataFrame:
     """Volume, delivery and grade of every warehouse.
 
-    The two distinct counts are exact unless ``approx_distinct`` trades them for a
-    sketch that needs one pass less.  Spark moves them by warehouse *and* counted
-    value, so a busy warehouse is spread over all tasks.
+    The two distinct counts are exact unless ``approx_distinct`` trades them for
+    sketches.  Exact ones are an aggregate of their own over narrow rows: next to the
+    other measures every row would carry all their buffers through the shuffle.  Spark
+    moves them by warehouse *and* counted value, so a busy warehouse is spread out.
     """
-    keys = {
-        "warehouse_id": "WarehouseID",
-        "warehouse_name": "WarehouseName",
-        "warehouse_manager": "WarehouseManager",
-        "factory_name": "FactoryName",
-        "factory_location": "FactoryLocation",
-    }
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     measures = {
         "total_items_processed": m.count_rows(),
         "total_quantity_handled": m.total("Quantity"),
         "total_value_handled": m.total("NetAmount"),
-        "unique_orders": distinct(F.col("OrderID")),
-        "unique_products": distinct(F.col("ProductID")),
         "avg_item_price": m.mean("UnitPrice"),
         "delivered_items": m.count_of("OrderDetailStatus", "Delivered"),
         "avg_efficiency_score": F.avg(F.col("WarehouseEfficiency").cast(t.EFFICIENCY)).cast(t.AVERAGE),
     }
-    grouped = lines.groupBy(*(F.col(c).alias(name) for name, c in keys.items())).agg(*named(measures))
-    return grouped.withColumns(
+    counted = {"unique_orders": "OrderID", "unique_products": "ProductID"}
+    keys = [F.col(c).alias(name) for name, c in WAREHOUSE_KEYS.items()]
+    if approx_distinct:
+        sketches = {name: F.approx_count_distinct(c) for name, c in counted.items()}
+        totals = lines.groupBy(*keys).agg(*named({**measures, **sketches}))
+    else:
+        totals = lines.groupBy(*keys).agg(*named(measures))
+        # equal as structs: NULL in a key matches NULL, and readers that use neither
+        # count are spared the join, as the groups on the right are unique
+        exact = lines.groupBy(F.struct(*keys).alias("__group")).agg(
+            *named({name: F.count_distinct(c) for name, c in counted.items()})
+        )
+        totals = totals.join(exact, F.struct(*WAREHOUSE_KEYS) == F.col("__group"), "left").drop("__group")
+    return totals.withColumns(
         {
             "delivery_rate": m.rate("delivered_items", "total_items_processed"),
             "avg_value_per_item": m.per_unit("total_value_handled", "total_items_processed"),
