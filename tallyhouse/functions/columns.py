@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -32,14 +31,15 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def standardised(raw: Column, mapping: Mapping[str, str]) -> Column:
-    """Standard name of a raw code; a code without one passes through unchanged."""
-    spellings = defaultdict(list)
-    for code, name in mapping.items():
-        spellings[name].append(code)
-    arms = F
-    for name, codes in spellings.items():
-        arms = arms.when(raw.isin(codes), F.lit(name))
-    return raw if arms is F else arms.otherwise(raw)
+    """Standard name of a raw code; a code without one passes through unchanged.
+
+    The mapping becomes one literal, so a rule built on the result stays small however
+    often the optimizer repeats it.
+    """
+    if not mapping:
+        return raw
+    names = F.create_map(*(F.lit(text) for pair in mapping.items() for text in pair))
+    return F.coalesce(F.try_element_at(names, raw), raw)
 
 
 def days_between(start: str, end: str) -> Column:
@@ -119,11 +119,13 @@ def line_amounts() -> dict[str, Column]:
     quantity, price = (F.col(c).cast("decimal(10,2)") for c in ("Quantity", "UnitPrice"))
     percent = F.col("Discount").cast("decimal(5,2)")
     total = (quantity * price).cast(t.LINE_TOTAL)
-    discount = (total * percent * F.lit("0.01").cast("decimal(3,2)")).cast(t.LINE_AMOUNT)
+    hundredth = F.lit("0.01").cast("decimal(3,2)")
     return {
         "LineTotal": total,
-        "DiscountAmount": discount,
-        "NetAmount": (total - discount).cast(t.LINE_AMOUNT),
+        "DiscountAmount": (total * percent * hundredth).cast(t.LINE_AMOUNT),
+        # not the total less the discount: a pushed-down filter on the net amount
+        # then works out the total once
+        "NetAmount": (total * (100 - percent) * hundredth).cast(t.LINE_AMOUNT),
     }
 
 

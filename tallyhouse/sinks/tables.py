@@ -129,8 +129,10 @@ def write_table(
 ) -> WriteResult:
     """K2, K5, K6: a table without partitions, external if ``path`` is given."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer(sized(counted) if rebalance else counted, mode, codec, max_records, path).saveAsTable(name)
+    ready = sized(df) if rebalance else df
+    # counted in the writing stage itself: a stage run again would count its rows again
+    counted = ready.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer(counted, mode, codec, max_records, path).saveAsTable(name)
     return WriteResult(name, seen.get["rows"])
 
 
@@ -151,21 +153,22 @@ def replace_partitions(
     ``rebalance`` sizes the files of rows that belong to many partitions.
     """
     spark = df.sparkSession
-    seen = Observation()
-    # the set of dates in one load: a handful of values
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(part_col).alias("dates"))
-    if table_exists(spark, name):
+    exists = table_exists(spark, name)
+    if exists:
         columns = [f.name for f in spark.table(name).schema.fields]
         require_same_columns(df, columns, name)
-        ordered = counted.select(*columns)
-        ready = sized(ordered, part_col) if rebalance else ordered
+    else:
+        columns = [*(c for c in df.columns if c != part_col), part_col]
+    ordered = df.select(*columns)
+    ready = sized(ordered, part_col) if rebalance else ordered
+    seen = Observation()
+    # counted in the writing stage, see write_table; the dates of a load are a handful
+    counted = ready.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(part_col).alias("dates"))
+    if exists:
         with dynamic_overwrite(spark):
-            writer(ready, "overwrite", codec, max_records).insertInto(name)
+            writer(counted, "overwrite", codec, max_records).insertInto(name)
     else:
-        others = [c for c in df.columns if c != part_col]
-        ordered = counted.select(*others, part_col)
-        ready = sized(ordered, part_col) if rebalance else ordered
-        writer(ready, "errorifexists", codec, max_records, path).partitionBy(part_col).saveAsTable(name)
+        writer(counted, "errorifexists", codec, max_records, path).partitionBy(part_col).saveAsTable(name)
     spark.catalog.refreshTable(name)
     return WriteResult(name, seen.get["rows"], count_partitions(spark, name, seen.get["dates"], part_col))
 
