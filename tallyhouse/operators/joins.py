@@ -40,7 +40,12 @@ class DimSpec:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of ``df`` lets Spark broadcast it by itself."""
+    """Whether the optimizer's size estimate of ``df`` lets Spark broadcast it by itself.
+
+    Over Spark Connect the estimate is out of reach and the choice is left to Spark.
+    """
+    if not hasattr(df, "_jdf"):
+        return True
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return 0 <= size <= limit

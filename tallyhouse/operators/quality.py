@@ -102,38 +102,34 @@ def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def validate_orders(orders: DataFrame, max_poor: float = 0.1, max_delayed: float = 0.2) -> DataFrame:
     """Shares of poor rows and of late orders; (check, value, threshold, passed)."""
-    shares = {
-        "poor_quality_ratio": (m.count_of("DataQualityLevel", "Poor"), max_poor),
-        "delayed_ratio": (m.count_of("IsDelayed", True), max_delayed),
-    }
-    return _shares(orders, shares)
+    counted = orders.agg(
+        m.count_rows().alias("total"),
+        m.count_of("DataQualityLevel", "Poor").alias("poor"),
+        m.count_of("IsDelayed", True).alias("delayed"),
+    )
+    limits = {"poor_quality_ratio": (_share("poor"), max_poor), "delayed_ratio": (_share("delayed"), max_delayed)}
+    return _within(counted, limits)
 
 
 def validate_orderdetails(lines: DataFrame, written: DataFrame, max_poor: float = 0.1) -> DataFrame:
     """Rows written against rows transformed, and the share of poor rows."""
-    shares = _shares(lines, {"poor_quality_ratio": (m.count_of("DataQualityLevel", "Poor"), max_poor)})
-    made, stored = (df.agg(m.count_rows().alias("n")).scalar() for df in (lines, written))
-    missing = F.abs(made - stored).cast("double")
-    counts = shares.select(
-        F.lit("record_count_difference").alias("check"),
-        missing.alias("value"),
-        F.lit(0.0).alias("threshold"),
-        (missing == 0).alias("passed"),
-    )
-    return counts.unionByName(shares)
+    counted = lines.agg(m.count_rows().alias("total"), m.count_of("DataQualityLevel", "Poor").alias("poor"))
+    stored = written.agg(m.count_rows().alias("n")).scalar()
+    difference = F.abs(F.col("total") - stored).cast("double")
+    limits = {"record_count_difference": (difference, 0.0), "poor_quality_ratio": (_share("poor"), max_poor)}
+    return _within(counted, limits)
+
 
+def _share(part: str) -> Column:
+    return F.coalesce(F.try_divide(F.col(part), F.col("total")), F.lit(0.0))
 
-def _shares(df: DataFrame, shares: Mapping[str, tuple[Column, float]]) -> DataFrame:
-    """Counts as a share of all rows, against the largest share allowed."""
-    counted = df.agg(m.count_rows().alias("total"), *(count.alias(name) for name, (count, _) in shares.items()))
+
+def _within(counted: DataFrame, limits: Mapping[str, tuple[Column, float]]) -> DataFrame:
+    """One row per value with the largest one allowed."""
     rows = F.array(
         *(
-            F.struct(
-                F.lit(name).alias("check"),
-                F.coalesce(F.try_divide(F.col(name), F.col("total")), F.lit(0.0)).alias("value"),
-                F.lit(float(most)).alias("threshold"),
-            )
-            for name, (_, most) in shares.items()
+            F.struct(F.lit(name).alias("check"), value.alias("value"), F.lit(float(most)).alias("threshold"))
+            for name, (value, most) in limits.items()
         )
     )
     return counted.select(F.inline(rows)).withColumn("passed", F.col("value") <= F.col("threshold"))

@@ -66,10 +66,10 @@ def drop_objects(spark: SparkSession, *, tables: Iterable[str] = (), views: Iter
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
 
 
-def refresh_and_analyze(spark: SparkSession, name: str) -> None:
-    """K19."""
+def refresh_and_analyze(spark: SparkSession, name: str, noscan: bool = False) -> None:
+    """K19.  ``noscan`` takes the size from the files without counting rows."""
     spark.catalog.refreshTable(name)
-    spark.sql(f"ANALYZE TABLE {quoted(name)} COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {quoted(name)} COMPUTE STATISTICS{' NOSCAN' if noscan else ''}")
 
 
 def quoted(name: str) -> str:
@@ -174,7 +174,10 @@ def replace_partitions(
 
 
 class dynamic_overwrite:
-    """The session overwrites only the partitions it writes, inside the block."""
+    """The session overwrites only the partitions it writes, inside the block.
+
+    A setting of the session, because ``insertInto`` ignores the writer's option.
+    """
 
     KEY = "spark.sql.sources.partitionOverwriteMode"
 
