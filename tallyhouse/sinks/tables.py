@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import threading
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -173,26 +175,27 @@ def replace_partitions(
     return WriteResult(name, seen.get["rows"], count_partitions(spark, name, seen.get["dates"], part_col))
 
 
-class dynamic_overwrite:
-    """The session overwrites only the partitions it writes, inside the block.
-
-    A setting of the session, because ``insertInto`` ignores the writer's option.
-    """
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_one_at_a_time = threading.Lock()
 
-    KEY = "spark.sql.sources.partitionOverwriteMode"
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-
-    def __enter__(self) -> None:
-        self.before = self.spark.conf.get(self.KEY, None)
-        self.spark.conf.set(self.KEY, "dynamic")
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """The session overwrites only the partitions it writes, inside the block.
 
-    def __exit__(self, *_exc: object) -> None:
-        if self.before is None:
-            self.spark.conf.unset(self.KEY)
-        else:
-            self.spark.conf.set(self.KEY, self.before)
+    A setting of the session, because ``insertInto`` ignores the writer's option; so
+    writes from several threads take turns.
+    """
+    with _one_at_a_time:
+        before = spark.conf.get(OVERWRITE_MODE, None)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(OVERWRITE_MODE)
+            else:
+                spark.conf.set(OVERWRITE_MODE, before)
 
 
 def require_same_columns(df: DataFrame, columns: list[str], name: str) -> None:
