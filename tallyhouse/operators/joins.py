@@ -20,7 +20,7 @@ class DimSpec:
     ``on`` is (fact column, dimension column); ``columns`` maps dimension columns
     to their names in the result.  ``dt`` keeps one snapshot of a partitioned
     dimension: it is filtered before the join, so the partition is pruned and
-    facts without a match stay (J3).
+    facts without a match stay (J3).  ``check`` makes sure that no key is there twice.
     """
 
     df: DataFrame
@@ -28,11 +28,11 @@ class DimSpec:
     columns: Mapping[str, str]
     dt: str | None = None
     part_col: str = "dt"
+    check: bool = False
 
     def snapshot(self) -> DataFrame:
-        if self.dt is None:
-            return self.df
-        return self.df.filter(F.col(self.part_col) == self.dt)
+        rows = self.df if self.dt is None else self.df.filter(F.col(self.part_col) == self.dt)
+        return require_unique(rows, self.on[1]) if self.check else rows
 
     def right(self, key: str) -> DataFrame:
         columns = [F.col(c).alias(name) for c, name in self.columns.items()]
@@ -125,7 +125,7 @@ def left_join(
 def widen(fact: DataFrame, dims: Iterable[DimSpec], spread_by: Iterable[str]) -> DataFrame:
     """Left join the dimensions in order; every fact row is kept exactly once.
 
-    A dimension must hold each key at most once (see ``require_unique``).
+    A dimension must hold each key at most once; ``DimSpec.check`` verifies it.
     ``spread_by`` names fact columns that tell rows of a hot key apart.
     """
     spread_by = list(spread_by)

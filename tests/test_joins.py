@@ -88,6 +88,10 @@ def test_repeated_dimension_keys_are_refused(spark):
     joins.require_unique(spark.range(5), "id")
     with pytest.raises(ValueError):
         joins.require_unique(spark.createDataFrame([(1,), (1,)], "k int"), "k")
+    twice = spark.createDataFrame([(1, "d1"), (1, "d2")], "k int, dt string")
+    joins.widen(spark.range(2).toDF("k"), [joins.DimSpec(twice, ("k", "k"), {}, dt="d1", check=True)], ["k"])
+    with pytest.raises(ValueError):
+        joins.widen(spark.range(2).toDF("k"), [joins.DimSpec(twice, ("k", "k"), {}, check=True)], ["k"])
 
 
 def test_warehouse_efficiency_equals_a_window(spark):
