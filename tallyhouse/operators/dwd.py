@@ -13,10 +13,11 @@ from tallyhouse.functions import values as v
 from tallyhouse.functions.bands import DetailRules, OrderRules
 from tallyhouse.functions.measures import count_of, count_rows
 from tallyhouse.operators.joins import (
-    HOT_SHARE,
     DimSpec,
     HotKeys,
     fits_broadcast,
+    hot_share,
+    shuffle_partitions,
     split_left_join,
     through,
     widen,
@@ -200,10 +201,12 @@ def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> Dat
     )
     if small:
         return lines.join(F.broadcast(efficiency), "WarehouseName", "left")
-    # the counts at hand say which names are hot: at most 1 / HOT_SHARE of them
-    total = by_name.agg(F.sum("lines")).scalar()
-    hot = by_name.filter(F.col("lines") > total * HOT_SHARE).select("WarehouseName").collect()
-    return split_left_join(lines, efficiency, "WarehouseName", SPREAD, HotKeys([row[0] for row in hot]))
+    # the counts at hand say which names are hot: a bounded number of them
+    partitions = shuffle_partitions(lines)
+    total = by_name.agg(F.sum("lines")).first()[0] or 1
+    frequent = by_name.filter(F.col("lines") >= hot_share(partitions) * total)
+    counts = {row["WarehouseName"]: row["lines"] for row in frequent.collect()}
+    return split_left_join(lines, efficiency, "WarehouseName", SPREAD, HotKeys.among(counts, total, partitions))
 
 
 def warehouse_efficiency(lines: DataFrame) -> DataFrame:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key holding at least this share of the fact's rows is split over all reducers.
+# A key is hot with this share of the rows, or with less if that is several average
+# shuffle partitions; the least share bounds the number of hot keys.
 HOT_SHARE = 0.005
+SKEW_FACTOR = 5
+LEAST_SHARE = 0.0001
 
 
 @dataclass(frozen=True)
@@ -53,33 +58,65 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys of a fact too frequent for one task, and whether rows without a key are."""
+    """Keys of a fact too frequent for one task, with the number of pieces for each."""
 
-    keys: list
+    pieces: Mapping[object, int]
     nulls: bool = False
 
+    @classmethod
+    def among(cls, counts: Mapping[object, int], total: int, partitions: int) -> HotKeys:
+        """The frequent ones of counted keys, cut into pieces of about one average partition.
+
+        Pieces are powers of two, so that few different numbers occur; all together
+        they are not more than about twice the partitions and the hot keys.
+        """
+        least = hot_share(partitions) * total
+        hot = {key: n for key, n in counts.items() if n >= least}
+        pieces = {}
+        for key, n in hot.items():
+            wanted = max(2, math.ceil(n * partitions / total))
+            pieces[key] = 1 << (wanted - 1).bit_length()
+        nulls = pieces.pop(None, None) is not None
+        return cls(pieces, nulls)
+
     def __bool__(self) -> bool:
-        return bool(self.keys) or self.nulls
+        return bool(self.pieces) or self.nulls
+
+    def pieces_of(self, key: Column) -> Column:
+        """Pieces of a key, 1 for all that are not hot."""
+        same = defaultdict(list)
+        for value, n in self.pieces.items():
+            same[n].append(value)
+        arms = F
+        for n, values in same.items():
+            arms = arms.when(key.isin(values), F.lit(n))
+        return F.lit(1) if arms is F else arms.otherwise(F.lit(1))
+
+
+def hot_share(partitions: int) -> float:
+    """The share of rows from which a key counts as hot: some average partitions' worth."""
+    return min(HOT_SHARE, max(SKEW_FACTOR / partitions, LEAST_SHARE))
+
 
-    def __contains__(self, key: object) -> bool:
-        return key in self.keys
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
-    """The keys holding at least ``share`` of the rows, from two passes over one column.
+def hot_keys(fact: DataFrame, key: str, partitions: int | None = None) -> HotKeys:
+    """The hot keys of a fact, from two passes over one column.
 
-    A frequent-item sketch names up to ``1 / share`` candidates, all frequent keys
-    among them; counting the candidates leaves the frequent ones.  At most that many
-    values come to the driver, whatever the size of the fact.
+    A frequent-item sketch names up to ``1 / hot_share`` candidates, all hot keys among
+    them; counting the candidates leaves the hot ones.  No more values than that come
+    to the driver, whatever the size of the fact.
     """
+    partitions = partitions or shuffle_partitions(fact)
     keys = fact.select(key)
-    candidates = keys.filter(F.col(key).isNotNull()).freqItems([key], share).first()[0] or []
+    candidates = keys.filter(F.col(key).isNotNull()).freqItems([key], hot_share(partitions)).first()[0] or []
     # one group per candidate, one for the rows without a key, one for all others
     candidate = F.when(F.col(key).isin(candidates), F.col(key))
     groups = keys.groupBy(candidate.alias("key"), F.col(key).isNull().alias("none")).count().collect()
-    enough = share * sum(g["count"] for g in groups)
-    hot = [g for g in groups if g["count"] >= enough]
-    return HotKeys([g["key"] for g in hot if g["key"] is not None], any(g["none"] for g in hot))
+    counts = {g["key"]: g["count"] for g in groups if g["key"] is not None or g["none"]}
+    return HotKeys.among(counts, max(1, sum(g["count"] for g in groups)), partitions)
 
 
 def split_left_join(
@@ -88,22 +125,20 @@ def split_left_join(
     key: str,
     spread_by: Iterable[str],
     hot: HotKeys,
-    splits: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Left join on ``key`` between two large sides, hot keys spread out.
 
-    Rows of a hot key go to ``splits`` reducers, chosen by a hash of ``spread_by``,
-    and only the right rows of hot keys are copied to all of them.  Rows without a
-    key have no match and are spread as well.  All other rows keep slot 0.  The hot
-    keys are literals and the slot depends on the row alone: both sides agree on
-    them, and a task that runs again sends its rows to the same place.
+    Rows of a hot key are dealt to its pieces by a hash of ``spread_by``, and its right
+    row is copied to all of them.  Rows without a key have no match and are spread over
+    all partitions.  All other rows keep slot 0.  The hot keys are literals and the slot
+    depends on the row alone: both sides agree on them, and a task that runs again sends
+    its rows to the same place.
     """
-    splits = splits or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot.keys) if hot.keys else F.lit(False)
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(splits)).cast("int")
-    left = fact.withColumn("__slot", F.when(is_hot | F.col(key).isNull(), slot).otherwise(F.lit(0)))
-    every_slot = F.sequence(F.lit(0), F.lit(splits - 1))
-    copies = right.withColumn("__slot", F.explode(F.when(is_hot, every_slot).otherwise(F.array(F.lit(0)))))
+    pieces = hot.pieces_of(F.col(key))
+    slots = F.when(F.col(key).isNull(), F.lit(partitions or shuffle_partitions(fact))).otherwise(pieces)
+    left = fact.withColumn("__slot", F.pmod(F.xxhash64(*spread_by), slots).cast("int"))
+    copies = right.withColumn("__slot", F.explode(F.sequence(F.lit(0), pieces - 1)))
     return left.join(copies, [key, "__slot"], "left").drop("__slot")
 
 

@@ -25,15 +25,27 @@ def same_rows(a, b):
 
 
 def test_hot_keys_holds_every_frequent_key_and_is_bounded(fact):
-    found = joins.hot_keys(fact, "k", 0.01)
-    assert found.keys == [7] and found.nulls
-    even = joins.hot_keys(fact.withColumn("k", F.col("id")), "k", 0.01)
-    assert not even and even.keys == [] and not even.nulls
+    found = joins.hot_keys(fact, "k", 8)
+    assert found.pieces == {7: 4} and found.nulls  # a third of the rows: three eighths of the tasks or more
+    even = joins.hot_keys(fact.withColumn("k", F.col("id")), "k", 8)
+    assert not even and even.pieces == {} and not even.nulls
     assert not joins.hot_keys(fact.limit(0), "k")
 
 
+@pytest.mark.parametrize("partitions", [8, 200, 4000, 100000])
+def test_pieces_follow_the_share_and_are_bounded(partitions):
+    counts = {None: 5, "third": 300000, "tenth": 100000, "hundredth": 10000, **{i: 90 for i in range(1000)}}
+    hot = joins.HotKeys.among(counts, 1000000, partitions)
+    assert set(hot.pieces) == {"third", "tenth", "hundredth"} and not hot.nulls
+    for key, pieces in hot.pieces.items():
+        assert pieces >= 2 and counts[key] / pieces <= 1000000 / partitions
+    assert sum(hot.pieces.values()) <= 2 * (partitions + 2 * len(hot.pieces))
+    assert 1 / joins.hot_share(partitions) <= 10000
+    assert joins.hot_share(4000) == 5 / 4000  # five average partitions
+
+
 def test_split_join_equals_plain_join(fact, dim):
-    split = joins.split_left_join(fact, dim, "k", ["id"], joins.hot_keys(fact, "k"), splits=8)
+    split = joins.split_left_join(fact, dim, "k", ["id"], joins.hot_keys(fact, "k"), 8)
     assert same_rows(split, fact.join(dim, "k", "left"))
 
 
@@ -41,7 +53,7 @@ def test_split_join_spreads_hot_and_missing_keys(spark, fact, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        split = joins.split_left_join(fact, dim, "k", ["id"], joins.hot_keys(fact, "k"), splits=8)
+        split = joins.split_left_join(fact, dim, "k", ["id"], joins.hot_keys(fact, "k"), 8)
         plain = fact.join(dim, "k", "left")
         largest = [
             max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
@@ -54,7 +66,7 @@ def test_split_join_spreads_hot_and_missing_keys(spark, fact, dim):
 
 
 def test_split_join_without_hot_keys(fact, dim):
-    assert same_rows(joins.split_left_join(fact, dim, "k", ["id"], joins.HotKeys([]), splits=4), fact.join(dim, "k", "left"))
+    assert same_rows(joins.split_left_join(fact, dim, "k", ["id"], joins.HotKeys({}), 4), fact.join(dim, "k", "left"))
 
 
 def test_even_keys_are_joined_plainly(spark, dim):
