@@ -36,6 +36,16 @@ def test_replacing_a_partition_keeps_the_others(spark, db):
     assert sink.list_partitions(spark, name) == ["d1", "d2"]
 
 
+def test_an_empty_load_changes_nothing(spark, db):
+    name = f"{db}.t"
+    nothing = load(spark, "d1", 1).filter("1 = 0")
+    assert sink.replace_partitions(nothing, name).partitions == {}
+    sink.replace_partitions(load(spark, "d1", 1), name)
+    done = sink.replace_partitions(load(spark, "d1", 2).filter("id > 9"), name)
+    assert (done.rows, done.partitions, done.complete) == (0, {}, True)
+    assert held(spark, name) == [(1, "d1")]
+
+
 def test_columns_are_matched_by_name(spark, db):
     name = f"{db}.t"
     sink.replace_partitions(load(spark, "d1", 1), name)
