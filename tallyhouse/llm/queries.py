@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, jaccard, packing, preference, quality, repeats, secrets, token_files, toxicity
+from tallyhouse.llm import decontam, jaccard, packing, preference, quality, repeats, secrets, token_files, toxicity, wrapper
 from tallyhouse.llm.common import shared_dir, table
 
 
@@ -44,6 +44,10 @@ def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preferences(pairs).withColumnRenamed("key", "conv_id")
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -69,5 +73,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_best_fit_packing, op4_preference_format, op6_repeated_bytes, op7_jaccard_join, op8_quality_rules, op9_decontamination, op10_token_files)
+    f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_best_fit_packing, op4_preference_format, op5_page_text, op6_repeated_bytes, op7_jaccard_join, op8_quality_rules, op9_decontamination, op10_token_files)
 }
