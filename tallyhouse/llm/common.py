@@ -40,10 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends here and lost executors lose nothing."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read again: lineage ends here and lost executors lose nothing. Shuffle
+    files of the job go with it."""
+    spark, path, name = df.sparkSession, shared_dir(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def words(text: Column) -> Column:

@@ -3,8 +3,9 @@
 Sampled suffixes stand in for all: the least hash among the 24-byte strings of a 100-byte window is the window's anchor,
 so equal windows have equal anchors at equal places. Windows in a row with one anchor are a unit, some 40 bytes of starts.
 Units are dealt out by their anchor's hash and sorted there: a unit whose bytes occurred before is removed whole; an anchor
-that only one unit has repeats nothing; units that share an anchor and differ in bytes are compared window by window,
-again dealt out by hash. Equality of units and windows is that of 128-bit hashes of their bytes.
+that only one unit has repeats nothing. Units that share an anchor and differ in bytes are cut at fixed distances from the
+anchor and dealt out again, by the bytes that all windows of a part share; what then is left shares these and differs, and
+is compared window by window. Equality of units, parts and windows is that of 128-bit hashes of their bytes.
 """
 
 from __future__ import annotations
@@ -15,25 +16,27 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import mix, stored
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM, PART = 100, 24, 8
+#: Buckets of document ids by which texts that a step needs are told from others before they are moved.
+BUCKETS = 1 << 20
 _U = np.uint64
 _HIGH = _U(0xFFFFFFFF00000000)
 #: Kinds of rows that are dealt out: a unit by its anchor, a unit by its bytes, a sign that an anchor has several units, a unit known to be repeated.
 BY_ANCHOR, BY_BYTES, SEVERAL, REPEATED = 0, 1, 2, 3
-_COLS = ["key", "kind", "e1", "e2", "doc", "first", "last"]
-_SCHEMA = "key long, kind int, e1 long, e2 long, doc long, first long, last long"
+_COLS = ["key", "kind", "e1", "e2", "doc", "first", "last", "at"]
+_SCHEMA = "key long, kind int, e1 long, e2 long, doc long, first long, last long, at long"
 
 
-def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last start of the windows of each unit, and its anchor's hash."""
+def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """First and last start of the windows of each unit, its anchor's place and the anchor's hash."""
     n = len(data)
     if n < length:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, _U),)
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, _U),)
     word = np.ndarray((n - 7,), "<u8", buffer=data, strides=(1,))
     m = n - gram + 1
     with np.errstate(over="ignore"):
@@ -46,7 +49,7 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     least = np.minimum(low[: n - length + 1], low[wide - span :][: n - length + 1])
     at = (least & ~_HIGH).astype(np.int64)
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    return first, np.append(first[1:], len(at)) - 1, h[at[first]]
+    return first, np.append(first[1:], len(at)) - 1, at[first], h[at[first]]
 
 
 def _digests(parts: list[bytes]) -> np.ndarray:
@@ -62,7 +65,7 @@ def _new(*cols: np.ndarray) -> np.ndarray:
 
 
 def _batch(cols: list[np.ndarray]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 6]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=_COLS)
 
 
@@ -70,58 +73,96 @@ def _texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(i).to_pylist()]
 
 
+def _dealt(rows: list[tuple[np.ndarray, ...]], digests: list[bytes]) -> pa.RecordBatch:
+    """Rows (key, doc, first, last, at) and the hashes of their bytes, made ready for dealing. Of rows with the same bytes
+    the earliest stays and the rest are known to be repeated; where a key has several left, these are dealt out by their
+    bytes, with one sign by the key."""
+    key, doc, first, last, at = (np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True))
+    e1, e2 = _digests(digests).T
+    order = np.lexsort((first, doc, e2, e1))
+    key, doc, first, last, at, e1, e2 = (c[order] for c in (key, doc, first, last, at, e1, e2))
+    new = _new(e1, e2)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
+    again = ~new & ((doc > doc[head]) | (first > first[head]))
+    kind = np.where(again, REPEATED, BY_ANCHOR)
+    _, of, often = np.unique(key[~again], return_inverse=True, return_counts=True)
+    kind[np.flatnonzero(~again)[often[of] > 1]] = BY_BYTES
+    signs = np.unique(key[kind == BY_BYTES])
+    none = np.zeros(len(signs), np.int64)
+    return _batch([np.concatenate(c) for c in zip((np.where(kind == BY_ANCHOR, key, e1), kind, e1, e2, doc, first, last, at), (signs, none + SEVERAL, *[none] * 6), strict=True)])
+
+
 def deal_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The units of documents (doc, text as bytes). Units with the same bytes leave a batch once, the rest are known to be
-    repeated; of an anchor that a batch has several units of, these are dealt out by their bytes and a sign by the anchor."""
+    """The units of documents (doc, data)."""
     for whole in batches:
         for part in range(0, whole.num_rows, 2000):
             batch = whole.slice(part, 2000)
             rows, digests = [], []
             for doc, data in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
-                first, last, h = anchors(data)
+                first, last, at, h = anchors(data)
                 if len(first):
-                    rows.append((np.full(len(first), doc), first, last, h.astype(np.int64)))
+                    rows.append((h.astype(np.int64), np.full(len(first), doc), first, last, at))
                     digests += [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)]
-            if not rows:
-                continue
-            doc, first, last, h = (np.concatenate(c) for c in zip(*rows, strict=True))
-            e1, e2 = _digests(digests).T
-            order = np.lexsort((first, doc, e2, e1))
-            doc, first, last, h, e1, e2 = (c[order] for c in (doc, first, last, h, e1, e2))
-            new = _new(e1, e2)
-            head = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
-            again = ~new & ((doc > doc[head]) | (first > first[head]))
-            kind = np.where(again, REPEATED, BY_ANCHOR)
-            unit = ~again
-            _, of, often = np.unique(h[unit], return_inverse=True, return_counts=True)
-            kind[np.flatnonzero(unit)[often[of] > 1]] = BY_BYTES
-            signs = np.unique(h[kind == BY_BYTES])
-            none = np.zeros(len(signs), np.int64)
-            yield _batch([np.concatenate(c) for c in zip((np.where(kind == BY_ANCHOR, h, e1), kind, e1, e2, doc, first, last), (signs, none + SEVERAL, none, none, none, none, none), strict=True)])
+            if rows:
+                yield _dealt(rows, digests)
+
+
+def deal_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of the units listed for documents (doc, data, units): windows whose distances from the anchor are the same
+    up to the last three bits. Their key is the bytes that all windows at such distances hold."""
+    for whole in batches:
+        for part in range(0, whole.num_rows, 2000):
+            batch = whole.slice(part, 2000)
+            rows, digests = [], []
+            for doc, data, units in zip(batch.column(0).to_pylist(), _texts(batch, 1), batch.column(2).to_pylist(), strict=True):
+                for u in units:
+                    a, b, y = u["first"], u["last"], u["at"]
+                    for k in range((y - b) // PART, (y - a) // PART + 1):
+                        p, q, core = max(a, y - PART * k - PART + 1), min(b, y - PART * k), y - PART * k
+                        rows.append((xxhash.xxh3_64_intdigest(data[core : core + LENGTH - PART + 1]), doc, p, q, y))
+                        digests.append(xxhash.xxh3_128_digest(data[p : q + LENGTH]))
+            if rows:
+                key, *rest = zip(*rows, strict=True)
+                yield _dealt([(np.array(key, _U).astype(np.int64), *(np.array(c, np.int64) for c in rest))], digests)
+
+
+def deal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of the parts listed for documents (doc, data, units)."""
+    for whole in batches:
+        for part in range(0, whole.num_rows, 2000):
+            batch = whole.slice(part, 2000)
+            rows, digests = [], []
+            for doc, data, units in zip(batch.column(0).to_pylist(), _texts(batch, 1), batch.column(2).to_pylist(), strict=True):
+                for p in sorted({p for u in units for p in range(u["first"], u["last"] + 1)}):
+                    rows.append((doc, p))
+                    digests.append(xxhash.xxh3_128_digest(data[p : p + LENGTH]))
+            if rows:
+                doc, p = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+                yield _dealt([(_digests(digests)[:, 0], doc, p, p, p)], digests)
 
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows dealt out and sorted by key, bytes, document and start. Out: doc, first, last, repeated; rows that are not
-    repeated are the first of their bytes and share an anchor with others. One row is carried from batch to batch."""
-    kinds = pa.schema([("doc", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("repeated", pa.bool_())])
+    """Rows dealt out and sorted by key, bytes, document and start. Out: doc, first, last, at, repeated; rows that are not
+    repeated are the first of their bytes and share a key with others. One row is carried from batch to batch."""
+    kinds = pa.schema([("doc", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("at", pa.int64()), ("repeated", pa.bool_())])
     carry: list[np.ndarray] | None = None  # the last group's last new bytes
     sent = several_before = False
 
-    def out(doc, first, last, repeated) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(first), pa.array(last), pa.array(repeated)], schema=kinds)
+    def out(*cols: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(map(pa.array, cols)), schema=kinds)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, kind, e1, e2, doc, first, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        key, kind, e1, e2, doc, first, last, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if (known := kind == REPEATED).any():
-            yield out(doc[known], first[known], last[known], np.ones(known.sum(), bool))
-            key, kind, e1, e2, doc, first, last = (c[~known] for c in (key, kind, e1, e2, doc, first, last))
+            yield out(doc[known], first[known], last[known], at[known], np.ones(known.sum(), bool))
+            key, kind, e1, e2, doc, first, last, at = (c[~known] for c in (key, kind, e1, e2, doc, first, last, at))
             if not len(key):
                 continue
         held = carry is not None
         if held:
-            key, kind, e1, e2, doc, first, last = (np.concatenate([a, b]) for a, b in zip(carry, (key, kind, e1, e2, doc, first, last), strict=True))
+            key, kind, e1, e2, doc, first, last, at = (np.concatenate([a, b]) for a, b in zip(carry, (key, kind, e1, e2, doc, first, last, at), strict=True))
         group = np.cumsum(_new(key)) - 1
         unit = kind != SEVERAL
         new = _new(key, e1, e2, unit)
@@ -135,37 +176,13 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held and sent:
             leads[0] = False
         chosen = again | leads
-        yield out(doc[chosen], first[chosen], last[chosen], again[chosen])
+        yield out(doc[chosen], first[chosen], last[chosen], at[chosen], again[chosen])
         end = group == group[-1]
         tail = np.flatnonzero(end & unit & new)
         several_before = bool(several[-1])
-        at = tail[-1] if len(tail) else len(key) - 1
+        lead = tail[-1] if len(tail) else len(key) - 1
         sent = several_before
-        carry = [c[at : at + 1] for c in (key, kind, e1, e2, doc, first, last)]
-
-
-def deal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of the units listed for a document (doc, text as bytes, units), each a row; as in deal_units, equal ones
-    leave a part once."""
-    for whole in batches:
-        for part in range(0, whole.num_rows, 500):
-            batch = whole.slice(part, 500)
-            docs, starts, digests = [], [], []
-            for doc, data, units in zip(batch.column(0).to_pylist(), _texts(batch, 1), batch.column(2).to_pylist(), strict=True):
-                at = [p for u in units for p in range(u["first"], u["last"] + 1)]
-                docs += [doc] * len(at)
-                starts += at
-                digests += [xxhash.xxh3_128_digest(data[p : p + LENGTH]) for p in at]
-            if not docs:
-                continue
-            doc, first = np.array(docs, np.int64), np.array(starts, np.int64)
-            e1, e2 = _digests(digests).T
-            order = np.lexsort((first, doc, e2, e1))
-            doc, first, e1, e2 = (c[order] for c in (doc, first, e1, e2))
-            new = _new(e1, e2)
-            head = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
-            again = ~new & ((doc > doc[head]) | (first > first[head]))
-            yield _batch([e1, np.where(again, REPEATED, BY_ANCHOR), e1, e2, doc, first, first])
+        carry = [c[lead : lead + 1] for c in (key, kind, e1, e2, doc, first, last, at)]
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +205,27 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _settled(rows: DataFrame, deal: Callable) -> DataFrame:
     dealt = rows.mapInArrow(deal, _SCHEMA).repartition("key").sortWithinPartitions("key", "e1", "e2", "doc", "first")
-    return stored(dealt.mapInArrow(settle, "doc long, first long, last long, repeated boolean"))
+    return stored(dealt.mapInArrow(settle, "doc long, first long, last long, at long, repeated boolean"))
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("doc").agg(F.collect_list(F.struct("first", "last", "at")).alias("units"))
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("doc"), F.lit(BUCKETS))
+
+
+def _buckets(rows: DataFrame) -> DataFrame:
+    """The buckets of documents, for a broadcast: BUCKETS rows at most."""
+    return F.broadcast(rows.select(_bucket().alias("bucket")).distinct())
+
+
+def _with_units(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """doc, data, units of the documents that rows are about; others are dropped before texts are moved, as far as their
+    buckets allow."""
+    near = texts.withColumn("bucket", _bucket()).join(_buckets(rows), "bucket", "left_semi")
+    return near.join(_listed(rows), "doc").select("doc", "data", "units")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,7 +237,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8").alias("data"))
     named = texts.where("doc is not null")
     units = _settled(named, deal_units)
-    listed = lambda x: x.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("units"))
-    windows = _settled(named.join(listed(units.where("not repeated").select("doc", "first", "last").distinct()), "doc").select("doc", "data", "units"), deal_windows)
-    gone = listed(units.where("repeated").unionByName(windows.where("repeated")))
-    return texts.join(gone, "doc", "left").select("doc", "data", "units").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    parts = _settled(_with_units(named, units.where("not repeated")), deal_parts)
+    windows = _settled(_with_units(named, parts.where("not repeated")), deal_windows)
+    gone = units.unionByName(parts).unionByName(windows).where("repeated")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    bucketed = texts.withColumn("bucket", _bucket())
+    whole = bucketed.join(_buckets(gone), "bucket", "left_anti").select("doc", "data", F.array().cast("array<struct<first:bigint,last:bigint,at:bigint>>").alias("units"))
+    rest = bucketed.join(_buckets(gone), "bucket", "left_semi").join(_listed(gone), "doc", "left").select("doc", "data", "units")
+    return whole.mapInArrow(cut, schema).unionByName(rest.mapInArrow(cut, schema))
