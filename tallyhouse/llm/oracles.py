@@ -28,11 +28,11 @@ WITH turns AS (
   SELECT *, sum(length(piece)) OVER (PARTITION BY side, conv_id, after ORDER BY place) AS stop FROM pieces
 ), done AS (
   SELECT side, conv_id, after, string_agg(piece, '' ORDER BY place) AS body,
-         list({'start': CAST(stop - length(text) - 8 AS INTEGER), 'end': CAST(stop AS INTEGER)} ORDER BY place) FILTER (role = 'assistant') AS mask
+         string_agg(CAST(stop - length(text) - 8 AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY place) FILTER (role = 'assistant') AS mask
   FROM ends GROUP BY side, conv_id, after
 )
 SELECT p.conv_id, p.n AS n_prompt_turns, coalesce(q.body, '') AS prompt, coalesce(c.body, '') AS chosen, coalesce(r.body, '') AS rejected,
-       coalesce(c.mask, []) AS chosen_mask, coalesce(r.mask, []) AS rejected_mask
+       coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
 FROM prefix p
 LEFT JOIN done q ON q.conv_id = p.conv_id AND q.side = 'chosen' AND NOT q.after
 LEFT JOIN done c ON c.conv_id = p.conv_id AND c.side = 'chosen' AND c.after
@@ -41,11 +41,11 @@ LEFT JOIN done r ON r.conv_id = p.conv_id AND r.side = 'rejected' AND r.after
 
 DECONTAMINATION = rf"""
 WITH split AS (
-  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), w -> w <> '') AS w FROM documents WHERE doc_id IS NOT NULL
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda w: w <> '') AS w FROM documents WHERE doc_id IS NOT NULL
   UNION ALL
-  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), w -> w <> '') FROM benchmark WHERE item_id IS NOT NULL
+  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda w: w <> '') FROM benchmark WHERE item_id IS NOT NULL
 ), shingles AS (
-  SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), i -> array_to_string(w[i:i + 4], ' '))) AS s FROM split
+  SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM split
 ), items AS (
   SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'i'
 )

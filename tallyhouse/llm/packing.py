@@ -118,7 +118,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         base[part, length] = counts.get(length, 0)
         counts[length] = base[part, length] + n
     plan = np.array(sorted(sweep(counts, capacity)), np.int64).reshape(-1, 5)
-    begins = {n: (a, b) for n, a, b in zip(*(x.tolist() for x in np.unique(plan[:, 0], return_index=True)), np.append(np.unique(plan[:, 0], return_index=True)[1][1:], len(plan)).tolist(), strict=True)}
+    lengths, at = np.unique(plan[:, 0], return_index=True)
+    begins = dict(zip(lengths.tolist(), zip(at.tolist(), [*at[1:].tolist(), len(plan)], strict=True), strict=True)) if len(at) else {}
     kinds = [("sequence_id", pa.int64()), ("offset", pa.int64())]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

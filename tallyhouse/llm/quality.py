@@ -19,14 +19,16 @@ from tallyhouse.llm.common import let, stored, windows, words
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 
-#: Measure of each rule, from the columns of measures(); all are shares from 0 to 1.
-RULES = {
-    "symbols": F.least(F.lit(1.0), F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
-    "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    "repeats": F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1)),
-    "long_words": F.least(F.lit(1.0), F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)) / 50),
-    "short_words": 1 - F.least(F.lit(1.0), F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)) / 50),
-}
+N_RULES = 5
+
+
+def rules() -> dict[str, Column]:
+    """Measure of each rule, from the columns of measures(); all are shares from 0 to 1."""
+    share = lambda a, b: F.least(F.lit(1.0), F.col(a) / F.greatest(F.col(b), F.lit(1)))
+    length = F.least(F.lit(1.0), F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)) / 50)
+    return {"symbols": share("n_symbols", "word_chars"), "dup_lines": share("n_dup_lines", "n_lines"), "repeats": share("n_repeat_words", "n_words"), "long_words": length, "short_words": 1 - length}
+
+
 GRID = 200
 MOST_FALSE, ERROR = 0.002, 0.05
 #: Rows of cutoffs that are sent to all executors; more are joined by key.
@@ -88,11 +90,11 @@ def cutoffs(found: DataFrame, labels: DataFrame, most_false: float = MOST_FALSE,
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("low"))
     good = found.join(marks.where(F.col("low") == 1), "doc_id", "left_semi").withColumn("stratum", F.coalesce("stratum", F.lit("")))
-    levels = F.array(*(F.struct(F.lit(r).alias("rule"), F.ceil(m * GRID).cast("int").alias("level")) for r, m in RULES.items()))
+    levels = F.array(*(F.struct(F.lit(r).alias("rule"), F.ceil(m * GRID).cast("int").alias("level")) for r, m in rules().items()))
     counts = good.select("stratum", F.explode(levels).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count("*").alias("n"))
     # at most strata * rules * (GRID + 1) rows from here
     grid = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("n_good"), F.map_from_entries(F.collect_list(F.struct("level", "n"))).alias("at"))
-    grid = grid.withColumn("n_tests", F.size(F.collect_set("stratum").over(Window.partitionBy(F.lit(0)))) * len(RULES))
+    grid = grid.withColumn("n_tests", F.size(F.collect_set("stratum").over(Window.partitionBy(F.lit(0)))) * N_RULES)
     tests = grid.select("stratum", "rule", "n_good", "n_tests", "at", F.explode(F.sequence(F.lit(0), F.lit(GRID - 1))).alias("level"))
     above = F.aggregate(F.map_entries("at"), F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] > F.col("level"), e["value"]).otherwise(0))
     tests = tests.withColumn("n_false", above)
@@ -112,7 +114,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, most_false: float = MOST_FAL
     cut = stored(cutoffs(found, labels, most_false, error).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut")))
     small = cut.count() <= MOST_STRATA
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    failed = F.array_compact(F.array(*(F.when(m > F.col("cut")[r], F.lit(r)) for r, m in RULES.items())))
+    failed = F.array_compact(F.array(*(F.when(m > F.col("cut")[r], F.lit(r)) for r, m in rules().items())))
     rows = found.withColumn("stratum", F.coalesce("stratum", F.lit(""))).join(F.broadcast(cut) if small else cut, "stratum", "left")
     rows = rows.withColumn("base_failed", base).withColumn("failed", F.coalesce(failed, F.array().cast("array<string>")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0)).drop("cut")

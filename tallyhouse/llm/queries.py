@@ -41,7 +41,9 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.swapped_replies(table(spark, sf_dir, "conversations"))
-    return preference.preferences(pairs).withColumnRenamed("key", "conv_id")
+    found = preference.preferences(pairs).withColumnRenamed("key", "conv_id")
+    spelled = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.withColumns({c: spelled(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
 def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def _texts(batch: pa.RecordBatch, i: int) -> list[bytes]:
 
 def _dealt(rows: list[tuple[np.ndarray, ...]], digests: list[bytes]) -> pa.RecordBatch:
     """Rows (key, doc, first, last, at) and the hashes of their bytes, made ready for dealing. Of rows with the same bytes
-    the earliest stays and the rest are known to be repeated; where a key has several left, these are dealt out by their
+    the earliest stays and the rest are known to be repeated and dealt out anywhere; where a key has several left, these are dealt out by their
     bytes, with one sign by the key."""
     key, doc, first, last, at = (np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True))
     e1, e2 = _digests(digests).T
@@ -89,7 +89,7 @@ def _dealt(rows: list[tuple[np.ndarray, ...]], digests: list[bytes]) -> pa.Recor
     kind[np.flatnonzero(~again)[often[of] > 1]] = BY_BYTES
     signs = np.unique(key[kind == BY_BYTES])
     none = np.zeros(len(signs), np.int64)
-    return _batch([np.concatenate(c) for c in zip((np.where(kind == BY_ANCHOR, key, e1), kind, e1, e2, doc, first, last, at), (signs, none + SEVERAL, *[none] * 6), strict=True)])
+    return _batch([np.concatenate(c) for c in zip((np.select([kind == BY_ANCHOR, kind == BY_BYTES], [key, e1], mix((doc ^ (first << 20)).astype(_U)).astype(np.int64)), kind, e1, e2, doc, first, last, at), (signs, none + SEVERAL, *[none] * 6), strict=True)])
 
 
 def deal_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
