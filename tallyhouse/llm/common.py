@@ -85,7 +85,7 @@ def strings(column) -> list[str]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a number of words."""
 
-    def __init__(self, remember: int = 500_000):
+    def __init__(self, remember: int = 200_000):
         super().__init__()
         self.remember = remember
 

@@ -56,7 +56,7 @@ class Encoder:
     encoded once and remembered, up to `remember` of them (some 200 bytes each); rarer ones are encoded again.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -34,7 +34,7 @@ class _Buckets(dict):
     def __missing__(self, word: str) -> bytes:
         w = _STRIP.sub("", word)
         found = np.array([zlib.crc32(f"{k}{x}".encode("utf-8", "surrogatepass")) % BUCKETS for k, x in enumerate((w, w[:5], w[:4]))], "<u2").tobytes()
-        if len(self) < 500_000:
+        if len(self) < 200_000:
             self[word] = found
         return found
 
