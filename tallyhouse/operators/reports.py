@@ -157,14 +157,6 @@ def basic_report(kpi: DataFrame) -> DataFrame:
     day = labelled({name: F.col(name) for name in days.columns}, ", ")
     # each line starts with its date
     by_day = days.agg(F.array_join(F.sort_array(F.collect_list(day), asc=False), "\n").alias("text"))
-    advice = "\n".join(
-        [
-            "Watch the delivery and cancellation rates.",
-            "Look into the reasons when many lines are cancelled.",
-            "Follow the mean line value.",
-            "Keep the performance grade up.",
-        ]
-    )
-    parts = {"Overview": overview, "Grades": by_grade.scalar(), "Days": by_day.scalar(), "Next steps": F.lit(advice)}
+    parts = {"Overview": overview, "Grades": by_grade.scalar(), "Days": by_day.scalar()}
     text = F.concat_ws("\n\n", *(F.concat(F.lit(f"# {title}\n"), body) for title, body in parts.items()))
     return kpi.sparkSession.range(1).select(text.alias("report"))

@@ -154,7 +154,7 @@ def sync_all(
             status = "SUCCESS" if result.complete else "INCOMPLETE"
             done.append((spec.target, result.rows, status))
         except Exception as problem:  # reported in the summary, by table
-            done.append((spec.target, 0, f"FAILED: {str(problem).splitlines()[0][:200]}"))
+            done.append((spec.target, 0, f"FAILED: {problem!r}"))
     rows = spark.createDataFrame(done, "table_name string, record_count bigint, status string")
     summary = rows.withColumn("processed_date", F.lit(as_of).cast("timestamp"))
     if summary_path is not None:
