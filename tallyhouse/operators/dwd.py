@@ -53,8 +53,6 @@ DETAIL_DEFAULTS = {
     "ProductName": v.UNKNOWN_PRODUCT,
     "WarehouseName": v.UNKNOWN_WAREHOUSE,
 }
-# Warehouse names, with a percentage each, that are broadcast at most: some megabytes
-BROADCAST_NAMES = 100_000
 # Columns of a line that tell the rows of a hot key apart
 SPREAD = ("OrderID", "ProductID", "Quantity", "UnitPrice")
 
@@ -70,14 +68,16 @@ def dwd_orders(
     rules: OrderRules = OrderRules(),
     customers_dt: str | None = None,
     employees_dt: str | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Orders with customer and creator, standard statuses, delivery and quality columns.
 
     Without ``employees`` the creator is left out, for readers that do not use it.
+    ``check`` fails if a dimension holds a key twice.
     """
-    dims = [DimSpec(customers, ("CustomerID", "CustomerID"), CUSTOMER, customers_dt)]
+    dims = [DimSpec(customers, ("CustomerID", "CustomerID"), CUSTOMER, customers_dt, check=check)]
     if employees is not None:
-        dims.append(DimSpec(employees, ("CreatedBy", "EmployeeID"), EMPLOYEE, employees_dt))
+        dims.append(DimSpec(employees, ("CreatedBy", "EmployeeID"), EMPLOYEE, employees_dt, check=check))
     wide = widen(orders, dims, spread_by=["OrderID", "OrderDate"])
     clean = with_standard_amounts(c.with_defaults(wide, ORDER_DEFAULTS)).withColumns(
         {
@@ -125,17 +125,19 @@ def dwd_orderdetails(
     categories: Mapping[str, str] = v.PRODUCT_CATEGORY,
     rules: DetailRules = DetailRules(),
     snapshots: Mapping[str, str | None] | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Order lines with order, customer, product, warehouse and factory columns.
 
     A dimension given as None is not joined and its columns are missing, for readers
     that do not use them.  ``snapshots`` gives the partition date to read of the
-    dimensions that have one, by argument name.
+    dimensions that have one, by argument name.  ``check`` fails if a dimension holds a
+    key twice.
     """
     dt = dict(snapshots or {})
 
     def dim(name: str, df: DataFrame | None, key: str, columns: Mapping[str, str]) -> DimSpec | None:
-        return None if df is None else DimSpec(df, (key, key), columns, dt.get(name))
+        return None if df is None else DimSpec(df, (key, key), columns, dt.get(name), check=check)
 
     dims = []
     if orders is not None:
@@ -194,11 +196,18 @@ def lines_by_name(
     )
 
 
-def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> DataFrame:
-    """Share of delivered lines of the same warehouse name, in percent."""
-    efficiency = by_name.select(
+def efficiency_of(by_name: DataFrame) -> DataFrame:
+    return by_name.select(
         "WarehouseName", (F.try_divide("delivered", "lines") * 100).alias("WarehouseEfficiency")
     )
+
+
+def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> DataFrame:
+    """Share of delivered lines of the same warehouse name, in percent.
+
+    ``small`` says that the size of the names has been checked against the limit of a broadcast.
+    """
+    efficiency = efficiency_of(by_name)
     if small:
         return lines.join(F.broadcast(efficiency), "WarehouseName", "left")
     # the counts at hand say which names are hot: a bounded number of them
@@ -212,10 +221,11 @@ def with_efficiency(lines: DataFrame, by_name: DataFrame, *, small: bool) -> Dat
 def warehouse_efficiency(lines: DataFrame) -> DataFrame:
     """W1 over a cleaned fact: every line with the efficiency of its warehouse name.
 
-    Equal to a window over the whole warehouse, without moving its lines to one task.
+    Equal to a window over the whole warehouse.  The names are few or many, so Spark
+    chooses the join by the size it finds, and splits busy names if it must move lines.
     """
     lines = lines.drop("WarehouseEfficiency")
     by_name = lines.groupBy("WarehouseName").agg(
         count_rows().alias("lines"), count_of("OrderDetailStatus", "Delivered").alias("delivered")
     )
-    return with_efficiency(lines, by_name, small=by_name.count() <= BROADCAST_NAMES)
+    return lines.join(efficiency_of(by_name), "WarehouseName", "left")

@@ -5,17 +5,18 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot with this share of the rows, or with less if that is several average
-# shuffle partitions; the least share bounds the number of hot keys.
+# shuffle partitions.
 HOT_SHARE = 0.005
 SKEW_FACTOR = 5
-LEAST_SHARE = 0.0001
+# The least share Spark's sketch of frequent items takes; keys are counted exactly below it
+LEAST_SUPPORT = 0.0001
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,10 @@ class DimSpec:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate of ``df`` lets Spark broadcast it by itself.
 
-    Over Spark Connect the estimate is out of reach and the choice is left to Spark.
+    Over Spark Connect the estimate is out of reach, so nothing counts as small.
     """
     if not hasattr(df, "_jdf"):
-        return True
+        return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return 0 <= size <= limit
@@ -95,7 +96,7 @@ class HotKeys:
 
 def hot_share(partitions: int) -> float:
     """The share of rows from which a key counts as hot: some average partitions' worth."""
-    return min(HOT_SHARE, max(SKEW_FACTOR / partitions, LEAST_SHARE))
+    return min(HOT_SHARE, SKEW_FACTOR / partitions)
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -107,11 +108,17 @@ def hot_keys(fact: DataFrame, key: str, partitions: int | None = None) -> HotKey
 
     A frequent-item sketch names up to ``1 / hot_share`` candidates, all hot keys among
     them; counting the candidates leaves the hot ones.  No more values than that come
-    to the driver, whatever the size of the fact.
+    to the driver, whatever the size of the fact.  For shares the sketch does not take
+    (over 50,000 partitions) the rows are counted by key, and the hot keys alone come back.
     """
     partitions = partitions or shuffle_partitions(fact)
     keys = fact.select(key)
-    candidates = keys.filter(F.col(key).isNotNull()).freqItems([key], hot_share(partitions)).first()[0] or []
+    share = hot_share(partitions)
+    if share < LEAST_SUPPORT:
+        total = keys.count()
+        hot = keys.groupBy(key).count().filter(F.col("count") >= share * total).collect()
+        return HotKeys.among({row[key]: row["count"] for row in hot}, max(1, total), partitions)
+    candidates = keys.filter(F.col(key).isNotNull()).freqItems([key], share).first()[0] or []
     # one group per candidate, one for the rows without a key, one for all others
     candidate = F.when(F.col(key).isin(candidates), F.col(key))
     groups = keys.groupBy(candidate.alias("key"), F.col(key).isNull().alias("none")).count().collect()
@@ -185,7 +192,7 @@ def through(dim: DimSpec, outer: DimSpec | None) -> list[DimSpec]:
     if fits_broadcast(dim.right(dim.on[0])) and fits_broadcast(outer.right(outer.on[0])):
         return [dim, outer]
     link = {name: column for column, name in dim.columns.items()}[outer.on[0]]
-    inner = DimSpec(outer.df, (link, outer.on[1]), outer.columns, outer.dt, outer.part_col)
+    inner = replace(outer, on=(link, outer.on[1]))
     known = widen(dim.snapshot().select(dim.on[1], *dim.columns), [inner], [dim.on[1]])
     return [DimSpec(known, dim.on, {**dim.columns, **{name: name for name in outer.columns.values()}})]
 

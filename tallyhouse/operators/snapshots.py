@@ -145,8 +145,8 @@ def in_month(df: DataFrame, month: str, date_col: str = "OrderDate") -> DataFram
 
 
 def last_days(df: DataFrame, as_of: str, days: int, date_col: str = "order_date") -> DataFrame:
-    """Dates not older than ``days`` before the date."""
-    return df.filter(F.col(date_col) >= days_before(as_of, days))
+    """Dates not older than ``days`` before the date, and none after it."""
+    return df.filter(F.col(date_col).between(days_before(as_of, days), as_of))
 
 
 # ------------------------------------------------------------ increments
@@ -168,20 +168,28 @@ def delta(src: DataFrame, col: str, hwm: object | None, lookback_days: int = 0)
     return src.filter(F.col(col) > mark)
 
 
-def latest_per_key(df: DataFrame, keys: Iterable[str], order_col: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order_col``, ties by the other columns.
+def latest_per_key(df: DataFrame, keys: Iterable[str], *order: str) -> DataFrame:
+    """One row per key: the one with the greatest ``order`` columns, ties by the other columns.
 
     An aggregate, so rows of a frequent key are reduced before they are moved.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    newest = F.max(F.struct(order_col, *rest)).alias("__row")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("__row")
     return df.groupBy(*keys).agg(newest).select(*keys, "__row.*").select(*df.columns)
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Iterable[str], order_col: str) -> DataFrame:
-    """The newest version of every changed row, and the target's other rows."""
-    keys = list(keys)
-    newest = latest_per_key(changes, keys, order_col)
-    kept = target.join(newest.select(*keys), keys, "left_anti")
-    return kept.unionByName(newest.select(*target.columns))
+    """The newest version of every changed row, and the target's other rows.
+
+    A change older than the row the target holds is no news; of equal age, the change
+    counts.  The target holds a key at most once, and its rows meet the changes only: few
+    changes are broadcast and the target stays where it is.
+    """
+    keys, columns = list(keys), target.columns
+    changed = latest_per_key(changes, keys, order_col).select(*columns)
+    both = target.join(changed.select(*keys, F.struct(*columns).alias("__new")), keys, "left")
+    age = F.col("__new")[order_col]
+    newer = F.col("__new").isNotNull() & (F.col(order_col).isNull() | F.coalesce(age >= F.col(order_col), F.lit(False)))
+    chosen = both.select(*(F.when(newer, F.col("__new")[c]).otherwise(F.col(c)).alias(c) for c in columns))
+    return chosen.unionByName(changed.join(target.select(*keys), keys, "left_anti").select(*columns))

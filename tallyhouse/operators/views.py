@@ -45,14 +45,18 @@ def performance_grade(rate: str, bands: Bands = PERFORMANCE_GRADE) -> Column:
     return bands.of(F.col(rate)).alias("performance_grade")
 
 
-def one_row_per_date(summary: DataFrame, date: str = "order_date", part_col: str = "dt") -> DataFrame:
-    """The newest load's row of every date, where loads of several days are kept.
+def one_row_per_date(
+    summary: DataFrame, date: str = "order_date", part_col: str = "dt", as_of: str | None = None
+) -> DataFrame:
+    """The row of every date from its newest load, not after ``as_of`` if that is given.
 
-    Snapshots repeat each date in every load; a trend over all of them would compare
-    two loads of one date.
+    Snapshots repeat each date in every load, and a load of increments writes every date
+    it changes anew; a trend over all of them would compare two loads of one date.
     """
     if part_col not in summary.columns:
         return summary
+    if as_of is not None:
+        summary = summary.filter(F.col(part_col) <= as_of)
     rest = [c for c in summary.columns if c not in (date, part_col)]
     newest = summary.groupBy(date).agg(F.max(F.struct(part_col, *rest)).alias("row"))
     return newest.select(date, "row.*")
@@ -204,7 +208,7 @@ def orders_trend(daily: DataFrame, as_of: str | None = None, days: int = 7) -> D
 
     The first day shown has no day before it, even if the table has one.
     """
-    shown = one_row_per_date(daily).select(
+    shown = one_row_per_date(daily, as_of=as_of).select(
         "order_date", "total_orders", "total_amount", "completion_rate", "delay_rate"
     )
     if as_of is not None:
@@ -215,7 +219,7 @@ def orders_trend(daily: DataFrame, as_of: str | None = None, days: int = 7) -> D
 
 def orderdetails_trend(daily: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
     """W4."""
-    shown = one_row_per_date(daily).select(
+    shown = one_row_per_date(daily, as_of=as_of).select(
         "order_date", "total_items", "total_amount", "total_quantity", "delivery_rate", "discount_rate"
     )
     if as_of is not None:
@@ -224,9 +228,9 @@ def orderdetails_trend(daily: DataFrame, as_of: str | None = None, days: int = 7
     return with_previous(shown, "order_date", previous).orderBy(F.desc("order_date"))
 
 
-def orders_monthly_trend(monthly: DataFrame) -> DataFrame:
-    """W3."""
-    shown = one_row_per_date(monthly, "year_month").select(
+def orders_monthly_trend(monthly: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Each month with the month before, as far as known on a date, if one is given."""
+    shown = one_row_per_date(monthly, "year_month", as_of=as_of).select(
         "year_month",
         "total_orders",
         "total_amount",

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 PARTITION_BYTES = 256 * 1024**2  # one shuffle partition: fits an executor core's share of memory
-MOST_PARTITIONS = 100_000  # beyond this the bookkeeping of a shuffle costs more than a spill
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+def settings_for(input_bytes: int, cores: int, most_partitions: int | None = None) -> dict[str, str]:
     """Settings for jobs that may shuffle ``input_bytes`` on ``cores`` executor cores.
 
     The number of shuffle partitions is an upper end: small ones are joined and skewed
     ones split while a job runs.  It is also the number of pieces a hot join key is
-    split into.
+    split into.  ``most_partitions`` limits it for a driver that cannot keep track of so
+    many; partitions then grow over the size above.
     """
     wanted = -(-input_bytes // PARTITION_BYTES)
-    partitions = max(1, min(max(wanted, 2 * cores), MOST_PARTITIONS))
+    partitions = max(wanted, 2 * cores, 1)
+    if most_partitions is not None:
+        partitions = min(partitions, most_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.snapshots import delta, high_water_mark, stamp
+from tallyhouse.operators.snapshots import delta, high_water_mark, latest_per_key, stamp, upsert
 from tallyhouse.sinks import tables as sink
-from tallyhouse.sources.jdbc import JdbcOptions, read_partitioned, read_table
+from tallyhouse.sources.jdbc import JdbcOptions, read_partitioned, read_table, select_existing
 from tallyhouse.sources.tables import SOURCE_TABLES
 
 MODES = ("incremental", "full")
-KEPT = ("keep_history", "latest_only")
+KEPT = ("keep_history", "latest_only", "upsert")
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One table to copy; the defaults are those of a spec that names only the tables."""
+    """One table to copy; the defaults are those of a spec that names only the tables.
+
+    Strategy ``upsert`` keeps one row per ``keys`` in a table without partitions.
+    """
 
     source: str
     target: str
@@ -31,12 +35,21 @@ class TableSpec:
     lookback_days: int = 0
     enabled: bool = True
     path: str | None = None
+    keys: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
             raise ValueError(f"unknown sync mode {self.mode} for {self.source}")
         if self.strategy not in KEPT:
             raise ValueError(f"unknown strategy {self.strategy} for {self.source}")
+        if self.strategy == "upsert" and not self.keys:
+            raise ValueError(f"strategy upsert of {self.source} needs keys")
+
+    @classmethod
+    def of(cls, options: Mapping[str, object]) -> TableSpec:
+        """A spec from plain options, such as a configuration file holds; unknown names are errors."""
+        keys = options.get("keys", ())
+        return cls(**{**options, "keys": (keys,) if isinstance(keys, str) else tuple(keys)})
 
 
 # Opens the source of a spec; the rows wanted are filtered on the result, so that a
@@ -44,10 +57,11 @@ class TableSpec:
 Reader = Callable[[SparkSession, TableSpec], DataFrame]
 
 
-def jdbc_reader(opts: JdbcOptions, parallel: int = 1) -> Reader:
-    """Reads a spec's source over JDBC, the known columns of a known table.
+def jdbc_reader(opts: JdbcOptions, parallel: int = 1, known_columns: bool = False) -> Reader:
+    """Reads a spec's source over JDBC.
 
-    With ``parallel`` a known table is read in that many ranges of its key.
+    With ``parallel`` a known table is read in that many ranges of its key.  All columns are
+    copied; with ``known_columns`` those of a known table that ``SOURCE_TABLES`` lists.
     """
 
     def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -58,35 +72,32 @@ def jdbc_reader(opts: JdbcOptions, parallel: int = 1) -> Reader:
             rows = read_partitioned(spark, opts, spec.source, known["key"], parallel)
         else:
             rows = read_table(spark, opts, spec.source)
-        return rows.select(*known["columns"].split())
+        return rows.select(*known["columns"]) if known_columns else rows
 
     return read
 
 
 def default_specs(database: str = "ods") -> list[TableSpec]:
-    """The tables of the business with the way each is copied."""
-    # ---- Fixed values: days of history kept, None for all; "latest" keeps no history
-    kept = {
-        "Orders": None,
-        "OrderDetails": None,
-        "InventoryTransactions": None,
-        "Customers": 90,
-        "Products": 180,
-        "Warehouses": "latest",
-        "Employees": 365,
-        "Factories": "latest",
-        "Inventory": "latest",
-    }
+    """The tables of the business, each copied as full snapshots or as its newest state."""
+
+    def snapshots(name: str, keep_days: int | None = None) -> TableSpec:
+        changed = SOURCE_TABLES[name.lower()]["changed"]
+        return TableSpec(name, f"{database}.{name}", changed, mode="full", keep_days=keep_days)
+
+    def newest(name: str) -> TableSpec:
+        return replace(snapshots(name), strategy="latest_only")
+
+    # ---- Fixed values: days of history kept, all without a number
     return [
-        TableSpec(
-            source=name,
-            target=f"{database}.{name}",
-            inc_col=SOURCE_TABLES[name.lower()]["changed"],
-            mode="full",
-            strategy="latest_only" if days == "latest" else "keep_history",
-            keep_days=None if days == "latest" else days,
-        )
-        for name, days in kept.items()
+        snapshots("Orders"),
+        snapshots("OrderDetails"),
+        snapshots("InventoryTransactions"),
+        snapshots("Customers", 90),
+        snapshots("Products", 180),
+        newest("Warehouses"),
+        snapshots("Employees", 365),
+        newest("Factories"),
+        newest("Inventory"),
     ]
 
 
@@ -99,7 +110,7 @@ def mark_before(spark: SparkSession, spec: TableSpec, as_of: str) -> object | No
     if spec.mode != "incremental" or not sink.table_exists(spark, spec.target):
         return None
     held = spark.table(spec.target)
-    if spec.part_col:
+    if spec.part_col and spec.strategy != "upsert":
         held = held.filter(F.col(spec.part_col) < as_of)
     return high_water_mark(held, spec.inc_col).first()["hwm"]
 
@@ -113,6 +124,7 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
     incremental    (any)         rows after the mark become partition ``as_of``
     full           keep_history  all rows become partition ``as_of``
     full           latest_only   all rows replace the table
+    (any)          upsert        rows newer than the table's replace them by key
     =============  ============  ==========================================
 
     Without a partition column an increment is appended and a full copy replaces.
@@ -125,6 +137,12 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
         return sink.WriteResult(spec.target, 0)
     if spec.part_col:
         rows = stamp(rows, as_of, spec.part_col)
+    if spec.strategy == "upsert":
+        if sink.table_exists(spark, spec.target):
+            merged = upsert(spark.table(spec.target), rows, spec.keys, spec.inc_col)
+        else:
+            merged = latest_per_key(rows, spec.keys, spec.inc_col)
+        return sink.write_table(merged, spec.target, path=spec.path)
     if spec.part_col and (spec.mode == "incremental" or spec.strategy == "keep_history"):
         done = sink.replace_partitions(rows, spec.target, part_col=spec.part_col, path=spec.path)
     else:
@@ -138,23 +156,34 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
 
 
 def sync_all(
-    spark: SparkSession, specs: Iterable[TableSpec], as_of: str, read: Reader, summary_path: str | None = None
+    spark: SparkSession,
+    specs: Iterable[TableSpec],
+    as_of: str,
+    read: Reader,
+    summary_path: str | None = None,
+    *,
+    existing: set[str] | None = None,
+    at_once: int = 3,
 ) -> DataFrame:
-    """Copy every enabled table; one failing table does not stop the others.
+    """Copy every enabled table, some at once; one failing table does not stop the others.
 
-    Returns (table_name, record_count, status, processed_date) and saves it as
-    Parquet if a path is given.
+    Returns (table_name, record_count, status, processed_date) in the order of the specs
+    and saves it as Parquet if a path is given.  ``existing`` are the lower-case names of
+    the tables the source has (S8): others are skipped and reported as missing.
     """
-    done = []
-    for spec in specs:
-        if not spec.enabled:
-            continue
+    specs = [spec for spec in specs if spec.enabled]
+
+    def copy(spec: TableSpec) -> tuple[str, int, str]:
+        if existing is not None and not select_existing([spec.source.split(".")[-1]], existing)[0]:
+            return spec.target, 0, f"SKIPPED: no source table {spec.source}"
         try:
             result = sync_table(spark, spec, as_of, read)
-            status = "SUCCESS" if result.complete else "INCOMPLETE"
-            done.append((spec.target, result.rows, status))
+            return spec.target, result.rows, "SUCCESS" if result.complete else "INCOMPLETE"
         except Exception as problem:  # reported in the summary, by table
-            done.append((spec.target, 0, f"FAILED: {problem!r}"))
+            return spec.target, 0, f"FAILED: {problem!r}"
+
+    with ThreadPoolExecutor(max_workers=at_once) as workers:
+        done = list(workers.map(copy, specs))
     rows = spark.createDataFrame(done, "table_name string, record_count bigint, status string")
     summary = rows.withColumn("processed_date", F.lit(as_of).cast("timestamp"))
     if summary_path is not None:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.operators import rollups, views
 from tallyhouse.operators.snapshots import latest_snapshot
+from tallyhouse.plans.warehouse import ROW_KEYS, Layout
 from tallyhouse.sinks.tables import list_partitions
 
 
@@ -63,27 +65,34 @@ KEEPS_RUNS = {"dws_customer_analytics", "dws_product_analytics", "dws_warehouse_
 
 
 def register_views(
-    spark: SparkSession, available: Iterable[str], as_of: str, databases: Mapping[str, str] | None = None
+    spark: SparkSession, available: Iterable[str], as_of: str, layout: Layout
 ) -> list[str]:
     """Create the views whose base table is available; returns their names.
 
-    Views are session views over DataFrame functions.  ``databases`` says where a
-    base table lives, by its name up to the first underscore (``dwd``, ``dws``).
+    Views are session views over DataFrame functions.  They see what was loaded up to the
+    date: of a fact the rows that ``Layout.recent`` gives the aggregates, of an aggregate
+    that keeps its runs the newest run, of daily and monthly summaries every date once.
     """
     available, made = set(available), []
     for name, view in VIEWS.items():
         if view.base not in available:
             continue
-        database = (databases or {}).get(view.base.split("_")[0])
-        table = f"{database}.{view.base}" if database else view.base
-        base = spark.table(table)
-        if view.base in KEEPS_RUNS and "dt" in base.columns:
-            base = latest_snapshot(base, as_of, dates=list_partitions(spark, table))
-        view.make(base, as_of).createOrReplaceTempView(name)
+        view.make(rows_up_to(spark, layout, view.base, as_of), as_of).createOrReplaceTempView(name)
         made.append(name)
     return made
 
 
+def rows_up_to(spark: SparkSession, layout: Layout, base: str, as_of: str) -> DataFrame:
+    table = f"{layout.database(base)}.{base}"
+    if "dt" not in spark.table(table).columns:
+        return spark.table(table)
+    if base.removeprefix("dwd_") in ROW_KEYS:
+        return layout.recent(spark, table, as_of)
+    if base in KEEPS_RUNS:
+        return latest_snapshot(spark.table(table), as_of, dates=list_partitions(spark, table))
+    return spark.table(table).filter(F.col("dt") <= as_of)
+
+
 def require_views(spark: SparkSession, names: Iterable[str]) -> None:
     """Fail with the names of the views that are not there."""
     missing = [name for name in names if not spark.catalog.tableExists(name)]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from tallyhouse.operators import dwd, summaries
 from tallyhouse.operators.snapshots import (
     STRATEGIES,
     TABLE_STRATEGY,
+    latest_per_key,
     latest_snapshot,
     resolve_partition,
     stamp,
@@ -20,22 +21,64 @@ from tallyhouse.operators.snapshots import (
 from tallyhouse.sinks import tables as sink
 
 
+# What tells the rows of a fact apart, raw or cleaned
+ROW_KEYS = {
+    "orders": ("OrderID",),
+    "orderdetails": ("OrderDetailID",),
+    "inventorytransactions": ("TransactionID",),
+}
+CHANGED = "UpdatedDate"
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Database names, and whether facts are loaded as increments or as full snapshots."""
+    """Database names, and whether facts are loaded as increments or as full snapshots.
+
+    ``snapshots`` has no default, it must say how the facts were copied: the specs of
+    ``sync.default_specs`` copy full snapshots, mode ``incremental`` copies increments.
+    Aggregates and views read facts through ``recent`` and ``of_changed_days`` only, so each
+    order or line counts once.  In increments a row copied again, because it changed or
+    in an overlap, lies in several partitions; the newest version by change time, then by
+    load, counts.  An order keeps its order date.
+    """
 
     ods: str = "ods"
     dwd: str = "dwd_db"
     dws: str = "dws_db"
-    snapshots: bool = False
+    snapshots: bool = field(kw_only=True)
     window_days: int = 30
+    keys: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: ROW_KEYS)
+    check: bool = False
+
+    def database(self, name: str) -> str:
+        return {"dwd": self.dwd, "dws": self.dws}.get(name.split("_")[0], self.ods)
+
+    def newest(self, rows: DataFrame, table: str) -> DataFrame:
+        order = [c for c in (CHANGED, "dt") if c in rows.columns]
+        return latest_per_key(rows, self.keys[table.split(".")[-1].lower().removeprefix("dwd_")], *order)
 
     def recent(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
-        """The rows the aggregates of a date stand for, each order or line once."""
+        """The rows the aggregates and views of a date stand for, each order or line once."""
         fact = spark.table(table)
         if self.snapshots:
             return latest_snapshot(fact, as_of, dates=sink.list_partitions(spark, table))
-        return window_by_dt(fact, as_of, self.window_days)
+        return self.newest(window_by_dt(fact, as_of, self.window_days), table)
+
+    def of_changed_days(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
+        """The rows of every order date the load of a date brings, each order or line once.
+
+        Of a snapshot that is the load.  Increments bring late and changed orders of
+        earlier dates, whose other orders lie in earlier loads.  The dates, a number
+        bounded by the calendar, are literals, so the files of other dates are skipped.
+        """
+        fact = spark.table(table)
+        load = fact.filter(F.col("dt") == as_of)
+        if self.snapshots:
+            return load
+        dates = [row[0] for row in load.select("OrderDate").distinct().collect()]
+        known = F.col("OrderDate").isin([d for d in dates if d is not None])
+        wanted = known | F.col("OrderDate").isNull() if None in dates else known
+        return self.newest(fact.filter((F.col("dt") <= as_of) & wanted), table)
 
 
 def dimension(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> DataFrame:
@@ -53,57 +96,75 @@ def batch(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> Da
     return spark.table(f"{layout.ods}.{name}").filter(F.col("dt") == batch_date)
 
 
-def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout = Layout()) -> sink.WriteResult | None:
+def _nothing(spark: SparkSession, table: str, batch_date: str) -> None:
+    """An empty load has no cleaned rows, those of an earlier run over it included."""
+    if sink.table_exists(spark, table):
+        sink.drop_partitions(spark, table, [batch_date])
+
+
+def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout) -> sink.WriteResult | None:
     """Cleaned orders of one load; None if the load is empty."""
-    orders = batch(spark, layout, "Orders", batch_date)
+    orders, target = batch(spark, layout, "Orders", batch_date), f"{layout.dwd}.dwd_orders"
     if orders.isEmpty():
-        return None
+        return _nothing(spark, target, batch_date)
     customers, employees = (dimension(spark, layout, n, batch_date) for n in ("Customers", "Employees"))
-    fact = stamp(dwd.dwd_orders(orders, customers, employees, batch_date=batch_date), batch_date)
+    fact = dwd.dwd_orders(orders, customers, employees, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    return sink.replace_partitions(fact, f"{layout.dwd}.dwd_orders")
+    return sink.replace_partitions(stamp(fact, batch_date), target).require_complete()
+
+
+def known_orders(spark: SparkSession, layout: Layout, batch_date: str, details: DataFrame) -> DataFrame:
+    """The orders the lines of a load belong to, each once.
+
+    A snapshot holds all of them; of increments, every load up to the date counts,
+    because a late line may belong to an old order.  Other orders are left out before
+    versions are compared.
+    """
+    if layout.snapshots:
+        return dimension(spark, layout, "Orders", batch_date)
+    table = f"{layout.ods}.Orders"
+    loaded = spark.table(table).filter(F.col("dt") <= batch_date)
+    return layout.newest(loaded.join(details.select("OrderID"), "OrderID", "left_semi"), table)
 
 
-def build_dwd_orderdetails(
-    spark: SparkSession, batch_date: str, layout: Layout = Layout()
-) -> sink.WriteResult | None:
+def build_dwd_orderdetails(spark: SparkSession, batch_date: str, layout: Layout) -> sink.WriteResult | None:
     """Cleaned order lines of one load; None if the load is empty."""
-    details = batch(spark, layout, "OrderDetails", batch_date)
+    details, target = batch(spark, layout, "OrderDetails", batch_date), f"{layout.dwd}.dwd_orderdetails"
     if details.isEmpty():
-        return None
-    names = ("Orders", "Customers", "Products", "Warehouses", "Factories")
-    dims = [dimension(spark, layout, n, batch_date) for n in names]
-    fact = stamp(dwd.dwd_orderdetails(details, *dims, batch_date=batch_date), batch_date)
+        return _nothing(spark, target, batch_date)
+    names = ("Customers", "Products", "Warehouses", "Factories")
+    dims = [known_orders(spark, layout, batch_date, details), *(dimension(spark, layout, n, batch_date) for n in names)]
+    fact = dwd.dwd_orderdetails(details, *dims, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    return sink.replace_partitions(fact, f"{layout.dwd}.dwd_orderdetails")
+    return sink.replace_partitions(stamp(fact, batch_date), target).require_complete()
 
 
-def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout = Layout()) -> list[str]:
+def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout) -> list[str]:
     """A1 - A3 for a date; returns the tables that got rows."""
     table = f"{layout.dwd}.dwd_orders"
-    recent, today = layout.recent(spark, table, as_of), spark.table(table).filter(F.col("dt") == as_of)
+    recent, changed = layout.recent(spark, table, as_of), layout.of_changed_days(spark, table, as_of)
     return _write(
         spark,
         layout,
         as_of,
         {
-            "dws_orders_daily_summary": lambda: summaries.orders_daily_summary(today),
+            "dws_orders_daily_summary": lambda: summaries.orders_daily_summary(changed),
             "dws_orders_monthly_summary": lambda: summaries.orders_monthly_summary(recent, as_of[:7]),
             "dws_customer_analytics": lambda: summaries.customer_analytics(recent, as_of),
         },
     )
 
 
-def build_dws_orderdetails(spark: SparkSession, as_of: str, layout: Layout = Layout()) -> list[str]:
+def build_dws_orderdetails(spark: SparkSession, as_of: str, layout: Layout) -> list[str]:
     """A4 - A6 for a date; returns the tables that got rows."""
     table = f"{layout.dwd}.dwd_orderdetails"
-    recent, today = layout.recent(spark, table, as_of), spark.table(table).filter(F.col("dt") == as_of)
+    recent, changed = layout.recent(spark, table, as_of), layout.of_changed_days(spark, table, as_of)
     return _write(
         spark,
         layout,
         as_of,
         {
-            "dws_orderdetails_daily_summary": lambda: summaries.orderdetails_daily_summary(today),
+            "dws_orderdetails_daily_summary": lambda: summaries.orderdetails_daily_summary(changed),
             "dws_product_analytics": lambda: summaries.product_analytics(recent),
             "dws_warehouse_analytics": lambda: summaries.warehouse_analytics(recent),
         },
@@ -116,7 +177,7 @@ def _write(
     sink.ensure_database(spark, layout.dws)
     written = []
     for name, make in made.items():
-        done = sink.replace_partitions(stamp(make(), as_of), f"{layout.dws}.{name}")
-        if done.rows:
+        done = sink.replace_partitions(stamp(make(), as_of), f"{layout.dws}.{name}", dates=[as_of])
+        if done.require_complete().rows:
             written.append(name)
     return written

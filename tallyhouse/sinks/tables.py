@@ -28,6 +28,12 @@ class WriteResult:
     def complete(self) -> bool:
         return not self.partitions or sum(self.partitions.values()) == self.rows
 
+    def require_complete(self) -> WriteResult:
+        """Fail if the table holds another number of rows than it was given."""
+        if not self.complete:
+            raise RuntimeError(f"{self.table}: {self.rows} rows written, found {dict(self.partitions)}")
+        return self
+
 
 # ------------------------------------------------------------ catalog
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -129,13 +135,41 @@ def write_table(
     max_records: int | None = None,
     rebalance: bool = False,
 ) -> WriteResult:
-    """K2, K5, K6: a table without partitions, external if ``path`` is given."""
+    """K2, K5, K6: a table without partitions, external if ``path`` is given.
+
+    A table that is there is replaced only when all new rows are written: they go to a
+    table beside it, ``<name>__new``, which then takes its name.  So a failing task leaves
+    the table as it was, and the rows may be read from the table itself.  An external
+    table keeps its folder and takes a copy of the new rows; should that fail,
+    ``<name>__new`` still holds them.
+    """
+    spark = df.sparkSession
+    swapped = mode == "overwrite" and table_exists(spark, name)
+    to = f"{name}__new" if swapped else name
+    if swapped:
+        drop_objects(spark, tables=[to])
     seen = Observation()
     ready = sized(df) if rebalance else df
     # counted in the writing stage itself: a stage run again would count its rows again
     counted = ready.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer(counted, mode, codec, max_records, path).saveAsTable(name)
-    return WriteResult(name, seen.get["rows"])
+    writer(counted, mode, codec, max_records, None if swapped else path).saveAsTable(to)
+    rows = seen.get["rows"]
+    if swapped and path is not None:
+        writer(spark.table(to), mode, codec, max_records, path).saveAsTable(name)
+        drop_objects(spark, tables=[to])
+    elif swapped:
+        swap(spark, to, name)
+    return WriteResult(name, rows)
+
+
+def swap(spark: SparkSession, new: str, name: str) -> None:
+    """A table takes the name of another one, which is dropped last."""
+    old = f"{name}__old"
+    drop_objects(spark, tables=[old])
+    spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(old)}")
+    spark.sql(f"ALTER TABLE {quoted(new)} RENAME TO {quoted(name)}")
+    drop_objects(spark, tables=[old])
+    spark.catalog.refreshTable(name)
 
 
 def replace_partitions(
@@ -147,12 +181,15 @@ def replace_partitions(
     codec: str = CODEC,
     max_records: int | None = None,
     rebalance: bool = False,
+    dates: Iterable[str] = (),
 ) -> WriteResult:
     """Write the partitions in ``df`` in place of their old contents.
 
     All other partitions stay, so a run can be repeated.  Spark moves the new files
     in when every task has finished; a run that fails leaves the table as it was.
-    ``rebalance`` sizes the files of rows that belong to many partitions.
+    ``rebalance`` sizes the files of rows that belong to many partitions.  ``dates`` are
+    the partitions the rows stand for: one that gets no rows is dropped, so that a run
+    repeated over a corrected source leaves nothing stale.
     """
     spark = df.sparkSession
     exists = table_exists(spark, name)
@@ -171,31 +208,45 @@ def replace_partitions(
             writer(counted, "overwrite", codec, max_records).insertInto(name)
     else:
         writer(counted, "errorifexists", codec, max_records, path).partitionBy(part_col).saveAsTable(name)
+    written = seen.get["dates"]
+    drop_partitions(spark, name, [d for d in dates if d not in written], part_col)
     spark.catalog.refreshTable(name)
-    return WriteResult(name, seen.get["rows"], count_partitions(spark, name, seen.get["dates"], part_col))
+    return WriteResult(name, seen.get["rows"], count_partitions(spark, name, written, part_col))
+
+
+def drop_partitions(spark: SparkSession, name: str, dates: Iterable[str], part_col: str = "dt") -> None:
+    specs = ", ".join(f"PARTITION (`{part_col}` = '{d}')" for d in dates)
+    if specs:
+        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {specs}")
 
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_one_at_a_time = threading.Lock()
+_lock = threading.Lock()
+_writing: dict[str, object] = {"writers": 0, "before": None}
 
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """The session overwrites only the partitions it writes, inside the block.
 
-    A setting of the session, because ``insertInto`` ignores the writer's option; so
-    writes from several threads take turns.
+    A setting of the session, because ``insertInto`` ignores the writer's option.  Several
+    threads may write at once: the first one in sets it, the last one out takes it back.
     """
-    with _one_at_a_time:
-        before = spark.conf.get(OVERWRITE_MODE, None)
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
-        try:
-            yield
-        finally:
-            if before is None:
-                spark.conf.unset(OVERWRITE_MODE)
-            else:
-                spark.conf.set(OVERWRITE_MODE, before)
+    with _lock:
+        if not _writing["writers"]:
+            _writing["before"] = spark.conf.get(OVERWRITE_MODE, None)
+            spark.conf.set(OVERWRITE_MODE, "dynamic")
+        _writing["writers"] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing["writers"] -= 1
+            if not _writing["writers"]:
+                if _writing["before"] is None:
+                    spark.conf.unset(OVERWRITE_MODE)
+                else:
+                    spark.conf.set(OVERWRITE_MODE, _writing["before"])
 
 
 def require_same_columns(df: DataFrame, columns: list[str], name: str) -> None:
@@ -228,9 +279,7 @@ def drop_old_partitions(
     """
     oldest = days_before(as_of, keep_days)
     old = [d for d in list_partitions(spark, name, part_col) or [] if d < oldest]
-    if old:
-        specs = ", ".join(f"PARTITION (`{part_col}` = '{d}')" for d in old)
-        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {specs}")
+    drop_partitions(spark, name, old, part_col)
     return old
 
 
@@ -253,7 +302,7 @@ def evolve_schema(
         return df
     if policy == "recreate":
         if backup is not None:
-            spark.table(name).write.mode("overwrite").saveAsTable(backup)
+            writer(spark.table(name), "overwrite").partitionBy(*partition_columns(spark, name)).saveAsTable(backup)
         drop_objects(spark, tables=[name])
         return df
     if policy == "fail" or changed:

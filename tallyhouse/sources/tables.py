@@ -12,56 +12,153 @@ SOURCE_TABLES = {
     "customers": {
         "key": "CustomerID",
         "changed": "UpdatedDate",
-        "columns": "CustomerID CustomerName ContactPerson ContactPhone Email Address CustomerType "
-        "CreditLimit CreatedDate UpdatedDate",
+        "columns": (
+            "CustomerID",
+            "CustomerName",
+            "ContactPerson",
+            "ContactPhone",
+            "Email",
+            "Address",
+            "CustomerType",
+            "CreditLimit",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "employees": {
         "key": "EmployeeID",
         "changed": "UpdatedDate",
-        "columns": "EmployeeID EmployeeName Username Department Position ContactPhone Email Status "
-        "LastLoginTime CreatedDate UpdatedDate",
+        "columns": (
+            "EmployeeID",
+            "EmployeeName",
+            "Username",
+            "Department",
+            "Position",
+            "ContactPhone",
+            "Email",
+            "Status",
+            "LastLoginTime",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "products": {
         "key": "ProductID",
         "changed": "UpdatedDate",
-        "columns": "ProductID ProductName Specification Category Description UnitPrice Barcode "
-        "CreatedDate UpdatedDate",
+        "columns": (
+            "ProductID",
+            "ProductName",
+            "Specification",
+            "Category",
+            "Description",
+            "UnitPrice",
+            "Barcode",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "orders": {
         "key": "OrderID",
         "changed": "UpdatedDate",
-        "columns": "OrderID CustomerID OrderDate RequiredDate ShippedDate Status PaymentMethod "
-        "PaymentStatus TotalAmount Discount ShippingAddress ShippingMethod Remarks CreatedBy "
-        "CreatedDate UpdatedDate",
+        "columns": (
+            "OrderID",
+            "CustomerID",
+            "OrderDate",
+            "RequiredDate",
+            "ShippedDate",
+            "Status",
+            "PaymentMethod",
+            "PaymentStatus",
+            "TotalAmount",
+            "Discount",
+            "ShippingAddress",
+            "ShippingMethod",
+            "Remarks",
+            "CreatedBy",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "orderdetails": {
         "key": "OrderDetailID",
         "changed": "UpdatedDate",
-        "columns": "OrderDetailID OrderID ProductID Quantity UnitPrice Discount Amount WarehouseID "
-        "Status CreatedDate UpdatedDate",
+        "columns": (
+            "OrderDetailID",
+            "OrderID",
+            "ProductID",
+            "Quantity",
+            "UnitPrice",
+            "Discount",
+            "Amount",
+            "WarehouseID",
+            "Status",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "inventory": {
         "key": "InventoryID",
         "changed": "UpdatedDate",
-        "columns": "InventoryID ProductID WarehouseID Quantity Unit ProductionDate ExpiryDate "
-        "BatchNumber Status LastCountDate CreatedDate UpdatedDate",
+        "columns": (
+            "InventoryID",
+            "ProductID",
+            "WarehouseID",
+            "Quantity",
+            "Unit",
+            "ProductionDate",
+            "ExpiryDate",
+            "BatchNumber",
+            "Status",
+            "LastCountDate",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "inventorytransactions": {
         "key": "TransactionID",
         "changed": "CreatedDate",
-        "columns": "TransactionID ProductID WarehouseID TransactionType Quantity UnitPrice "
-        "RelatedOrderID TransactionDate BatchNumber Operator Remarks CreatedDate",
+        "columns": (
+            "TransactionID",
+            "ProductID",
+            "WarehouseID",
+            "TransactionType",
+            "Quantity",
+            "UnitPrice",
+            "RelatedOrderID",
+            "TransactionDate",
+            "BatchNumber",
+            "Operator",
+            "Remarks",
+            "CreatedDate",
+        ),
     },
     "warehouses": {
         "key": "WarehouseID",
         "changed": "UpdatedDate",
-        "columns": "WarehouseID FactoryID WarehouseName Capacity Manager ContactPhone CreatedDate UpdatedDate",
+        "columns": (
+            "WarehouseID",
+            "FactoryID",
+            "WarehouseName",
+            "Capacity",
+            "Manager",
+            "ContactPhone",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
     "factories": {
         "key": "FactoryID",
         "changed": "UpdatedDate",
-        "columns": "FactoryID FactoryName Location ContactPerson ContactPhone ProductionCapacity "
-        "CreatedDate UpdatedDate",
+        "columns": (
+            "FactoryID",
+            "FactoryName",
+            "Location",
+            "ContactPerson",
+            "ContactPhone",
+            "ProductionCapacity",
+            "CreatedDate",
+            "UpdatedDate",
+        ),
     },
 }
 

@@ -19,7 +19,7 @@ DISCOUNT = {"orders": "decimal(20,2)", "orderdetails": "decimal(5,2)"}
 
 
 def rows(spark, table, *values):
-    columns = SOURCE_TABLES[table]["columns"].split()
+    columns = SOURCE_TABLES[table]["columns"]
     kinds = {**TYPES, "Discount": DISCOUNT.get(table)}
     schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in columns)
     return spark.createDataFrame([tuple(v.get(c) for c in columns) for v in values], schema)
@@ -53,7 +53,7 @@ def sources(spark):
 
 def test_orders(spark, sources):
     fact = dwd.dwd_orders(sources["orders"], sources["customers"], sources["employees"], batch_date="2024-05-02")
-    expected = SOURCE_TABLES["orders"]["columns"].split() + (
+    expected = list(SOURCE_TABLES["orders"]["columns"]) + (
         "CustomerName CustomerType CreatedByName CreatedByDepartment OrderStatus LeadTimeDays ProcessingDays IsDelayed "
         "DeliveryStatus OrderYear OrderMonth OrderDay OrderDayOfWeek OrderQuarter NetAmount OrderSizeCategory "
         "OrderPriority DataQualityScore DataQualityLevel etl_created_date etl_batch_id"
@@ -73,7 +73,7 @@ def test_orders(spark, sources):
 def test_orderdetails(spark, sources):
     dims = [sources[n] for n in ("orders", "customers", "products", "warehouses", "factories")]
     fact = dwd.dwd_orderdetails(sources["orderdetails"], *dims, batch_date="2024-05-02")
-    expected = SOURCE_TABLES["orderdetails"]["columns"].split() + (
+    expected = list(SOURCE_TABLES["orderdetails"]["columns"]) + (
         "CustomerID CustomerName CustomerType ProductName ProductCategory ProductSpecification WarehouseName "
         "WarehouseManager FactoryName FactoryLocation OrderDate OrderStatus PaymentMethod PaymentStatus "
         "OrderDetailStatus LineTotal DiscountAmount NetAmount PriceCategory IsHighValue IsDiscounted "

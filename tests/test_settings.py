@@ -1,7 +1,7 @@
 """Session settings and the folder registered queries write to."""
 
 from registry.queries import scratch
-from tallyhouse.plans.settings import MOST_PARTITIONS, settings_for
+from tallyhouse.plans.settings import settings_for
 
 
 def partitions(*args):
@@ -11,7 +11,8 @@ def partitions(*args):
 def test_partitions_follow_the_data():
     assert partitions(0, 8) == 16
     assert partitions(10 * 1024**4, 4000) == 40960
-    assert partitions(100 * 1024**4, 4000) == MOST_PARTITIONS
+    assert partitions(100 * 1024**4, 4000) == 409600
+    assert partitions(100 * 1024**4, 4000, 100_000) == 100_000
 
 
 def test_settings_are_known_to_spark(spark):
@@ -26,13 +27,12 @@ class Conf:
     def __init__(self, folder):
         self.folder, self.conf = folder, self
 
-    def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.folder or default
+    def get(self, key, default=None):
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "hdfs://x/warehouse"}[key] or default
 
 
 def test_queries_write_to_the_shared_folder():
     shared = scratch(Conf("hdfs://x/checkpoints/"), "orders")
     assert shared.startswith("hdfs://x/checkpoints/orders-")
     assert scratch(Conf("hdfs://x/checkpoints"), "orders") != shared
-    assert scratch(Conf(None), "orders").endswith("/orders")
+    assert scratch(Conf(None), "orders").startswith("hdfs://x/warehouse/orders-")

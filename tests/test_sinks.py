@@ -44,6 +44,29 @@ def test_an_empty_load_changes_nothing(spark, db):
     done = sink.replace_partitions(load(spark, "d1", 2).filter("id > 9"), name)
     assert (done.rows, done.partitions, done.complete) == (0, {}, True)
     assert held(spark, name) == [(1, "d1")]
+    # unless the load stands for that partition
+    sink.replace_partitions(load(spark, "d2", 2), name)
+    sink.replace_partitions(load(spark, "d1", 2).filter("id > 9"), name, dates=["d1"])
+    assert held(spark, name) == [(2, "d2")]
+
+
+def test_a_failing_overwrite_leaves_the_table(spark, db, tmp_path):
+    for path in (None, str(tmp_path / "ext")):
+        name = f"{db}.{'plain' if path is None else 'ext'}"
+        sink.write_table(load(spark, "d", 1), name, path=path)
+        broken = load(spark, "d", 5).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+        with pytest.raises(Exception, match="broken"):
+            sink.write_table(broken, name, path=path)
+        assert held(spark, name) == [(1, "d")]
+        sink.write_table(spark.table(name).withColumn("id", F.col("id") + 1), name, path=path)
+        assert held(spark, name) == [(2, "d")]
+        assert sorted(t.name for t in spark.catalog.listTables(db)) == sorted({"plain", name.split(".")[1]})
+
+
+def test_incomplete_writes_are_errors():
+    with pytest.raises(RuntimeError, match="2 rows written"):
+        sink.WriteResult("t", 2, {"d": 1}).require_complete()
+    assert sink.WriteResult("t", 2, {"d": 2}).require_complete().rows == 2
 
 
 def test_columns_are_matched_by_name(spark, db):
@@ -154,6 +177,7 @@ def test_schema_policies(spark, db):
     rows = sink.evolve_schema(spark, retyped, name, "recreate", backup=f"{db}.t_backup")
     sink.replace_partitions(rows, name)
     assert spark.table(name).count() == 1 and spark.table(f"{db}.t_backup").count() == 2
+    assert sink.list_partitions(spark, f"{db}.t_backup") == ["d1", "d2"]
     with pytest.raises(ValueError, match="unknown"):
         sink.evolve_schema(spark, rows, name, "guess")
 

@@ -90,13 +90,28 @@ def test_upsert_takes_the_newest_version(spark):
     assert {(r["id"], r["state"]) for r in again.collect()} == expected
 
 
+def test_upsert_keeps_a_newer_row_over_an_older_change(spark):
+    target = spark.createDataFrame([(1, "new", at(5)), (2, "same", at(2))], CHANGES)
+    changes = spark.createDataFrame([(1, "old", at(3)), (2, "change", at(2))], CHANGES)
+    got = {(r["id"], r["state"]) for r in snapshots.upsert(target, changes, ["id"], "changed").collect()}
+    assert got == {(1, "new"), (2, "change")}
+
+
+def test_days_after_the_date_are_left_out(spark):
+    days = spark.createDataFrame([(f"2024-01-0{d}",) for d in range(1, 10)], "order_date string")
+    got = [r[0] for r in snapshots.last_days(days, "2024-01-03", 1).collect()]
+    assert got == ["2024-01-02", "2024-01-03"]
+
+
 def test_trend_reads_one_row_per_date(spark):
     daily = spark.createDataFrame(
-        [("2020-01-01", 1, "a"), ("2020-01-01", 5, "b"), ("2020-01-02", 7, "b")],
+        [("2020-01-01", 1, "2020-01-01"), ("2020-01-01", 5, "2020-01-02"), ("2020-01-02", 7, "2020-01-02")],
         "order_date string, total_orders int, dt string",
     ).withColumns({c: F.lit(1.0) for c in ("total_amount", "completion_rate", "delay_rate")})
     got = {r["order_date"]: (r["total_orders"], r["prev_day_orders"]) for r in views.orders_trend(daily).collect()}
     assert got == {"2020-01-01": (5, None), "2020-01-02": (7, 5)}
+    earlier = views.orders_trend(daily, "2020-01-01").collect()
+    assert [(r["order_date"], r["total_orders"]) for r in earlier] == [("2020-01-01", 1)]
     shown = views.orders_trend(daily, "2020-01-02", days=0).collect()
     assert [(r["order_date"], r["prev_day_orders"]) for r in shown] == [("2020-01-02", None)]
 

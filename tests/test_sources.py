@@ -93,5 +93,5 @@ def test_stored_and_literal_rows(spark, tmp_path):
 
 def test_source_tables_name_their_key_and_change_column():
     for spec in tables.SOURCE_TABLES.values():
-        columns = spec["columns"].split()
+        columns = spec["columns"]
         assert spec["key"] in columns and spec["changed"] in columns

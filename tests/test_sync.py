@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry.adapters import business_table
+from tallyhouse.operators import views as order_views
 from tallyhouse.plans import views as view_plan
 from tallyhouse.plans import warehouse
 from tallyhouse.plans.sync import TableSpec, default_specs, jdbc_reader, sync_all, sync_table
@@ -85,7 +86,25 @@ def test_without_a_partition_column(spark, db):
     assert spark.table(whole.target).count() == 1
 
 
+def test_upsert_keeps_one_row_per_key(spark, db):
+    spec = TableSpec.of({"source": "o", "target": f"{db}.o", "inc_col": "changed", "strategy": "upsert", "keys": "id", "lookback_days": 1})
+    source = Source((1, "a", 2), (2, "b", 3))
+    sync_table(spark, spec, "2020-01-03", source)
+    # an overlap with a changed and a new row, and an older change of a row the target holds
+    source.rows = [(1, "new", 4), (2, "old", 2), (2, "older", 1), (3, "c", 4)]
+    for _ in range(2):
+        sync_table(spark, spec, "2020-01-04", source)
+        assert sorted(r[:2] for r in held(spark, spec.target)) == [(1, "new"), (2, "b"), (3, "c")]
+    source.rows = [(1, "again", 4)]
+    sync_table(spark, TableSpec("o", spec.target, "changed", mode="full", strategy="upsert", keys=("id",)), "2020-01-05", source)
+    assert sorted(r[:2] for r in held(spark, spec.target)) == [(1, "again"), (2, "b"), (3, "c")]
+
+
 def test_unknown_modes_are_refused():
+    with pytest.raises(ValueError):
+        TableSpec("a", "b.a", strategy="upsert")
+    with pytest.raises(TypeError):
+        TableSpec.of({"source": "a", "target": "b.a", "retention": 3})
     with pytest.raises(ValueError):
         TableSpec("a", "b.a", mode="sometimes")
     with pytest.raises(ValueError):
@@ -95,11 +114,12 @@ def test_unknown_modes_are_refused():
 def test_jdbc_reader_picks_the_known_columns(spark):
     from tests.test_sources import OPTS, Session
 
-    columns = SOURCE_TABLES["factories"]["columns"].split()
+    columns = list(SOURCE_TABLES["factories"]["columns"])
     rows = [(i, *("x" * len(columns))) for i in (1, 2)]
     source = Session(spark.createDataFrame(rows, [*columns, "Other"]))
     spec = next(s for s in default_specs() if s.source == "Factories")
-    assert jdbc_reader(OPTS)(source, spec).columns == columns
+    assert jdbc_reader(OPTS)(source, spec).columns == [*columns, "Other"]
+    assert jdbc_reader(OPTS, known_columns=True)(source, spec).columns == columns
     jdbc_reader(OPTS, parallel=2)(source, spec)
     assert source.log[-1]["partitionColumn"] == "FactoryID"
     assert jdbc_reader(OPTS)(source, TableSpec("other", "a.other")).count() == 2
@@ -109,13 +129,22 @@ def test_jdbc_reader_picks_the_known_columns(spark):
 def test_one_failing_table_does_not_stop_the_others(spark, db, tmp_path):
     def read(spark, spec):
         if spec.source == "bad":
-            raise ConnectionError("no route")
+            raise ConnectionError("no route\nto the host")
+        if spec.source == "mute":
+            raise ConnectionError()
         return Source((1, "a", 1))(spark, spec)
 
-    specs = [TableSpec(n, f"{db}.{n}", mode="full", enabled=n != "off") for n in ("good", "bad", "off", "fine")]
-    summary = sync_all(spark, specs, "2020-01-01", read, str(tmp_path / "summary"))
+    specs = [TableSpec(n, f"{db}.{n}", mode="full", enabled=n != "off") for n in ("good", "bad", "off", "mute", "Fine", "gone")]
+    path, existing = str(tmp_path / "summary"), {"good", "bad", "mute", "fine"}
+    summary = sync_all(spark, specs, "2020-01-01", read, path, existing=existing)
     got = {r["table_name"]: (r["record_count"], r["status"]) for r in spark.read.parquet(str(tmp_path / "summary")).collect()}
-    assert got == {f"{db}.good": (1, "SUCCESS"), f"{db}.bad": (0, "FAILED: no route"), f"{db}.fine": (1, "SUCCESS")}
+    assert got == {
+        f"{db}.good": (1, "SUCCESS"),
+        f"{db}.bad": (0, "FAILED: ConnectionError('no route\\nto the host')"),
+        f"{db}.mute": (0, "FAILED: ConnectionError()"),
+        f"{db}.Fine": (1, "SUCCESS"),
+        f"{db}.gone": (0, "SKIPPED: no source table gone"),
+    }
     assert summary.columns == ["table_name", "record_count", "status", "processed_date"]
 
 
@@ -163,16 +192,21 @@ def test_daily_jobs(spark, layout):
     assert customers.agg(F.sum("total_orders")).first()[0] == 1500
 
     available = {*made, "dwd_orders", "dwd_orderdetails"}
-    names = view_plan.register_views(spark, available, DAYS[-1], {"dwd": layout.dwd, "dws": layout.dws})
+    names = view_plan.register_views(spark, available, DAYS[-1], layout)
     assert len(names) == 23 and "orders_summary" not in names
     view_plan.require_views(spark, names)
     for name in names:
         assert spark.table(name).columns
+    # both snapshots are stored, a view sees one
+    states = spark.table("dwd_orders_status_summary")
+    assert states.agg(F.sum("order_count")).first()[0] == 1500
+    one = spark.table(f"{layout.dwd}.dwd_orders").filter(F.col("dt") == DAYS[0])
+    assert spark.table("dwd_orders_high_value").count() == order_views.orders_high_value(one).count()
     trend = spark.table("dws_orders_weekly_trend")
     assert trend.count() == trend.select("order_date").distinct().count() > 0
     with pytest.raises(LookupError, match="no_such"):
         view_plan.require_views(spark, ["no_such"])
-    few = view_plan.register_views(spark, ["dws_orders_daily_summary"], DAYS[-1], {"dws": layout.dws})
+    few = view_plan.register_views(spark, ["dws_orders_daily_summary"], DAYS[-1], layout)
     assert few == ["dws_orders_weekly_trend", "dws_daily_kpi"]
 
 
@@ -203,3 +237,57 @@ def test_daily_jobs_over_increments(spark):
     finally:
         for database in (layout.ods, layout.dwd, layout.dws):
             spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_changed_and_late_orders_count_once(spark):
+    """Three loads of increments: an order of the first one is changed, and one of its dates comes late."""
+    tag = uuid.uuid4().hex[:8]
+    layout = warehouse.Layout(f"ods_{tag}", f"dwd_{tag}", f"dws_{tag}", snapshots=False)
+    sink.ensure_database(spark, layout.ods)
+    all_orders = business_table(spark, SF_DIR, "ods_orders").filter("OrderDate >= '2001-06-01'").drop("UpdatedDate")
+    all_orders = all_orders.withColumn("Status", F.lit("Processing")).cache()
+    late, changed = (r["OrderID"] for r in all_orders.orderBy("OrderDate", "OrderID").limit(2).collect())
+    day_of_late = all_orders.filter(F.col("OrderID") == late).first()["OrderDate"].isoformat()
+    on_that_day = all_orders.filter(F.col("OrderDate").cast("string") == day_of_late).count()
+    loads = {
+        "2001-08-01": all_orders.filter(F.col("OrderID") != late),
+        "2001-08-02": all_orders.filter(F.col("OrderID") == late),
+        "2001-08-03": all_orders.filter(F.col("OrderID") == changed).withColumn("Status", F.lit("Canceled")),
+    }
+    for name in ("Customers", "Employees"):
+        rows = business_table(spark, SF_DIR, f"ods_{name.lower()}").withColumn("dt", F.lit("2001-07-01"))
+        sink.replace_partitions(rows, f"{layout.ods}.{name}")
+    try:
+        for day, rows in loads.items():
+            sink.replace_partitions(rows.withColumn("dt", F.lit(day)), f"{layout.ods}.Orders")
+            warehouse.build_dwd_orders(spark, day, layout)
+            warehouse.build_dws_orders(spark, day, layout)
+        expected = all_orders.count()
+        for day in loads:
+            view_plan.register_views(spark, ["dwd_orders", "dws_orders_daily_summary"], day, layout)
+            known = expected - (day == "2001-08-01")
+            states = {r["OrderStatus"]: r["order_count"] for r in spark.table("dwd_orders_status_summary").collect()}
+            assert sum(states.values()) == known and states.get("Cancelled", 0) == (day == "2001-08-03")
+            kpi = spark.table("dws_daily_kpi")
+            assert kpi.agg(F.sum("total_orders")).first()[0] == known
+            of_day = kpi.filter(F.col("order_date") == day_of_late).agg(F.sum("total_orders")).first()[0]
+            assert (of_day or 0) == on_that_day - (day == "2001-08-01")
+        customers = spark.table(f"{layout.dws}.dws_customer_analytics").filter("dt = '2001-08-03'")
+        assert customers.agg(F.sum("total_orders")).first()[0] == expected
+        # the last load turns out to be empty: its partitions go, and what was known before counts
+        spark.sql(f"ALTER TABLE {layout.ods}.Orders DROP PARTITION (dt='2001-08-03')")
+        assert warehouse.build_dwd_orders(spark, "2001-08-03", layout) is None
+        warehouse.build_dws_orders(spark, "2001-08-03", layout)
+        daily = f"{layout.dws}.dws_orders_daily_summary"
+        assert sink.list_partitions(spark, daily) == ["2001-08-01", "2001-08-02"]
+        view_plan.register_views(spark, ["dwd_orders"], "2001-08-03", layout)
+        assert spark.table("dwd_orders_status_summary").filter("OrderStatus = 'Cancelled'").isEmpty()
+    finally:
+        all_orders.unpersist()
+        for database in (layout.ods, layout.dwd, layout.dws):
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_the_kind_of_loads_must_be_said():
+    with pytest.raises(TypeError):
+        warehouse.Layout()
