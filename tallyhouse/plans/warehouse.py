@@ -68,17 +68,18 @@ class Layout:
         """The rows of every order date the load of a date brings, each order or line once.
 
         Of a snapshot that is the load.  Increments bring late and changed orders of
-        earlier dates, whose other orders lie in earlier loads.  The dates, a number
-        bounded by the calendar, are literals, so the files of other dates are skipped.
+        earlier dates, whose other orders lie in earlier loads.  Files outside the first
+        and last of these dates are skipped, other rows leave in a semi join with the dates.
         """
         fact = spark.table(table)
         load = fact.filter(F.col("dt") == as_of)
         if self.snapshots:
             return load
-        dates = [row[0] for row in load.select("OrderDate").distinct().collect()]
-        known = F.col("OrderDate").isin([d for d in dates if d is not None])
-        wanted = known | F.col("OrderDate").isNull() if None in dates else known
-        return self.newest(fact.filter((F.col("dt") <= as_of) & wanted), table)
+        day = F.col("OrderDate")
+        first, last = load.agg(F.min(day), F.max(day)).first()
+        near = fact.filter((F.col("dt") <= as_of) & (day.between(F.lit(first), F.lit(last)) | day.isNull()))
+        days = load.select(day.alias("__day")).distinct()
+        return self.newest(near.join(days, day.eqNullSafe(F.col("__day")), "left_semi"), table)
 
 
 def dimension(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> DataFrame:
