@@ -102,9 +102,14 @@ class WordHashes(dict):
 
 
 @lru_cache(maxsize=1)
+def memory(make: Callable, *args):
+    """What make(*args) builds, for all tasks of a worker until one asks for another: a worker that serves several
+    operators in turn never holds the words of two."""
+    return make(*args)
+
+
 def word_hashes() -> WordHashes:
-    """One memory for all tasks of a worker."""
-    return WordHashes()
+    return memory(WordHashes)
 
 
 def runs(h: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from tallyhouse.llm.common import memory
+
 #: White space on which Python and the tokenizers may differ; texts with it are split at plain white space only.
 _ODD = [*map(chr, (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
 _PLAIN_SPACE = re.compile("[ \t\n\r]+")
@@ -72,7 +73,6 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for all tasks of a worker."""
-    return Encoder(path)
+    return memory(Encoder, path)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import strings
+from tallyhouse.llm.common import memory, strings
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 8, (1, 2, 3)
 #: Labelled rows that a model is fitted on, at most, of either label: those whose ids have the least hashes.
@@ -39,12 +39,10 @@ class _Buckets(dict):
         return found
 
 
-_known = _Buckets()
-
-
 def buckets(text: str) -> np.ndarray:
     """A row of three buckets per word of the text."""
-    return np.frombuffer(b"".join(map(_known.__getitem__, text.lower().split())), "<u2").reshape(-1, 3)
+    known = memory(_Buckets)
+    return np.frombuffer(b"".join(map(known.__getitem__, text.lower().split())), "<u2").reshape(-1, 3)
 
 
 @dataclass
