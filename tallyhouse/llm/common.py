@@ -125,19 +125,36 @@ def runs(h: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
     return out
 
 
+def rooted(labels: DataFrame) -> DataFrame:
+    """node, root of pointers that always lead to a lesser node, each followed to its end by jumps of doubling length."""
+    labels = stored(labels)
+    while True:
+        far = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        after = stored(labels.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("moved")))
+        labels = after.select("node", "root")
+        if after.where("moved").isEmpty():
+            return labels
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node that edges lead to) of every node of edges a, b (longs).
 
-    Labels spread along edges and jump along labels until none changes; rounds grow with the logarithm of the longest
-    path. Each round is stored, nothing but a count reaches the driver.
+    Each node points at its least neighbour, pointers are followed to their ends, and edges then lead between these
+    ends only; again, until no edge is left. Edges that fall together become one, so each round moves far fewer than the
+    one before. Each round is stored, nothing but whether rows are left reaches the driver.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        spread = labels.join(near, "node").select("node", F.least("root", "near").alias("new"), "root")
-        jump = labels.select(F.col("node").alias("new"), F.col("root").alias("far"))
-        after = stored(spread.join(jump, "new", "left").select("node", F.least("new", F.coalesce("far", "new")).alias("root"), (F.least("new", F.coalesce("far", "new")) != F.col("root")).alias("moved")))
-        labels = after.select("node", "root")
-        if not after.where("moved").limit(1).count():
-            return labels
+    left = stored(edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    levels = []
+    while not left.isEmpty():
+        labels = rooted(left.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")))
+        levels.append(labels)
+        low, high = (labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("lo", "hi"))
+        ends = left.join(high, "hi").join(low, "lo", "left").select(F.coalesce("lo_root", "lo").alias("a"), F.col("hi_root").alias("b"))
+        left = stored(ends.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    if not levels:
+        return left.select(F.col("lo").alias("node"), F.col("hi").alias("root"))
+    found = levels.pop()  # a node points somewhere in one level only
+    while levels:
+        far = found.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        found = stored(levels.pop().join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")).union(found))
+    return found.union(found.select(F.col("root").alias("node"), "root").distinct())

@@ -156,7 +156,7 @@ def join(docs: DataFrame, trees: int = TREES, longest: int = LONGEST, target: fl
     classes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
     matches = rows.where("node is not null").select("node", F.explode("keys").alias("key"))
     heads = matches.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
-    groups = components(matches.join(heads, "key").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    groups = components(matches.join(heads, "key").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")))
     found = links(docs, groups.withColumnRenamed("root", "comp"), classes, block)
     tree = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     n = found.groupBy("node").agg(F.sum("n").alias("n"))

@@ -5,6 +5,7 @@ import collections
 import gzip
 import hashlib
 import os
+import random
 import re
 import urllib.parse
 import zlib
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import decontam, jaccard, packing, preference, quality, repeats, secrets, token_files, toxicity, wrapper
+from tallyhouse.llm import common, decontam, jaccard, packing, preference, quality, repeats, secrets, token_files, toxicity, wrapper
 from tallyhouse.llm.common import shared_dir, table
 from tallyhouse.llm.oracles import ORACLES
 from tallyhouse.llm.queries import QUERIES
@@ -174,6 +175,25 @@ def plain_links(texts):
     return {i: (find(i), n[i]) for i in texts}
 
 
+def test_components(spark):
+    """Chains, stars with great centres, cycles, loops and random edges against labels spread by hand."""
+    rng = random.Random(3)
+    chain = [(k, k + 1) for k in range(100, 160)]
+    star = [(1000 - k, 2000) for k in range(40)] + [(2000, 2000)]
+    zigzag = list(zip(range(3000, 3040), reversed(range(3040, 3080)), strict=True)) + list(zip(range(3001, 3041), reversed(range(3040, 3080)), strict=True))
+    odd = [(-(1 << 63), 7), (7, (1 << 63) - 1), (7, 7), (7, -(1 << 63))]
+    loose = [(rng.randrange(5000, 5200), rng.randrange(5000, 5200)) for _ in range(110)]
+    edges = chain + star + zigzag + odd + loose
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(root) and {r.node: r.root for r in got} == root
+    assert common.components(spark.createDataFrame([(5, 5)], "a long, b long")).collect() == []
+
+
 def test_jaccard_join(spark, odd, small):
     rng = np.random.default_rng(5)
     base = [f"w{x}" for x in rng.integers(0, 5000, 120)]
