@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import decontam, jaccard, packing, queries, secrets, toxicity
-from tallyhouse.llm.common import stored, table
+from tallyhouse.llm.common import ids_of, stored, table
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """The document of the least id of each group of near copies, and of rows with the same id and text one; documents
     without words or without an id stay. An id goes if none of its texts is the first of a group."""
     classes = stored(jaccard.join(docs))
-    gone = classes.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("class_id")).alias("stays")).where("not stays").select("doc_id")
-    twice = classes.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    gone = ids_of(classes.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("class_id")).alias("stays")).where("not stays").select("doc_id"))
+    twice = ids_of(classes.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     once = rest.join(twice, "doc_id", "left_anti").select(*docs.columns)
     return once.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
@@ -31,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that contain a benchmark item."""
-    found = stored(decontam.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    found = ids_of(decontam.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

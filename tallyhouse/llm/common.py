@@ -18,6 +18,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+#: Ids that are broadcast at most; in memory they take some 50 bytes each.
+MOST_BROADCAST = 1_000_000
 
 _U = np.uint64
 
@@ -52,6 +54,13 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ids_of(rows: DataFrame) -> DataFrame:
+    """Stored rows of one long each. Up to MOST_BROADCAST of them, counted, go to every executor, so that what they are
+    joined with stays where it is; beyond that Spark chooses the join."""
+    ids = stored(rows)
+    return F.broadcast(ids) if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else ids
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null and for texts without a word."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
