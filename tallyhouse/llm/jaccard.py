@@ -174,7 +174,8 @@ def links(docs: DataFrame, groups: DataFrame, classes: DataFrame, block: int = B
     cut = F.ceil(F.col("size") / block).cast("int")
     placed = big.withColumn("block", F.when(cut > 1, F.pmod(F.xxhash64("node"), cut).cast("int")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0), cut - 1)))
     placed = placed.select("doc_id", "node", "copies", "comp", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    sets = stored(shingle_sets(docs.join(big.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+    # dealt by id once, for the copies of an id and for the join
+    sets = shingle_sets(docs.join(big.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id"])
     tasks = max(1, placed.count() // (4 * block))
     # small groups share tasks, about four blocks of rows each; blocks of large groups have tasks of their own
     task = F.when((F.col("i") == F.col("j")) & (F.col("i") == 0), F.pmod(F.xxhash64("comp"), F.lit(tasks))).otherwise(F.xxhash64("comp", "i", "j"))
