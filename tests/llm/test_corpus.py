@@ -283,6 +283,17 @@ def test_page_text(spark):
     assert rows(wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string"))) == []
 
 
+def test_page_text_by_layout(spark):
+    """Constant text inside the article goes, text outside teaser cards stays, each layout of a host has its own template."""
+    story = "<html><body><main><div class=x>Ask us anything</div><article><h1>h{0}</h1><p>one {0}</p><p><b>Get our letter</b></p><p>two {0}</p></article></main></body></html>"
+    cards = "<html><body><div class=lead><h2>Topic {0}</h2><p>essay {0}</p></div><section><article><a href=/>card {0}</a></article></section><div class=foot>Call now</div></body></html>"
+    pages = [(i, "http://a.example/s", story.format(i)) for i in range(6)] + [(10 + i, "http://a.example/c", cards.format(i)) for i in range(4)]
+    pages += [(20 + i, "http://b.example/", story.format(7)) for i in range(5)] + [(30, "http://c.example/", story.format(8))]
+    got = {r["page_id"]: r["text"] for r in rows(wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")))}
+    assert got[3] == "h3\n\none 3\n\ntwo 3" and got[12] == "Topic 2\n\nessay 2\n\ncard 2"
+    assert got[20] == "h7\n\none 7\n\nGet our letter\n\ntwo 7" and got[30] == "h8\n\none 8\n\nGet our letter\n\ntwo 8"
+
+
 def test_toxicity_on_held_out_rows(spark, odd):
     sf = "/root/testdata/sf0.1"
     scored = QUERIES["op1_toxicity"](spark, sf).where("held_out").join(table(spark, sf, "labels"), "doc_id").toPandas()
