@@ -247,6 +247,18 @@ def test_cutoffs_hold_the_risk(spark):
     assert cut["en", "long_words"]["cutoff"] == 0.1 and rows(quality.cutoffs(found, labels, most_false=0.0001)) == []
 
 
+def test_small_strata_take_the_cutoff_of_the_pool(spark):
+    """Rejections on sf0.1, where no stratum alone has enough labels; a small stratum's own good documents loosen a cutoff."""
+    sf = "/root/testdata/sf0.1"
+    got = rows(quality.apply_rules(table(spark, sf, "documents"), table(spark, sf, "labels")).join(table(spark, sf, "labels"), "doc_id").where("not base_failed").groupBy("quality").agg(F.sum((~F.col("kept")).cast("int")).alias("n"), F.count("*").alias("of")))
+    by = {r["quality"]: r["n"] / r["of"] for r in got}
+    assert by[0] > 0.5 and by[1] <= quality.MOST_FALSE
+    good = [(i, "en", 100, 500, 0, 10, 0, 0) for i in range(4000)] + [(5000 + i, "rare", 100, 500, 100 if i < 5 else 0, 10, 0, 0) for i in range(20)]
+    found = spark.createDataFrame(good, "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    cut = {r["stratum"]: r["cut"] for r in rows(quality.applied(found, spark.createDataFrame([(g[0], 1) for g in good], "doc_id long, quality int")))}
+    assert set(cut) == {"en", "rare", None} and cut["en"]["symbols"] == 0 and cut["rare"]["symbols"] == 0.2 and cut["rare"]["dup_lines"] == 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = connect(SMALL)
