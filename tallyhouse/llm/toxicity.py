@@ -2,8 +2,8 @@
 
 A word is the sum of the embeddings of three hashes: of itself and of its first five and four letters. Filters of width one to three
 run over the words of a whole text; the largest value of each filter, over the whole text, enters a logistic layer.
-Training takes a bounded, documented sample of labelled rows; thresholds are then chosen for each language on labelled
-rows that training has not seen. Scores depend on the text alone.
+Fitting takes a bounded, documented sample of labelled rows; thresholds are then chosen for each language on all labelled
+rows that fitting has not seen, counted by score. Scores depend on the text alone.
 """
 
 from __future__ import annotations
@@ -23,7 +23,10 @@ from tallyhouse.llm.common import memory, strings
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 8, (1, 2, 3)
 #: Labelled rows that a model is fitted on, at most, of either label: those whose ids have the least hashes.
 MOST_TOXIC, MOST_CLEAN = 4000, 6000
+#: Share of the sample that is left out of fitting, so that rows for thresholds remain where it holds all labelled ones.
 CALIBRATION = 0.25
+#: Scores are counted in steps of their log odds from -LIMIT to LIMIT.
+LIMIT, STEPS = 30.0, 6000
 THRESHOLD = 0.3
 _STRIP = re.compile(r"^\W+|\W+$")
 
@@ -72,7 +75,16 @@ class Model:
 
     def score(self, words: np.ndarray) -> float:
         z = float(self.pooled(words)[0] @ self.out + self.out_bias)
-        return 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
+        return _score(z)
+
+    def step(self, words: np.ndarray) -> int:
+        """The step that a text's score falls into."""
+        z = float(self.pooled(words)[0] @ self.out + self.out_bias)
+        return min(STEPS - 1, max(0, int((z + LIMIT) / (2 * LIMIT) * STEPS)))
+
+
+def _score(z: float) -> float:
+    return 1 / (1 + np.exp(-max(-LIMIT, min(LIMIT, z))))
 
 
 def _start(texts: list[np.ndarray], toxic: np.ndarray, rng: np.random.Generator) -> Model:
@@ -134,17 +146,53 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, epochs: int = 3, rate: float
     return model
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """The middle of the cutoffs with the fewest errors, a false rejection counting as much as a miss."""
-    order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], toxic[order].astype(bool)
-    errors = np.concatenate([[0], np.cumsum(~y)]) + np.concatenate([np.cumsum(y[::-1])[::-1], [0]])
-    same = np.concatenate([[False], s[1:] == s[:-1], [False]])
-    errors = np.where(same, len(s) + 1, errors)
-    best = np.flatnonzero(errors == errors.min())
-    upper = s[best[0] - 1] if best[0] else 1.0
-    lower = s[best[0]] if best[0] < len(s) else 0.0
-    return float((upper + lower) / 2)
+def best_threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the highest cutoffs with the fewest errors, a false rejection counting as much as a miss, from the
+    weight of clean and of toxic rows by step."""
+    errors = np.append(np.cumsum(clean[::-1])[::-1], 0) + np.append(0, np.cumsum(toxic))
+    best = np.isclose(errors, errors.min(), rtol=1e-9, atol=1e-9)
+    top = low = int(np.flatnonzero(best)[-1])
+    while low and best[low - 1]:
+        low -= 1
+    edge = lambda k: 1.0 if k == STEPS else 0.0 if k == 0 else _score(k / STEPS * 2 * LIMIT - LIMIT)
+    return float((edge(top) + edge(low)) / 2)
+
+
+def _steps(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang, step of each row, null languages as empty ones."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("step", pa.int32())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([shared.value.step(buckets(t)) for t in strings(batch.column(2))], pa.int32())], schema=kinds)
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"))
+    return rows.mapInArrow(each, "doc_id long, lang string, step int")
+
+
+def calibrate(docs: DataFrame, marks: DataFrame, fitted: DataFrame, model: Model) -> None:
+    """Sets the model's thresholds from all rows with a mark (doc_id, toxic) that are not among the fitted ids.
+
+    Only ids, languages and steps are shuffled, only counts reach the driver. Rows that were fitted on are made up for by
+    weights, so that both labels have their true shares: of a language for its own threshold, of all rows for the common one.
+    """
+    scored = _steps(docs, model).join(marks.where("toxic in (0, 1)"), "doc_id").join(F.broadcast(fitted.withColumn("seen", F.lit(True))), "doc_id", "left")
+    counts = scored.groupBy("lang", "toxic", F.when(F.col("seen").isNull(), F.col("step")).alias("step")).agg(F.count("*").alias("n")).collect()
+    unseen: dict[str, np.ndarray] = {}
+    every: dict[str, np.ndarray] = {}
+    for r in counts:
+        every.setdefault(r["lang"], np.zeros(2))[r["toxic"]] += r["n"]
+        if r["step"] is not None:
+            unseen.setdefault(r["lang"], np.zeros((2, STEPS)))[r["toxic"], r["step"]] += r["n"]
+
+    def weighed(of: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return of * (total / np.maximum(of.sum(axis=1), 1))[:, None]
+
+    common = sum(unseen.values(), np.zeros((2, STEPS)))
+    if common[1].any():
+        model.threshold = best_threshold(*weighed(common, sum(every.values(), np.zeros(2))))
+        model.thresholds = {lang: best_threshold(*weighed(of, every[lang])) for lang, of in sorted(unseen.items()) if of.sum(axis=1).min() >= 5}
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -162,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     """A model fitted and calibrated on documents with a label.
 
     labels has doc_id and toxic; rows without either are not used, of several labels of a document the larger counts. The
-    sample's size is bounded by most_toxic + most_clean whatever the table's. Without a label of either kind every text
+    sample that is fitted on is bounded by most_toxic + most_clean whatever the table's size, thresholds take all other
+    labelled rows; a language with fewer than five of either label among these has the common one. Without a label of either kind every text
     scores the same and nothing is rejected.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -176,14 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most
     if not toxic[~held].any() or toxic[~held].all():
         return Model(np.zeros((BUCKETS, DIM), np.float32), [np.zeros((w, DIM, FILTERS), np.float32) for w in WIDTHS], [np.zeros(FILTERS, np.float32) for _ in WIDTHS], np.zeros(FILTERS * len(WIDTHS), np.float32), -3.0, {}, 1.1)
     model = fit([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held])
-    scores = np.array([model.score(t) if h else 0 for t, h in zip(texts, held, strict=True)])
-    if toxic[held].any():
-        model.threshold = best_threshold(scores[held], toxic[held])
-        langs = [r["lang"] for r in rows]
-        for lang in sorted(set(langs)):
-            mine = held & np.array([x == lang for x in langs])
-            if min(toxic[mine].sum(), (~toxic[mine]).sum()) >= 5:
-                model.thresholds[lang] = best_threshold(scores[mine], toxic[mine])
+    fitted = docs.sparkSession.createDataFrame([(i,) for i in sorted({r["doc_id"] for r, h in zip(rows, held, strict=True) if not h})], "doc_id long")
+    calibrate(docs, marks, fitted, model)
     return model
 
 

@@ -318,6 +318,24 @@ def test_toxicity_on_held_out_rows(spark, odd):
     assert not any(r["rejected"] for r in rows(toxicity.score(odd, none)))
 
 
+def test_thresholds_take_all_labelled_rows(spark, monkeypatch):
+    """However few rows are fitted on, every other labelled row counts, and both labels keep their true shares."""
+    seen, plain = [], toxicity.best_threshold
+    monkeypatch.setattr(toxicity, "best_threshold", lambda clean, toxic: seen.append((clean.sum(), toxic.sum())) or plain(clean, toxic))
+    docs, labels = table(spark, SMALL, "documents").drop("toxic"), table(spark, SMALL, "labels")
+    model = toxicity.train(docs, labels, most_toxic=8, most_clean=8)
+    n = dict(docs.join(labels, "doc_id").where("toxic is not null").groupBy("toxic").count().collect())
+    assert seen[0] == pytest.approx((n[0], n[1])) and n[0] > 20
+    docs = spark.createDataFrame([(i, "en", "x") for i in range(30)], "doc_id long, lang string, text string")
+    marks = spark.createDataFrame([(i, int(i >= 20)) for i in range(30)], "doc_id long, toxic int")
+    seen.clear()
+    toxicity.calibrate(docs, marks, marks.where("doc_id < 5").select("doc_id"), model)
+    assert seen == [pytest.approx((20, 10))] * 2
+    clean, toxic = np.zeros(toxicity.STEPS), np.zeros(toxicity.STEPS)
+    clean[2900], toxic[3100] = 9, 3
+    assert plain(clean, toxic) == pytest.approx((1 / (1 + np.exp(0.99)) + 1 / (1 + np.exp(-1))) / 2)
+
+
 def test_pipeline(spark, odd):
     docs = table(spark, SMALL, "documents")
     kept, want = docs, docs.columns
