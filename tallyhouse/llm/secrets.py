@@ -1,8 +1,9 @@
 """Secrets in texts, also inside URL escapes, Unicode escapes, base64 and compressed layers.
 
 A worklist starts with the text. Every layer taken from it is scanned, and each run of an encoding in it makes a new
-layer: escapes are undone in place, base64 runs and the compressed data in them are unwrapped on their own. A layer whose
-text was seen before is not taken again, so nested and self-reproducing encodings end at a fixpoint. Each layer keeps,
+layer: escapes are undone in place, base64 runs, also wrapped ones, are decoded from each of their first four characters,
+and compressed data are unwrapped wherever they begin in decoded bytes or escapes. A layer whose text was seen before at
+the same place is not taken again, so nested and self-reproducing encodings end at a fixpoint. Each layer keeps,
 for every character, the span of the text it stems from; matches are reported as spans of the text.
 """
 
@@ -10,13 +11,14 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import bz2
 import hashlib
 import html
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +36,23 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 _KEY_END = re.compile(r"""(?ai:d|t|n|y)["']?\x20*[:=]""")
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _UNIT = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-_COMPRESSED = ((b"\x1f\x8b", lambda x: zlib.decompress(x, 31)), (b"x\x01", zlib.decompress), (b"x^", zlib.decompress), (b"x\x9c", zlib.decompress), (b"x\xda", zlib.decompress), (b"BZh", bz2.decompress), (b"\xfd7zXZ", lzma.decompress))
+_B64 = "A-Za-z0-9+/_-"
+#: A run of one line, and one with the lines that follow; its last line may be short.
+_BASE64 = re.compile(rf"(?<![{_B64}])[{_B64}]{{16,}}={{0,2}}")
+_WRAPPED = re.compile(rf"(?<![{_B64}])[{_B64}]{{16,}}(?:\r?\n[ \t]*[{_B64}]+)+={{0,2}}")
+_LINE_BEFORE = re.compile(rf"[{_B64}]+\r?\n[ \t]*\Z")
+_B64_PART = re.compile(rf"[{_B64}]+")
+_URL_SAFE = str.maketrans("-_", "+/")
+#: No secret and no encoding of one is shorter.
+LEAST_LAYER = 16
+_VALID = re.compile(rf"[^\udc80-\udcff]{{{LEAST_LAYER},}}")
+_MAGIC = re.compile(rb"(\x1f\x8b\x08)|(x[\x01\x5e\x9c\xda])|(BZh[1-9])|(\xfd7zXZ\x00)")
+_UNPACK = (lambda: zlib.decompressobj(31), zlib.decompressobj, bz2.BZ2Decompressor, lzma.LZMADecompressor)
+#: Escapes of bytes: of addresses, of forms, of string literals.
+_PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
+_FORM = re.compile(r"%([0-9A-Fa-f]{2})|\+")
+_LITERAL = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3]?[0-7]{1,2})|([abfnrtv\\'"]))""")
+_LETTERS = dict(zip("abfnrtv\\'\"", b"\a\b\f\n\r\t\v\\'\"", strict=True))
 
 Span = tuple[int, int, int]
 
@@ -88,26 +105,110 @@ def _unescaped(run: str) -> list[tuple[int, int, str]] | None:
     return out
 
 
-def _unwrapped(run: str) -> str | None:
-    """The text in a base64 run, through compression if there is any; None if there is none."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    raw = base64.b64decode(body + "=" * (-len(body) % 4))
-    again = True
-    while again:
-        again = False
-        for magic, undo in _COMPRESSED:
-            if raw.startswith(magic):
-                try:
-                    raw, again = undo(raw), True
-                except (zlib.error, OSError, ValueError, lzma.LZMAError, EOFError):
-                    return None
-                break
-    try:
-        return raw.decode()
-    except UnicodeDecodeError:
-        return None
+Place = Callable[[int, int], tuple[int, int]]
+
+
+def _inflated(raw: bytes, at: int, kind: int) -> tuple[bytes, int] | None:
+    """What the compressed stream that begins there holds, all members of it, and where it ends; None if it is none."""
+    out, end, view = [], at, memoryview(raw)
+    while (m := _MAGIC.match(raw, end)) and m.lastindex == kind:
+        undo = _UNPACK[kind - 1]()
+        try:
+            piece = undo.decompress(view[end:])
+        except (zlib.error, OSError, ValueError, lzma.LZMAError, EOFError):
+            break
+        if not undo.eof:
+            break
+        out.append(piece)
+        end = len(raw) - len(undo.unused_data)
+    return (b"".join(out), end) if out else None
+
+
+def _unpacked(raw: bytes, place: Place) -> Iterator[tuple[bytes, tuple[int, int]]]:
+    """The contents of the compressed streams in some bytes, also of those within, and the span each stems from."""
+    work, seen = [(raw, place)], set()
+    while work:
+        raw, place = work.pop()
+        upto = 0
+        for m in _MAGIC.finditer(raw):
+            if m.start() < upto or (found := _inflated(raw, m.start(), m.lastindex)) is None:
+                continue
+            inner, upto = found
+            span = place(m.start(), upto)
+            if (mark := (hashlib.sha256(inner).digest(), span)) not in seen:
+                seen.add(mark)
+                yield inner, span
+                work.append((inner, lambda a, b, span=span: span))
+
+
+def _readable(raw: bytes, place: Place) -> Iterator[_Layer]:
+    """The stretches of valid UTF-8 in some bytes."""
+    text, at, byte = raw.decode("utf-8", "surrogateescape"), 0, 0
+    for m in _VALID.finditer(text):
+        byte += len(text[at : m.start()].encode("utf-8", "surrogateescape"))
+        of = []
+        for c in m[0]:
+            n = 1 if c < "\x80" else len(c.encode())
+            of.append(place(byte, byte + n))
+            byte += n
+        at = m.end()
+        yield _Layer(m[0], of, bytearray(b"\1") * len(of))
+
+
+def _held(raw: bytes, place: Place) -> Iterator[_Layer]:
+    """The texts in the compressed streams of some bytes."""
+    for inner, span in _unpacked(raw, place):
+        yield from _readable(inner, lambda a, b, span=span: span)
+
+
+def _decoded(layer: _Layer, start: int, end: int) -> Iterator[_Layer]:
+    """The texts in a base64 run, decoded from each of its first four characters: one of these falls in with any payload
+    that begins later in the run."""
+    places = [i for m in _B64_PART.finditer(layer.text, start, end) for i in range(m.start(), m.end())]
+    whole = "".join(_B64_PART.findall(layer.text, start, end)).translate(_URL_SAFE)
+    for k in range(4):
+        body = whole[k:]
+        if len(body) % 4 == 1:
+            body = body[:-1]
+        raw = base64.b64decode(body + "=" * (-len(body) % 4))
+
+        def place(a: int, b: int, k: int = k, n: int = len(raw)) -> tuple[int, int]:
+            last = end if b == n else places[k - (-b * 4 // 3) - 1] + 1
+            return layer.span(places[k + a * 4 // 3], last)
+
+        yield from _readable(raw, place)
+        yield from _held(raw, place)
+
+
+def _bytes_of(layer: _Layer, escape: re.Pattern) -> tuple[bytes, Place]:
+    """The bytes of a text whose escapes stand for one byte each, all else as UTF-8."""
+    text, parts, first, froms, at, n = layer.text, [], [0], [0], 0, 0
+    wide: set[int] = set()
+
+    def add(piece: bytes, start: int) -> None:
+        nonlocal n
+        if piece:
+            parts.append(piece)
+            first.append(n)
+            froms.append(start)
+            n += len(piece)
+
+    for m in escape.finditer(text):
+        add(text[at : m.start()].encode("utf-8", "replace"), at)
+        groups = [g for g in m.groups() if g]
+        code = 32 if m[0] == "+" else _LETTERS[groups[0]] if m.lastindex == 4 else int(groups[0], 8 if m.lastindex == 3 else 16)
+        wide.add(len(first))
+        add(bytes([code]), m.start())
+        at = m.end()
+    add(text[at:].encode("utf-8", "replace"), at)
+    ends = [*froms[1:], len(text)]
+
+    def place(a: int, b: int) -> tuple[int, int]:
+        i, j = bisect.bisect_right(first, a) - 1, bisect.bisect_right(first, b - 1) - 1
+        start = froms[i] if i in wide else min(froms[i] + a - first[i], ends[i] - 1)
+        return layer.span(start, ends[j] if j in wide else min(froms[j] + b - first[j], ends[j]))
+
+    return b"".join(parts), place
 
 
 def _layers(layer: _Layer) -> Iterator[_Layer]:
@@ -126,28 +227,26 @@ def _layers(layer: _Layer) -> Iterator[_Layer]:
             of += [layer.span(i, i + 1) for i in range(at, len(text))]
             made += layer.made[at:] if layer.made else bytes(len(text) - at)
             yield _Layer("".join(parts), of, made)
+        for escape, present in ((_PERCENT, "%" in text), (_FORM, "%" in text and "+" in text), (_LITERAL, "\\x" in text or "\\u00" in text)):
+            if present and escape.search(text):
+                yield from _held(*_bytes_of(layer, escape))
     for m in _BASE64.finditer(text):
-        inner = _unwrapped(m[0])
-        if inner:
-            plain = base64.b64encode(inner.encode()).rstrip(b"=") == m[0].rstrip("=").replace("-", "+").replace("_", "/").encode()
-            if plain:  # a character's bytes lie in known characters of the run
-                of, byte = [], 0
-                for c in inner:
-                    n = len(c.encode())
-                    of.append(layer.span(m.start() + byte * 4 // 3, min(m.end(), m.start() + -(-(byte + n) * 4 // 3))))
-                    byte += n
-            else:
-                of = [layer.span(m.start(), m.end())] * len(inner)
-            yield _Layer(inner, of, bytearray(b"\1") * len(inner))
+        yield from _decoded(layer, *m.span())
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            start = m.start()
+            while before := _LINE_BEFORE.search(text, max(0, start - 100), start):
+                start = before.start()
+            yield from _decoded(layer, start, m.end())
 
 
 def secrets(text: str) -> tuple[list[Span], list[Span]]:
     """The spans in the text as it stands, and these with those of all layers below it; both by start, kind, end."""
     base = sorted(scan(text), key=lambda s: (s[1], s[0], s[2]))
-    every, work, seen = set(base), [_Layer(text)], {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    every, work, seen = set(base), [_Layer(text)], {(hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), (0, len(text)))}
     while work:
         for inner in _layers(work.pop()):
-            mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest()
+            mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), inner.span(0, len(inner.text))
             if mark in seen:
                 continue
             seen.add(mark)

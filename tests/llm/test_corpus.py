@@ -131,6 +131,22 @@ def test_secrets(spark, odd, small):
     assert kept == [{"doc_id": 1, "text": "a [secret] b", "n_chars": 12}, {"doc_id": 2, "text": None, "n_chars": None}]
 
 
+def test_secrets_behind_prefixes_line_ends_escapes_and_members():
+    hidden = b"see api_key: abcdefghijklmnop there"
+    noise = base64.b64encode(bytes(random.Random(1).randrange(256) for _ in range(150)))
+    packed = gzip.compress(hidden)
+    wrapped = base64.encodebytes(gzip.compress(noise + hidden)).decode()
+    literal = "".join(f"\\x{c:02x}" for c in zlib.compress(hidden))
+    payload = base64.b64encode(hidden).decode()
+    cases = [f"http://e.example/x/{payload}", f"key-{payload}", f"a/bc_{base64.b64encode(packed).decode()}", f"{payload}/more", wrapped, "pre\n" + wrapped.replace("\n", "\r\n"), base64.encodebytes(noise + hidden).decode()]
+    cases += [f"q={urllib.parse.quote(packed)}&z", f"q={urllib.parse.quote_plus(packed)}", literal, repr(packed), base64.b64encode(gzip.compress(b"first") + packed).decode()]
+    for case in cases:
+        assert secrets.secrets(case)[0] == [] and any(k == 0 for k, _, _ in secrets.secrets(case)[1]), case
+    twice = secrets.secrets(f"{payload} and {payload}")[1]
+    assert len(twice) == 2 and twice[1][1] > len(payload)
+    assert secrets.secrets("a-long-hyphenated-word/and/path_of_words\nnext line %20 \\x41")[1] == []
+
+
 def plain_repeats(texts):
     seen, out = set(), {}
     for i in sorted(texts):
