@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontam, jaccard, packing, preference, quality, repeats, secrets, token_files, toxicity, wrapper
+from tallyhouse.llm import collocations, decontam, jaccard, licences, packing, preference, quality, repeats, secrets, spelling, token_files, toxicity, wrapper
 from tallyhouse.llm.common import shared_dir, table
 
 
@@ -74,6 +74,33 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, folder)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.summary(licences.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_best_fit_packing, op4_preference_format, op5_page_text, op6_repeated_bytes, op7_jaccard_join, op8_quality_rules, op9_decontamination, op10_token_files)
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_secret_scan,
+        op3_best_fit_packing,
+        op4_preference_format,
+        op5_page_text,
+        op6_repeated_bytes,
+        op7_jaccard_join,
+        op8_quality_rules,
+        op9_decontamination,
+        op10_token_files,
+        op11_license_scan,
+        op12_spelling_groups,
+        op13_collocations,
+    )
 }
