@@ -46,8 +46,11 @@ WITH split AS (
   SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda w: w <> '') AS w FROM documents WHERE doc_id IS NOT NULL
   UNION ALL
   SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda w: w <> '') FROM benchmark WHERE item_id IS NOT NULL
+), widths AS (
+  SELECT DISTINCT least(5, len(w)) AS k FROM split WHERE kind = 'i' AND len(w) > 0
 ), shingles AS (
-  SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM split
+  SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+  FROM split, widths WHERE len(w) >= k AND (kind = 'd' OR k = least(5, len(w)))
 ), items AS (
   SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'i'
 )
