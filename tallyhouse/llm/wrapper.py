@@ -20,13 +20,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tallyhouse.llm.common import stored, strings
+from tallyhouse.llm.common import sliced, stored, strings
 
 #: A text on this share of a host's pages, of so many at least, is template.
 CONSTANT, LEAST_PAGES = 0.9, 3
-#: Trees are of one layout if such shares of the smaller and the larger one are matched; at most so many references a host.
-RESEMBLES, COVERS, MOST_LAYOUTS = 0.8, 0.3, 16
+#: Trees are of one layout if such shares of the smaller and the larger one are matched.
+RESEMBLES, COVERS = 0.8, 0.3
+#: Trees of a host that a round looks at, the most frequent ones: at first, and at most, as the number doubles.
+FEW, MANY = 16, 1024
 
 # Elements of HTML by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,81 +107,106 @@ def beside(node: Node, inside: bool) -> bool:
     return not inside and (node.tag == "header" or bool(node.names and _HEAD_NAME.search(node.names)))
 
 
-Shape = tuple[str, tuple]
+def _kids(x: Node) -> list[Node]:
+    return [c for c in x.children if isinstance(c, Node) and c.tag not in INLINE and c.tag not in RAW]
+
+
+def fold(node: Node) -> str:
+    """The folded tree of block elements, as JSON of its labels and of the sizes of its subtrees, in preorder; gives every
+    element in it the number of its folded node. No step depends on the depth of the page."""
+    order, work = [], [node]
+    while work:
+        x = work.pop()
+        order.append(x)
+        work += _kids(x)
+    kinds: dict[tuple[str, tuple[int, ...]], int] = {}  # shapes by label and shapes of the children
+    sizes: list[int] = []
+    kind_of: dict[int, int] = {}
+    for x in reversed(order):  # children come after their parent in order
+        below: list[int] = []
+        for c in _kids(x):
+            if not below or below[-1] != kind_of[id(c)]:
+                below.append(kind_of[id(c)])
+        key = (f"{x.tag}.{x.names}" if x.names else x.tag, tuple(below))
+        if key not in kinds:
+            kinds[key] = len(sizes)
+            sizes.append(1 + sum(sizes[k] for k in below))
+        kind_of[id(x)] = kinds[key]
+    node.slot = 0
+    for x in order:
+        at, last = x.slot + 1, None
+        for c in _kids(x):
+            kind = kind_of[id(c)]
+            if last is not None and kind != last:
+                at += sizes[last]
+            c.slot, last = at, kind
+    labels, spans, shapes = [], [], list(kinds)
+    todo = [kind_of[id(node)]]
+    while todo:
+        k = todo.pop()
+        labels.append(shapes[k][0])
+        spans.append(sizes[k])
+        todo += reversed(shapes[k][1])
+    return json.dumps([labels, spans])
 
 
-def fold(node: Node) -> Shape:
-    """The folded tree of block elements; gives every element in it the number of its folded node, in preorder."""
-
-    def shape(x: Node) -> Shape:
-        kids, last = [], None
-        for c in x.children:
-            if isinstance(c, Node) and c.tag not in INLINE and c.tag not in RAW:
-                s = shape(c)
-                if s != last:
-                    kids.append(s)
-                last = s
-        return (f"{x.tag}.{x.names}" if x.names else x.tag, tuple(kids))
-
-    def size(s: Shape) -> int:
-        return 1 + sum(map(size, s[1]))
-
-    def number(x: Node, s: Shape, first: int) -> None:
-        x.slot = first
-        at, k, last = first + 1, -1, None
-        for c in x.children:
-            if isinstance(c, Node) and c.tag not in INLINE and c.tag not in RAW:
-                own = shape(c)
-                if own != last:
-                    at += size(s[1][k]) if k >= 0 else 0
-                    k += 1
-                last = own
-                number(c, s[1][k], at)
-
-    whole = shape(node)
-    number(node, whole, 0)
-    return whole
-
-
-def _tuples(x) -> Shape:
-    return (x[0], tuple(map(_tuples, x[1])))
+@lru_cache(maxsize=4096)
+def _tree(shape: str) -> tuple[list[str], list[list[int]]]:
+    """Labels and children of the nodes of a folded tree."""
+    labels, sizes = json.loads(shape)
+    kids: list[list[int]] = [[] for _ in labels]
+    for i, size in enumerate(sizes):
+        at = i + 1
+        while at < i + size:
+            kids[i].append(at)
+            at += sizes[at]
+    return labels, kids
+
+
+def _best(xs: list[int], ys: list[int], weight: dict[tuple[int, int], int]) -> list[list[int]]:
+    """The largest weight of matches that keep order, for each number of first nodes of both lists."""
+    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for i, c in enumerate(xs):
+        for j, d in enumerate(ys):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight.get((c, d), 0))
+    return best
 
 
 @lru_cache(maxsize=4096)
 def align(one: str, two: str) -> dict[int, int]:
-    """Simple tree matching of two folded trees (as JSON): number of a node in one -> in two, for the largest set of pairs
+    """Simple tree matching of two folded trees: number of a node in one -> in two, for the largest set of pairs
     with equal labels that keeps parents and order."""
-    a, b = _tuples(json.loads(one)), _tuples(json.loads(two))
-
-    def match(x: Shape, y: Shape, p: int, q: int) -> list[tuple[int, int]]:
-        if x[0] != y[0]:
-            return []
-        xs, ys = _places(x, p), _places(y, q)
-        best: list[list[list[tuple[int, int]]]] = [[[] for _ in range(len(ys) + 1)] for _ in range(len(xs) + 1)]
-        for i, (c, pc) in enumerate(xs):
-            for j, (d, qd) in enumerate(ys):
-                both = best[i][j] + m if (m := match(c, d, pc, qd)) else best[i][j]
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], both, key=len)
-        return [(p, q), *best[-1][-1]]
-
-    return dict(match(a, b, 0, 0))
-
-
-def _places(x: Shape, first: int) -> list[tuple[Shape, int]]:
-    out, at = [], first + 1
-    for c in x[1]:
-        out.append((c, at))
-        at += _size(c)
-    return out
-
-
-def _size(x: Shape) -> int:
-    return 1 + sum(map(_size, x[1]))
+    (la, ka), (lb, kb) = _tree(one), _tree(two)
+    if la[0] != lb[0]:
+        return {}
+    met, work = [], [(0, 0)]
+    while work:
+        x, y = work.pop()
+        met.append((x, y))
+        work += [(c, d) for c in ka[x] for d in kb[y] if la[c] == lb[d]]
+    weight: dict[tuple[int, int], int] = {}
+    for x, y in sorted(met, reverse=True):  # children have larger numbers
+        weight[x, y] = 1 + _best(ka[x], kb[y], weight)[-1][-1]
+    found, work = {}, [(0, 0)]
+    while work:
+        x, y = work.pop()
+        found[x] = y
+        xs, ys = ka[x], kb[y]
+        best = _best(xs, ys, weight)
+        i, j = len(xs), len(ys)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                work.append((xs[i], ys[j]))
+    return found
 
 
-@lru_cache(maxsize=65536)
 def _nodes(shape: str) -> int:
-    return _size(_tuples(json.loads(shape)))
+    return len(_tree(shape)[0])
 
 
 def layout_of(shape: str, references: list[str]) -> tuple[int, dict[int, int]] | None:
@@ -201,47 +229,41 @@ def _hash(text: str) -> int:
 
 def _own(x: Node) -> list[str]:
     """The texts that stand directly in an element, inline elements included."""
-    found = []
-    for c in x.children:
-        if isinstance(c, str):
-            found.append(c)
-        elif c.tag not in RAW and c.slot < 0:
-            found += _own(c)
+    found, work = [], [iter(x.children)]
+    while work:
+        for c in work[-1]:
+            if isinstance(c, str):
+                found.append(c)
+            elif c.tag not in RAW and c.slot < 0:
+                work.append(iter(c.children))
+                break
+        else:
+            work.pop()
     return found
 
 
 def own_texts(root: Node) -> dict[int, list[str]]:
     """For each folded node the texts of its elements, in page order; elements without a text of their own are left out."""
     found: dict[int, list[str]] = {}
-
-    def walk(x: Node) -> None:
-        if t := _spoken(_own(x)):
+    work = [root]
+    while work:
+        x = work.pop()
+        if (x.slot >= 0) and (t := _spoken(_own(x))):
             found.setdefault(x.slot, []).append(t)
-        below(x)
-
-    def below(x: Node) -> None:
-        for c in x.children:
-            if isinstance(c, Node) and c.tag not in RAW:
-                walk(c) if c.slot >= 0 else below(c)
-
-    walk(root)
+        work += [c for c in reversed(x.children) if isinstance(c, Node) and c.tag not in RAW]
     return found
 
 
 def _mains(root: Node) -> list[Node]:
     """Outermost articles, or else main elements, that do not stand beside."""
     for tag in MAIN:
-        found: list[Node] = []
-
-        def walk(x: Node) -> None:
-            for c in x.children:
-                if isinstance(c, Node) and not beside(c, False):
-                    if c.tag == tag:  # noqa: B023
-                        found.append(c)  # noqa: B023
-                    else:
-                        walk(c)
-
-        walk(root)
+        found, work = [], [root]
+        while work:
+            x = work.pop()
+            if x is not root and x.tag == tag:
+                found.append(x)
+            else:
+                work += [c for c in reversed(x.children) if isinstance(c, Node) and not beside(c, False)]
         if found:
             return found
     return []
@@ -261,35 +283,40 @@ def blocks(roots: list[Node], inside: bool, template: set[int], texts: frozenset
     def fixed(x: Node) -> bool:
         return x.slot in template or bool(texts) and (x.slot, _hash(_spoken(_own(x)))) in texts
 
-    def walk(x: Node, inside: bool, silent: bool) -> None:
-        for c in x.children:
-            if isinstance(c, str):
-                if not silent:
-                    now.append(c)
-            elif c.tag in ("br", "hr", "wbr"):
-                now.append(" " if c.tag == "br" else "")
-                if c.tag == "hr":
-                    end()
-            elif c.tag in RAW or beside(c, inside):
-                if c.tag not in INLINE:
+    for root in roots:
+        end()
+        work = [(iter(root.children), inside, fixed(root), False)]  # children left, inside, silent, a block of its own
+        while work:
+            left, within, silent, block = work[-1]
+            for c in left:
+                if isinstance(c, str):
+                    if not silent:
+                        now.append(c)
+                elif c.tag in ("br", "hr", "wbr"):
+                    now.append(" " if c.tag == "br" else "")
+                    if c.tag == "hr":
+                        end()
+                elif c.tag in RAW or beside(c, within):
+                    if c.tag not in INLINE:
+                        end()
+                elif c.tag in INLINE:
+                    work.append((iter(c.children), within, silent, False))
+                    break
+                else:
                     end()
-            elif c.tag in INLINE:
-                walk(c, inside, silent)
+                    work.append((iter(c.children), within or c.tag in MAIN, fixed(c) if c.slot >= 0 else silent, True))
+                    break
             else:
-                end()
-                walk(c, inside or c.tag in MAIN, fixed(c) if c.slot >= 0 else silent)
-                end()
-
-    for r in roots:
-        end()
-        walk(r, inside, fixed(r))
+                work.pop()
+                if block:
+                    end()
     end()
     return out
 
 
 def _main(root: Node, references: list[str], templates: list[tuple[set[int], frozenset[tuple[int, int]]] | None]) -> str:
     """The main text of a tree, given its host's references and the template nodes and texts of each, None if unknown."""
-    if references and (found := layout_of(json.dumps(fold(root)), references)) and (template := templates[found[0]]):
+    if references and (found := layout_of(fold(root), references)) and (template := templates[found[0]]):
         to, (nodes, texts) = found[1], template
         back = {b: a for a, b in to.items()}
         return "\n\n".join(blocks([root], False, {back[b] for b in nodes if b in back}, frozenset((back[b], t) for b, t in texts if b in back)))
@@ -316,24 +343,47 @@ def hosted(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
 
 
-def _references(shaped: DataFrame) -> DataFrame:
-    """host, references (JSON): in each round the most frequent tree of those that resemble no reference of their host yet."""
+def _chosen(table: pa.Table) -> pa.Table:
+    """host, layout, reference of one host: of its trees, from the most frequent one on, those that resemble none chosen
+    before."""
+    rows = sorted(zip(table.column("n").to_pylist(), table.column("shape").to_pylist(), strict=True), reverse=True)
+    found: list[str] = []
+    for _, shape in rows:
+        if layout_of(shape, found) is None:
+            found.append(shape)
+    hosts = pa.array([table.column("host")[0].as_py()] * len(found), pa.string())
+    return pa.table({"host": hosts, "layout": pa.array(range(len(found)), pa.int32()), "reference": pa.array(found, pa.string())})
+
+
+def _references(shaped: DataFrame, few: int = FEW, many: int = MANY) -> DataFrame:
+    """host, references (JSON), for each host: the most frequent tree, then the most frequent of those that resemble no
+    reference so far, until each tree resembles one.
+
+    A round settles the `few` most frequent trees of each host, the next one twice as many, and so on up to `many`; what
+    resembles the references it gives takes no part in the next.
+    """
     kinds = pa.schema([("host", pa.string()), ("shape", pa.string()), ("n", pa.int64())])
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = [layout_of(s, [r]) is None for s, r in zip(strings(batch.column(1)), strings(batch.column(3)), strict=True)]
+        for batch in sliced(batches):
+            new = [layout_of(s, json.loads(r)) is None for s, r in zip(strings(batch.column(1)), strings(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:3], schema=kinds).filter(pa.array(new, pa.bool_()))
 
     left, rounds = stored(shaped), []
-    while len(rounds) < MOST_LAYOUTS and not left.isEmpty():
-        top = stored(left.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference")))
-        rounds.append(top.withColumn("layout", F.lit(len(rounds))))
-        left = stored(left.join(top, "host").select("host", "shape", "n", "reference").mapInArrow(others, "host string, shape string, n long"))
+    by_use = Window.partitionBy("host").orderBy(F.desc("n"), F.desc("shape"))
+    while not left.isEmpty():
+        head = left.withColumn("place", F.row_number().over(by_use)).where(F.col("place") <= min(many, few << len(rounds))).drop("place")
+        top = stored(head.groupBy("host").applyInArrow(_chosen, "host string, layout int, reference string"))
+        rounds.append(top.withColumn("round", F.lit(len(rounds))))
+        left = stored(left.join(_listed(top), "host").select("host", "shape", "n", "references").mapInArrow(others, "host string, shape string, n long"))
     if not rounds:
         return shaped.select("host", F.col("shape").alias("references"))
-    every = reduce(DataFrame.unionByName, rounds)
-    return stored(every.groupBy("host").agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("layout", "reference"))), lambda x: x["reference"])).alias("references")))
+    return stored(_listed(reduce(DataFrame.unionByName, rounds)))
+
+
+def _listed(references: DataFrame) -> DataFrame:
+    order = F.struct(*(c for c in ("round", "layout", "reference") if c in references.columns))
+    return references.groupBy("host").agg(F.to_json(F.transform(F.sort_array(F.collect_list(order)), lambda x: x["reference"])).alias("references"))
 
 
 def wrappers(pages: DataFrame, constant: float = CONSTANT, least: int = LEAST_PAGES) -> DataFrame:
@@ -345,17 +395,17 @@ def wrappers(pages: DataFrame, constant: float = CONSTANT, least: int = LEAST_PA
     """
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(fold(parse(t))) for t in strings(batch.column(1))], pa.string())], names=["host", "shape"])
+        for batch in sliced(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fold(parse(t)) for t in strings(batch.column(1))], pa.string())], names=["host", "shape"])
 
     kinds = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("node", pa.int32()), ("whole", pa.bool_()), ("text", pa.int64()), ("page", pa.int64())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for host, page, references in zip(*(strings(c) for c in batch.columns), strict=True):
                 root = parse(page)
-                if (found := layout_of(json.dumps(fold(root)), json.loads(references))) is None:
+                if (found := layout_of(fold(root), json.loads(references))) is None:
                     continue
                 own = own_texts(root)
                 mark = _hash(json.dumps(sorted(own.items())))
@@ -390,7 +440,7 @@ def extract(pages: DataFrame) -> DataFrame:
     kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [_main(parse(p), *(_known(x) if x else ([], []))) for p, x in zip(strings(batch.column(2)), strings(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], schema=kinds)
 
