@@ -1,11 +1,11 @@
-"""Texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by an LSH forest.
-
-Texts with the same words are one node. Each node has a MinHash signature of `trees` labels of up to `longest` values.
-In the forest, texts match in a tree if their labels share a prefix; the prefix is shortened from `longest` until a pair
-at the threshold matches in some tree with the target probability. Texts that a tree's prefix groups together, directly
-or by way of others, are a candidate group; only groups of two or more go on. A group is cut into blocks, and each pair of
-blocks is verified by exact set intersections in a task of its own, so that no group, however large, meets in one task
-and no pair becomes a row: a task returns a node's number of links and a spanning forest of them.
+"""Texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by banded MinHash LSH.
+
+Texts with the same words are one node. Each node has `trees` labels of MinHash values, as long as a pair at the threshold
+still matches in some label with the target probability; this length is worked out once and is the same for all texts, so
+labels are single hashes and no forest of tries is kept. Texts that share a label, directly or by way of others, are a
+candidate group; only groups of two or more go on. A group is cut into blocks, and each pair of blocks is verified by
+exact set intersections in a task of its own, so that no group, however large, meets in one task and no pair becomes a
+row: a task returns a node's number of links and a spanning forest of them.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import SIMILARITY, components, mix, runs, stored, strings, word_hashes
+from tallyhouse.llm.common import SIMILARITY, components, mix, runs, sliced, stored, strings, word_hashes
 
 TREES, LONGEST, TARGET, BLOCK = 24, 8, 0.9999, 128
 _U, _U32 = np.uint64, np.uint32
@@ -43,6 +43,14 @@ def signatures(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def node_of(words: np.ndarray) -> int | None:
+    """A hash of the words of a text in order, None without words."""
+    if not len(words):
+        return None
+    with np.errstate(over="ignore"):
+        return int(mix(mix(words * np.arange(1, 2 * len(words), 2, dtype=_U)).sum(dtype=_U) + _U(len(words)) * _U(0x9E3779B97F4A7C15)).astype(np.int64))
+
+
 def nodes(docs: DataFrame, trees: int = TREES, longest: int = LONGEST, target: float = TARGET, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, node (hash of the words in order; null without words), keys (of the prefix in each tree) per document."""
     depth = prefix_length(trees, longest, target, similarity)
@@ -50,39 +58,37 @@ def nodes(docs: DataFrame, trees: int = TREES, longest: int = LONGEST, target: f
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                of = [known.of(t) for t in strings(part.column(1))]
+        for part in sliced(batches):
+            of = [known.of(t) for t in strings(part.column(1))]
+            sets = [runs(h) for h in of]
+            full = [i for i, s in enumerate(sets) if len(s)]
+            keys = [[]] * len(sets)
+            if full:
+                sizes = np.array([len(sets[i]) for i in full])
+                sig = signatures(np.concatenate([sets[i] for i in full]), np.cumsum(sizes) - sizes, trees * depth)
+                value = np.broadcast_to(np.arange(trees, dtype=_U), (len(full), trees))
                 with np.errstate(over="ignore"):
-                    node = [int(mix(mix(h * np.arange(1, 2 * len(h), 2, dtype=_U)).sum(dtype=_U) + _U(len(h)) * _U(0x9E3779B97F4A7C15)).astype(np.int64)) if len(h) else None for h in of]
-                    sets = [runs(h) for h in of]
-                    full = [i for i, s in enumerate(sets) if len(s)]
-                    keys = [[]] * len(sets)
-                    if full:
-                        sizes = np.array([len(sets[i]) for i in full])
-                        sig = signatures(np.concatenate([sets[i] for i in full]), np.cumsum(sizes) - sizes, trees * depth)
-                        value = np.broadcast_to(np.arange(trees, dtype=_U), (len(full), trees))
-                        for k in range(depth):
-                            value = mix(value * _U(0x100000001B3) + sig[:, k::depth].astype(_U) + _U(1))
-                        for i, row in zip(full, value.astype(np.int64), strict=True):
-                            keys[i] = row
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], schema=kinds)
+                    for k in range(depth):
+                        value = mix(value * _U(0x100000001B3) + sig[:, k::depth].astype(_U) + _U(1))
+                for i, row in zip(full, value.astype(np.int64), strict=True):
+                    keys[i] = row
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(node_of, of), pa.int64()), pa.array(keys, pa.list_(pa.int64()))], schema=kinds)
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(sign, "doc_id long, node long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and its sorted distinct shingles as 64-bit numbers in bytes."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    """node and its sorted distinct shingles as 64-bit numbers in bytes, a row per row."""
+    kinds = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(runs(known.of(t))).tobytes() for t in strings(batch.column(1))], pa.binary())], schema=kinds)
+        for part in sliced(batches):
+            of = [known.of(t) for t in strings(part.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, of), pa.int64()), pa.array([np.unique(runs(h)).tobytes() for h in of], pa.binary())], schema=kinds)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(each, "doc_id long, shingles binary")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(each, "node long, shingles binary")
 
 
 def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -115,11 +121,15 @@ def _linked(one: list[np.ndarray], two: list[np.ndarray], nine: int, four: int)
 def verify(table: pa.Table) -> pa.Table:
     """Links of a task's groups. In: comp, i, j (blocks that meet here), block, node, copies, shingles. Out: node, other (a
     linked node that stands for all it is linked with here; null if none), n (documents linked)."""
-    frame = table.select(["comp", "i", "j", "block", "node", "copies"]).to_pandas()
-    sets = [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
+    cols = {c: table.column(c).to_numpy() for c in ("comp", "i", "j", "block", "node", "copies")}
+    sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("shingles")]
+    order = np.lexsort((cols["j"], cols["i"], cols["comp"]))
+    tile = np.stack([cols[c][order] for c in ("comp", "i", "j")])
+    starts = np.flatnonzero(np.append(True, (tile[:, 1:] != tile[:, :-1]).any(axis=0))) if len(order) else []
     out: list[tuple[int, int, int]] = []
-    for (_, i, j), rows in frame.groupby(["comp", "i", "j"], sort=False).indices.items():
-        block, node, copies = (frame[c].to_numpy()[rows] for c in ("block", "node", "copies"))
+    for rows in np.split(order, starts[1:]) if len(order) else []:
+        i, j = int(cols["i"][rows[0]]), int(cols["j"][rows[0]])
+        block, node, copies = (cols[c][rows] for c in ("block", "node", "copies"))
         one = np.flatnonzero(block == i)
         two = one if i == j else np.flatnonzero(block == j)
         link = _linked([sets[rows[x]] for x in one], [sets[rows[x]] for x in two], 9, 4)
@@ -173,11 +183,11 @@ def links(docs: DataFrame, groups: DataFrame, classes: DataFrame, block: int = B
     big = stored(groups.join(sized, "comp").join(classes, "node"))
     cut = F.ceil(F.col("size") / block).cast("int")
     placed = big.withColumn("block", F.when(cut > 1, F.pmod(F.xxhash64("node"), cut).cast("int")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0), cut - 1)))
-    placed = placed.select("doc_id", "node", "copies", "comp", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    # dealt by id once, for the copies of an id and for the join
-    sets = shingle_sets(docs.join(big.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id"])
+    placed = placed.select("node", "copies", "comp", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    # dealt by node once, for its copies and for the join; an id may have several texts, each a node of its own
+    sets = shingle_sets(docs.join(big.select("doc_id").distinct(), "doc_id", "left_semi")).dropDuplicates(["node"])
     tasks = max(1, placed.count() // (4 * block))
     # small groups share tasks, about four blocks of rows each; blocks of large groups have tasks of their own
     task = F.when((F.col("i") == F.col("j")) & (F.col("i") == 0), F.pmod(F.xxhash64("comp"), F.lit(tasks))).otherwise(F.xxhash64("comp", "i", "j"))
-    full = placed.join(sets, "doc_id").select(task.alias("task"), "comp", "i", "j", "block", "node", "copies", "shingles")
+    full = placed.join(sets, "node").select(task.alias("task"), "comp", "i", "j", "block", "node", "copies", "shingles")
     return stored(full.groupBy("task").applyInArrow(verify, "node long, other long, n long"))
