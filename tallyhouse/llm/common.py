@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -86,6 +86,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def sliced(batches: Iterator, rows: int = 512) -> Iterator:
+    """The rows of Arrow batches, so many at a time: a task never holds the Python objects of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def strings(column) -> list[str]:
     """Python strings of an Arrow column, nulls as empty ones."""
     return ["" if x is None else x for x in column.to_pylist()]
@@ -94,7 +101,7 @@ def strings(column) -> list[str]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a number of words."""
 
-    def __init__(self, remember: int = 200_000):
+    def __init__(self, remember: int = 120_000):
         super().__init__()
         self.remember = remember
 

@@ -19,16 +19,15 @@ def held_out(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string")) % 4 == HELD_OUT
 
 
-def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
-    """The classifier, from labels that are not held out."""
-    return toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those that are not held out."""
+    return table(spark, sf_dir, "labels").where(~held_out())
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
-    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
-    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"), "rejected")
+    rows, score, rejected = toxicity.judged(table(spark, sf_dir, "documents"), toxicity_labels(spark, sf_dir))
+    predicted = (score >= toxicity.THRESHOLD).cast("int")
+    return rows.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score"), predicted.alias("predicted"), rejected.alias("rejected"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
