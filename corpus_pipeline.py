@@ -15,7 +15,8 @@ from tallyhouse.llm.common import ids_of, stored, table
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose score reaches the threshold of their language; null texts score as empty ones."""
-    return toxicity.accepted(docs, queries.toxicity_model(spark, docs, sf_dir))
+    rows, _, rejected = toxicity.judged(docs, queries.toxicity_labels(spark, sf_dir), whole=True)
+    return rows.where(~rejected).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
