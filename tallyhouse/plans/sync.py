@@ -1,4 +1,4 @@
-"""Copying source tables into the lake."""
+"""Copying source tables into the lake."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.snapshots import delta, high_water_mark, latest_per_key, stamp, upsert
+from tallyhouse.operators.snapshots import high_water_mark, stamp
+from tallyhouse.plans import ledger
 from tallyhouse.sinks import tables as sink
-from tallyhouse.sources.jdbc import JdbcOptions, read_partitioned, read_table, select_existing
+from tallyhouse.sinks.buckets import upsert_table
+from tallyhouse.sinks.held import Held, replace_and_describe
+from tallyhouse.sources.jdbc import JdbcOptions, literal, read_even, read_partitioned, read_table, select_existing
 from tallyhouse.sources.tables import SOURCE_TABLES
 
 MODES = ("incremental", "full")
@@ -22,7 +25,9 @@ KEPT = ("keep_history", "latest_only", "upsert")
 class TableSpec:
     """One table to copy; the defaults are those of a spec that names only the tables.
 
-    Strategy ``upsert`` keeps one row per ``keys`` in a table without partitions.
+    Strategy ``upsert`` keeps one row per ``keys``, stored in that many ``buckets`` of the key.
+    ``held`` names the date and key columns by which the partitions of a fact are described, ``bucket_by`` the column and
+    number of the buckets its partitions are stored in.
     """
 
     source: str
@@ -36,6 +41,9 @@ class TableSpec:
     enabled: bool = True
     path: str | None = None
     keys: tuple[str, ...] = ()
+    buckets: int = 64
+    held: Held | None = None
+    bucket_by: tuple[str, int] | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -57,24 +65,44 @@ class TableSpec:
 Reader = Callable[[SparkSession, TableSpec], DataFrame]
 
 
-def jdbc_reader(opts: JdbcOptions, parallel: int = 1, known_columns: bool = False) -> Reader:
+@dataclass(frozen=True)
+class JdbcReader:
     """Reads a spec's source over JDBC.
 
-    With ``parallel`` a known table is read in that many ranges of its key.  All columns are
-    copied; with ``known_columns`` those of a known table that ``SOURCE_TABLES`` lists.
+    With ``parallel`` a known table is read in that many ranges of its key, an interval of it in as many even parts.  All
+    columns are copied; with ``known_columns`` those of a known table that ``SOURCE_TABLES`` lists.
     """
 
-    def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    opts: JdbcOptions
+    parallel: int = 1
+    known_columns: bool = False
+
+    def __call__(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         known = SOURCE_TABLES.get(spec.source.split(".")[-1].lower())
         if known is None:
-            return read_table(spark, opts, spec.source)
-        if parallel > 1:
-            rows = read_partitioned(spark, opts, spec.source, known["key"], parallel)
+            return read_table(spark, self.opts, spec.source)
+        if self.parallel > 1:
+            rows = read_partitioned(spark, self.opts, spec.source, known["key"], self.parallel)
         else:
-            rows = read_table(spark, opts, spec.source)
-        return rows.select(*known["columns"]) if known_columns else rows
+            rows = read_table(spark, self.opts, spec.source)
+        return rows.select(*known["columns"]) if self.known_columns else rows
+
+    def within(self, spark: SparkSession, spec: TableSpec, source: DataFrame, of: ledger.Entry) -> DataFrame | None:
+        """The rows of an interval in even parts; None if the table's key is not known."""
+        known = SOURCE_TABLES.get(spec.source.split(".")[-1].lower())
+        if known is None or self.parallel < 2:
+            return None
+        low, high = ledger.bounds(source, spec.inc_col, of, spec.lookback_days)
+        asked = [f"{spec.inc_col} > {literal(low)}"] if low is not None else []
+        if high is not None:
+            upto = f"{spec.inc_col} <= {literal(high)}"
+            asked.append(upto if low is not None else f"({upto} OR {spec.inc_col} IS NULL)")
+        rows = read_even(spark, self.opts, spec.source, known["key"], self.parallel, " AND ".join(asked) or None)
+        return rows.select(*known["columns"]) if self.known_columns else rows
+
 
-    return read
+def jdbc_reader(opts: JdbcOptions, parallel: int = 1, known_columns: bool = False) -> Reader:
+    return JdbcReader(opts, parallel, known_columns)
 
 
 def default_specs(database: str = "ods") -> list[TableSpec]:
@@ -89,7 +117,7 @@ def default_specs(database: str = "ods") -> list[TableSpec]:
 
     # ---- Fixed values: days of history kept, all without a number
     return [
-        snapshots("Orders"),
+        replace(snapshots("Orders"), held=Held("OrderDate", "OrderID")),
         snapshots("OrderDetails"),
         snapshots("InventoryTransactions"),
         snapshots("Customers", 90),
@@ -102,7 +130,7 @@ def default_specs(database: str = "ods") -> list[TableSpec]:
 
 
 def mark_before(spark: SparkSession, spec: TableSpec, as_of: str) -> object | None:
-    """The newest change the target holds from earlier runs, None for a full read.
+    """The newest change a target without entries in the ledger holds from earlier runs, None for a full read.
 
     Rows of a run on the same date are left out: they are about to be replaced, and a
     repeated run must read them again.
@@ -121,37 +149,49 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
     =============  ============  ==========================================
     mode           strategy      effect
     =============  ============  ==========================================
-    incremental    (any)         rows after the mark become partition ``as_of``
+    incremental    (any)         rows of the date's interval become partition ``as_of``
     full           keep_history  all rows become partition ``as_of``
     full           latest_only   all rows replace the table
     (any)          upsert        rows newer than the table's replace them by key
     =============  ============  ==========================================
 
-    Without a partition column an increment is appended and a full copy replaces.
+    Without a partition column an increment is appended and a full copy replaces.  The interval of
+    a date is fixed and stored before its rows are read, so a source that goes on changing gives a
+    repeated run, or a task that runs again, the same rows; rows are read once.  A source without rows
+    changes nothing.
     """
     for database in sink.databases_of([spec.target]):
         sink.ensure_database(spark, database)
-    mark = mark_before(spark, spec, as_of)
-    rows = delta(read(spark, spec), spec.inc_col, mark, spec.lookback_days)
-    if rows.isEmpty():
-        return sink.WriteResult(spec.target, 0)
+    exists, source = sink.table_exists(spark, spec.target), read(spark, spec)
+    if spec.mode == "incremental":
+        begun = ledger.interval(spark, spec.target, as_of, source, spec.inc_col, mark_before(spark, spec, as_of))
+        ranged = read.within(spark, spec, source, begun) if isinstance(read, JdbcReader) else None
+        rows = ledger.within(source, spec.inc_col, begun, spec.lookback_days) if ranged is None else ranged
+    else:
+        begun, rows = ledger.record(spark, ledger.Entry(spec.target, as_of)), source
     if spec.part_col:
         rows = stamp(rows, as_of, spec.part_col)
     if spec.strategy == "upsert":
-        if sink.table_exists(spark, spec.target):
-            merged = upsert(spark.table(spec.target), rows, spec.keys, spec.inc_col)
+        done = upsert_table(rows, spec.target, spec.keys, spec.inc_col, buckets=spec.buckets, path=spec.path)
+    elif spec.part_col and (spec.mode == "incremental" or spec.strategy == "keep_history"):
+        if spec.held is not None:
+            done = replace_and_describe(rows, spec.target, spec.held, part_col=spec.part_col, path=spec.path, bucket_by=spec.bucket_by)
         else:
-            merged = latest_per_key(rows, spec.keys, spec.inc_col)
-        return sink.write_table(merged, spec.target, path=spec.path)
-    if spec.part_col and (spec.mode == "incremental" or spec.strategy == "keep_history"):
-        done = sink.replace_partitions(rows, spec.target, part_col=spec.part_col, path=spec.path)
+            done = sink.replace_partitions(rows, spec.target, part_col=spec.part_col, path=spec.path, bucket_by=spec.bucket_by)
     else:
         mode = "append" if spec.mode == "incremental" else "overwrite"
-        done = sink.write_table(rows, spec.target, mode=mode, path=spec.path)
-    if spec.mode == "full" and spec.strategy == "keep_history" and spec.part_col and spec.keep_days:
+        done = sink.write_table(rows, spec.target, mode=mode, path=spec.path, keep_if_empty=True)
+    if not done.rows:
+        if not exists:
+            sink.drop_objects(spark, tables=[spec.target])
+        done = sink.WriteResult(spec.target, 0)
+    elif spec.mode == "full" and spec.strategy == "keep_history" and spec.part_col and spec.keep_days:
         sink.drop_old_partitions(
             spark, spec.target, part_col=spec.part_col, keep_days=spec.keep_days, as_of=as_of
         )
+    if done.complete:
+        digest = None if done.digests is None else str(done.digests[0])
+        ledger.record(spark, replace(begun, rows=done.rows, digest=digest, state=ledger.COMPLETE))
     return done
 
 
@@ -164,12 +204,15 @@ def sync_all(
     *,
     existing: set[str] | None = None,
     at_once: int = 3,
+    resume: bool = False,
 ) -> DataFrame:
     """Copy every enabled table, some at once; one failing table does not stop the others.
 
     Returns (table_name, record_count, status, processed_date) in the order of the specs
     and saves it as Parquet if a path is given.  ``existing`` are the lower-case names of
-    the tables the source has (S8): others are skipped and reported as missing.
+    the tables the source has (S8): others are skipped and reported as missing.  With ``resume`` a
+    table whose copy of the date is complete in the ledger is not copied again but reported from there,
+    so that a run that was stopped goes on where it ended.
     """
     specs = [spec for spec in specs if spec.enabled]
 
@@ -177,6 +220,9 @@ def sync_all(
         if existing is not None and not select_existing([spec.source.split(".")[-1]], existing)[0]:
             return spec.target, 0, f"SKIPPED: no source table {spec.source}"
         try:
+            known = ledger.entry(spark, spec.target, as_of) if resume else None
+            if known is not None and known.state == ledger.COMPLETE:
+                return spec.target, known.rows, "SUCCESS"
             result = sync_table(spark, spec, as_of, read)
             return spec.target, result.rows, "SUCCESS" if result.complete else "INCOMPLETE"
         except Exception as problem:  # reported in the summary, by table
