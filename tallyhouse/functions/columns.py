@@ -52,7 +52,7 @@ def is_delayed(shipped: str = "ShippedDate", required: str = "RequiredDate") ->
     return F.col(shipped) > F.col(required)
 
 
-def delivery_status(batch_date: str) -> Column:
+def delivery_status(batch_date: str | Column) -> Column:
     """The first state that applies, a closed order before any date comparison."""
     shipped, required, status = (F.col(c) for c in ("ShippedDate", "RequiredDate", "OrderStatus"))
     states = [
@@ -134,11 +134,11 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def audit_columns(batch_date: str) -> dict[str, Column]:
+def audit_columns(batch_date: str | Column) -> dict[str, Column]:
     """Load time and batch identifier (``yyyyMMdd``)."""
     return {
         "etl_created_date": F.current_timestamp(),
-        "etl_batch_id": F.lit(batch_date.replace("-", "")),
+        "etl_batch_id": F.replace(F.lit(batch_date), F.lit("-"), F.lit("")),
     }
 
 

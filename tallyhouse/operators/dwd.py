@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import types as t
@@ -62,7 +62,7 @@ def dwd_orders(
     customers: DataFrame,
     employees: DataFrame | None,
     *,
-    batch_date: str,
+    batch_date: str | Column,
     order_statuses: Mapping[str, str] = v.ORDER_STATUS,
     payment_statuses: Mapping[str, str] = v.PAYMENT_STATUS,
     rules: OrderRules = OrderRules(),
@@ -73,6 +73,7 @@ def dwd_orders(
     """Orders with customer and creator, standard statuses, delivery and quality columns.
 
     Without ``employees`` the creator is left out, for readers that do not use it.
+    ``batch_date`` may be a column, for rows of several loads.
     ``check`` fails if a dimension holds a key twice.
     """
     dims = [DimSpec(customers, ("CustomerID", "CustomerID"), CUSTOMER, customers_dt, check=check)]

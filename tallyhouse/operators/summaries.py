@@ -89,8 +89,13 @@ def orders_monthly_summary(orders: DataFrame, month: str | None = None) -> DataF
     """A2 for one month (``yyyy-MM``), or for every month of the fact."""
     if month is not None:
         orders = in_month(orders, month)
-    measures = {
-        **order_measures(),
+    measures = {**order_measures(), **monthly_sizes()}
+    grouped = orders.groupBy(F.trunc("OrderDate", "MM").alias("year_month")).agg(*named(measures))
+    return monthly_rates(grouped.withColumn("year_month", F.date_format("year_month", "yyyy-MM")))
+
+
+def monthly_sizes() -> dict[str, Column]:
+    return {
         "vip_customer_orders": m.count_of("CustomerType", "VIP"),
         "regular_customer_orders": m.count_of("CustomerType", "Regular"),
         "large_orders": m.count_of("OrderSizeCategory", "Large"),
@@ -98,32 +103,46 @@ def orders_monthly_summary(orders: DataFrame, month: str | None = None) -> DataF
         "small_orders": m.count_of("OrderSizeCategory", "Small"),
         "micro_orders": m.count_of("OrderSizeCategory", "Micro"),
     }
-    grouped = orders.groupBy(F.trunc("OrderDate", "MM").alias("year_month")).agg(*named(measures))
-    return grouped.withColumns(
-        {
-            "year_month": F.date_format("year_month", "yyyy-MM"),
-            **m.rates("total_orders", **ORDER_RATES, vip_ratio="vip_orders", large_order_ratio="large_orders"),
-        }
-    )
+
+
+def monthly_counts() -> dict[str, Column]:
+    """The counts of a month."""
+    vip = {"vip_orders": m.count_of("CustomerType", "VIP")}
+    return {"total_orders": m.count_rows(), **order_outcomes(), **vip, **monthly_sizes()}
+
+
+def monthly_rates(grouped: DataFrame) -> DataFrame:
+    """What follows from the measures of each month."""
+    return grouped.withColumns(m.rates("total_orders", **ORDER_RATES, vip_ratio="vip_orders", large_order_ratio="large_orders"))
 
 
 def customer_analytics(orders: DataFrame, as_of: str, rules: CustomerRules = CustomerRules()) -> DataFrame:
     """A3: value, activity, segment and status of every customer on a date."""
     require_columns(orders, *CUSTOMER_COLUMNS)
     measures = {
-        "total_orders": m.count_rows(),
+        **customer_counts(),
         "total_spent": m.total("TotalAmount"),
         "avg_order_value": m.mean("TotalAmount"),
         "total_net_spent": m.total("NetAmount"),
         "last_order_date": F.max("OrderDate"),
         "first_order_date": F.min("OrderDate"),
-        **order_outcomes(),
         "avg_processing_days": m.mean_days("ProcessingDays"),
         "max_order_amount": F.max("TotalAmount").cast(t.AMOUNT),
+    }
+    return customer_profile(orders.groupBy("CustomerID", "CustomerName", "CustomerType").agg(*named(measures)), as_of, rules)
+
+
+def customer_counts() -> dict[str, Column]:
+    return {
+        "total_orders": m.count_rows(),
+        **order_outcomes(),
         "large_orders": m.count_of("OrderSizeCategory", "Large"),
         "poor_quality_orders": m.count_of("DataQualityLevel", "Poor"),
     }
-    grouped = orders.groupBy("CustomerID", "CustomerName", "CustomerType").agg(*named(measures))
+
+
+def customer_profile(grouped: DataFrame, as_of: str, rules: CustomerRules = CustomerRules()) -> DataFrame:
+    """What follows from the measures of each customer on a date."""
     lifetime = F.datediff("last_order_date", "first_order_date") + 1
     return grouped.withColumns(
         {
@@ -176,14 +195,16 @@ def orderdetails_daily_summary(lines: DataFrame, by: tuple[str, ...] = ()) -> Da
     )
 
 
+PRODUCT_KEYS = {
+    "product_id": "ProductID",
+    "product_name": "ProductName",
+    "product_category": "ProductCategory",
+    "product_specification": "ProductSpecification",
+}
+
+
 def product_analytics(lines: DataFrame, rules: ProductRules = ProductRules()) -> DataFrame:
     """A5: sales, delivery, tier, demand and score of every product."""
-    keys = {
-        "product_id": "ProductID",
-        "product_name": "ProductName",
-        "product_category": "ProductCategory",
-        "product_specification": "ProductSpecification",
-    }
     measures = {
         "total_orders": m.count_rows(),
         "total_quantity_sold": m.total("Quantity"),
@@ -192,7 +213,11 @@ def product_analytics(lines: DataFrame, rules: ProductRules = ProductRules()) ->
         "avg_discount": m.mean("Discount"),
         **line_outcomes("orders"),
     }
-    grouped = lines.groupBy(*(F.col(c).alias(name) for name, c in keys.items())).agg(*named(measures))
+    return product_profile(lines.groupBy(*(F.col(c).alias(name) for name, c in PRODUCT_KEYS.items())).agg(*named(measures)), rules)
+
+
+def product_profile(grouped: DataFrame, rules: ProductRules = ProductRules()) -> DataFrame:
+    """What follows from the measures of each product."""
     return grouped.withColumns(
         {
             "avg_revenue_per_order": m.per_unit("total_revenue", "total_orders"),
@@ -243,6 +268,11 @@ def warehouse_analytics(
             *named({name: F.count_distinct(c) for name, c in counted.items()})
         )
         totals = totals.join(exact, F.struct(*WAREHOUSE_KEYS) == F.col("__group"), "left").drop("__group")
+    return warehouse_profile(totals, rules)
+
+
+def warehouse_profile(totals: DataFrame, rules: WarehouseRules = WarehouseRules()) -> DataFrame:
+    """What follows from the measures of each warehouse."""
     return totals.withColumns(
         {
             "delivery_rate": m.rate("delivered_items", "total_items_processed"),

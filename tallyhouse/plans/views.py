@@ -77,11 +77,17 @@ def register_views(
     for name, view in VIEWS.items():
         if view.base not in available:
             continue
-        view.make(rows_up_to(spark, layout, view.base, as_of), as_of).createOrReplaceTempView(name)
+        view_of(spark, name, as_of, layout).createOrReplaceTempView(name)
         made.append(name)
     return made
 
 
+def view_of(spark: SparkSession, name: str, as_of: str, layout: Layout) -> DataFrame:
+    """The rows of a view, without a name in the session."""
+    view = VIEWS[name]
+    return view.make(rows_up_to(spark, layout, view.base, as_of), as_of)
+
+
 def rows_up_to(spark: SparkSession, layout: Layout, base: str, as_of: str) -> DataFrame:
     table = f"{layout.database(base)}.{base}"
     if "dt" not in spark.table(table).columns:

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import dwd, summaries
+from tallyhouse.operators import dwd, quality, summaries
 from tallyhouse.operators.snapshots import (
     STRATEGIES,
     TABLE_STRATEGY,
     latest_per_key,
     latest_snapshot,
+    partition_drift,
     resolve_partition,
     stamp,
     window_by_dt,
 )
 from tallyhouse.sinks import tables as sink
+from tallyhouse.sinks.held import Held, dates_like, dates_of_keys, drop_described, replace_and_describe
 
 
+# What the partitions of a cleaned fact are described by
+HELD = {"orders": Held("OrderDate", "OrderID"), "orderdetails": Held("OrderDate", "OrderID")}
 # What tells the rows of a fact apart, raw or cleaned
 ROW_KEYS = {
     "orders": ("OrderID",),
@@ -39,7 +43,9 @@ class Layout:
     Aggregates and views read facts through ``recent`` and ``of_changed_days`` only, so each
     order or line counts once.  In increments a row copied again, because it changed or
     in an overlap, lies in several partitions; the newest version by change time, then by
-    load, counts.  An order keeps its order date.
+    load, counts.  An order keeps its order date.  ``check`` fails a build whose dimensions hold a key twice,
+    ``limits`` one whose rows break the limits of D1, and measures the tables written (K19); ``most_drift`` fails one that would take a
+    dimension's snapshot of so many days before or after its date (I8).
     """
 
     ods: str = "ods"
@@ -49,6 +55,8 @@ class Layout:
     window_days: int = 30
     keys: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: ROW_KEYS)
     check: bool = False
+    limits: bool = False
+    most_drift: int | None = None
 
     def database(self, name: str) -> str:
         return {"dwd": self.dwd, "dws": self.dws}.get(name.split("_")[0], self.ods)
@@ -68,17 +76,22 @@ class Layout:
         """The rows of every order date the load of a date brings, each order or line once.
 
         Of a snapshot that is the load.  Increments bring late and changed orders of
-        earlier dates, whose other orders lie in earlier loads.  Files outside the first
-        and last of these dates are skipped, other rows leave in a semi join with the dates.
+        earlier dates, whose other orders lie in earlier loads.  Only loads that hold such a
+        date are read, as their descriptions say; other rows leave in a semi join with the dates.
         """
         fact = spark.table(table)
-        load = fact.filter(F.col("dt") == as_of)
         if self.snapshots:
-            return load
-        day = F.col("OrderDate")
-        first, last = load.agg(F.min(day), F.max(day)).first()
-        near = fact.filter((F.col("dt") <= as_of) & (day.between(F.lit(first), F.lit(last)) | day.isNull()))
-        days = load.select(day.alias("__day")).distinct()
+            return fact.filter(F.col("dt") == as_of)
+        day = F.col("OrderDate").cast("date")
+        found = dates_like(spark, table, as_of)
+        if found is not None:  # only the loads that hold one of these days are read
+            days, dates = found
+            near = fact.filter(F.col("dt").isin(dates))
+        else:
+            load = fact.filter(F.col("dt") == as_of)
+            first, last = load.agg(F.min(day), F.max(day)).first()
+            near = fact.filter((F.col("dt") <= as_of) & (day.between(F.lit(first), F.lit(last)) | day.isNull()))
+            days = load.select(day.alias("__day")).distinct()
         return self.newest(near.join(days, day.eqNullSafe(F.col("__day")), "left_semi"), table)
 
 
@@ -88,10 +101,20 @@ def dimension(spark: SparkSession, layout: Layout, name: str, batch_date: str) -
     strategy = STRATEGIES[TABLE_STRATEGY[name]]
     dates = sink.list_partitions(spark, table)
     dt = resolve_partition(dates, batch_date, strategy)
+    require_near(layout, table, batch_date, dt)
     rows = spark.table(table)
     return rows if dt is None else rows.filter(F.col("dt") == dt)
 
 
+def require_near(layout: Layout, table: str, batch_date: str, dt: str | None) -> None:
+    """I8."""
+    if layout.most_drift is None:
+        return
+    days, level = partition_drift(batch_date, dt, error=layout.most_drift)
+    if level == "error":
+        raise ValueError(f"{table}: the snapshot of {dt} is {days} days from {batch_date}")
+
+
 def batch(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> DataFrame:
     """The fact rows of one load."""
     return spark.table(f"{layout.ods}.{name}").filter(F.col("dt") == batch_date)
@@ -100,7 +123,7 @@ def batch(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> Da
 def _nothing(spark: SparkSession, table: str, batch_date: str) -> None:
     """An empty load has no cleaned rows, those of an earlier run over it included."""
     if sink.table_exists(spark, table):
-        sink.drop_partitions(spark, table, [batch_date])
+        drop_described(spark, table, [batch_date])
 
 
 def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout) -> sink.WriteResult | None:
@@ -111,21 +134,75 @@ def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout) -> si
     customers, employees = (dimension(spark, layout, n, batch_date) for n in ("Customers", "Employees"))
     fact = dwd.dwd_orders(orders, customers, employees, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    return sink.replace_partitions(stamp(fact, batch_date), target).require_complete()
+    done = replace_and_describe(stamp(fact, batch_date), target, HELD["orders"]).require_complete()
+    return _checked(spark, layout, done, [batch_date])
+
+
+def _checked(spark: SparkSession, layout: Layout, done: sink.WriteResult, dates: list[str]) -> sink.WriteResult:
+    """D1 over stored orders, and K19."""
+    if layout.limits:
+        stored = spark.table(done.table).filter(F.col("dt").isin(dates))
+        broken = quality.validate_orders(stored).filter(~F.col("passed")).collect()
+        if broken:
+            raise ValueError(f"{done.table}: " + ", ".join(f"{r['check']} {r['value']:.3f} over {r['threshold']}" for r in broken))
+        sink.refresh_and_analyze(spark, done.table, noscan=True)
+    return done
+
+
+def build_dwd_orders_range(spark: SparkSession, dates: Iterable[str], layout: Layout) -> sink.WriteResult | None:
+    """Cleaned orders of many loads in one pass, as ``build_dwd_orders`` makes them one by one (I6, J3); None if all are empty.
+
+    Each load's snapshot of a dimension is chosen on the driver, a name a date; rows meet the dimension by key and
+    snapshot, so all snapshots wanted are read once.  A backfill moves its orders once, not once a day.
+    """
+    dates, target = sorted(set(dates)), f"{layout.dwd}.dwd_orders"
+    orders = spark.table(f"{layout.ods}.Orders").filter(F.col("dt").isin(dates))
+    if orders.isEmpty():
+        for day in dates:
+            _nothing(spark, target, day)
+        return None
+    dims = {}
+    for name, key, own in (("Customers", "CustomerID", "CustomerID"), ("Employees", "CreatedBy", "EmployeeID")):
+        orders, dims[name] = _by_snapshot(spark, layout, name, dates, orders, key, own)
+    saved = {c: F.col(f"__{c}") for c in ("CustomerID", "CreatedBy")}
+    fact = dwd.dwd_orders(orders, dims["Customers"], dims["Employees"], batch_date=F.col("dt"), check=layout.check)
+    fact = fact.withColumns(saved).drop(*(f"__{c}" for c in saved))
+    sink.ensure_database(spark, layout.dwd)
+    done = replace_and_describe(fact, target, HELD["orders"], dates=dates, rebalance=True).require_complete()
+    return _checked(spark, layout, done, dates)
+
+
+def _by_snapshot(
+    spark: SparkSession, layout: Layout, name: str, dates: list[str], orders: DataFrame, key: str, own: str
+) -> tuple[DataFrame, DataFrame]:
+    """The orders and a dimension, both with its key bound to the snapshot that the order's load takes."""
+    table = f"{layout.ods}.{name}"
+    held, strategy = sink.list_partitions(spark, table), STRATEGIES[TABLE_STRATEGY[name]]
+    chosen = {day: resolve_partition(held, day, strategy) for day in dates}
+    for day, dt in chosen.items():
+        require_near(layout, table, day, dt)
+    orders, rows = orders.withColumn(f"__{key}", F.col(key)), spark.table(table)
+    if None in chosen.values():  # a table without snapshots
+        return orders, rows
+    bound = lambda dt, of: F.when(of.isNotNull(), F.concat(dt, F.lit("|"), of.cast("string")))
+    snapshot = F.create_map(*(F.lit(x) for pair in chosen.items() for x in pair))[F.col("dt")]
+    wanted = rows.filter(F.col("dt").isin(sorted(set(chosen.values()))))
+    return orders.withColumn(key, bound(snapshot, F.col(key))), wanted.withColumn(own, bound(F.col("dt"), F.col(own)))
 
 
 def known_orders(spark: SparkSession, layout: Layout, batch_date: str, details: DataFrame) -> DataFrame:
     """The orders the lines of a load belong to, each once.
 
-    A snapshot holds all of them; of increments, every load up to the date counts,
-    because a late line may belong to an old order.  Other orders are left out before
-    versions are compared.
+    A snapshot holds all of them; of increments, every load up to the date counts whose orders
+    may be among them, because a late line may belong to an old order: copies that are described
+    (``TableSpec.held``) name these loads.  Other orders are left out before versions are compared.
     """
     if layout.snapshots:
         return dimension(spark, layout, "Orders", batch_date)
     table = f"{layout.ods}.Orders"
-    loaded = spark.table(table).filter(F.col("dt") <= batch_date)
-    return layout.newest(loaded.join(details.select("OrderID"), "OrderID", "left_semi"), table)
+    keys = details.select("OrderID")
+    loaded = spark.table(table).filter(F.col("dt").isin(dates_of_keys(spark, table, keys, batch_date)))
+    return layout.newest(loaded.join(keys, "OrderID", "left_semi"), table)
 
 
 def build_dwd_orderdetails(spark: SparkSession, batch_date: str, layout: Layout) -> sink.WriteResult | None:
@@ -137,7 +214,7 @@ def build_dwd_orderdetails(spark: SparkSession, batch_date: str, layout: Layout)
     dims = [known_orders(spark, layout, batch_date, details), *(dimension(spark, layout, n, batch_date) for n in names)]
     fact = dwd.dwd_orderdetails(details, *dims, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    return sink.replace_partitions(stamp(fact, batch_date), target).require_complete()
+    return replace_and_describe(stamp(fact, batch_date), target, HELD["orderdetails"]).require_complete()
 
 
 def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout) -> list[str]:
@@ -181,4 +258,6 @@ def _write(
         done = sink.replace_partitions(stamp(make(), as_of), f"{layout.dws}.{name}", dates=[as_of])
         if done.require_complete().rows:
             written.append(name)
+            if layout.limits:
+                sink.refresh_and_analyze(spark, done.table, noscan=True)
     return written
