@@ -14,15 +14,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from registry.queries import AS_OF, COPIED, lines_fact, ods, query
+from registry.queries import AS_OF, COPIED, lines_fact, ods, query, rounded
 from tallyhouse.operators import quality
-from tallyhouse.plans import sync, views, warehouse
+from tallyhouse.operators import views as order_views
+from tallyhouse.plans import reports as report_plan
+from tallyhouse.plans import states, sync, views, warehouse
 from tallyhouse.plans.sync import TableSpec
 from tallyhouse.sinks import tables as sinks
+from tallyhouse.sinks.buckets import upserted
+from tallyhouse.sinks.held import Held, replace_and_describe
 
 LOADS = ("2001-07-30", "2001-07-31", AS_OF)
-KEYS = {"orders": ("OrderID",), "orderdetails": ("OrderID", "LineNumber")}
+KEYS = {"orders": ("OrderID",), "orderdetails": ("OrderDetailID",)}
 
 
 def new_layout(snapshots: bool) -> warehouse.Layout:
@@ -32,7 +37,11 @@ def new_layout(snapshots: bool) -> warehouse.Layout:
 
 def store(rows: DataFrame, layout: warehouse.Layout, name: str, day: str) -> None:
     sinks.ensure_database(rows.sparkSession, layout.ods)
-    sinks.replace_partitions(rows.withColumn("dt", F.lit(day)), f"{layout.ods}.{name}")
+    target, dated = f"{layout.ods}.{name}", rows.withColumn("dt", F.lit(day))
+    if name == "Orders":
+        replace_and_describe(dated, target, Held("OrderDate", "OrderID"))
+    else:
+        sinks.replace_partitions(dated, target)
 
 
 def order_loads(spark: SparkSession, sf: str, snapshots: bool) -> dict[str, DataFrame]:
@@ -45,44 +54,73 @@ def order_loads(spark: SparkSession, sf: str, snapshots: bool) -> dict[str, Data
     return dict(zip(LOADS, (early.filter(first), early.filter(~first), orders.filter(changed))))
 
 
-def daily_jobs(spark: SparkSession, sf: str, snapshots: bool, as_of: str = AS_OF) -> warehouse.Layout:
-    """All loads stored and run through the jobs; the views of a date registered."""
+def daily_jobs(spark: SparkSession, sf: str, snapshots: bool) -> warehouse.Layout:
+    """All loads stored and run through the jobs."""
     layout = new_layout(snapshots)
     for name in ("Customers", "Employees"):
         store(ods(spark, sf, name.lower()), layout, name, LOADS[0])
     for day, rows in order_loads(spark, sf, snapshots).items():
         store(rows, layout, "Orders", day)
         warehouse.build_dwd_orders(spark, day, layout)
-        made = warehouse.build_dws_orders(spark, day, layout)
-    views.register_views(spark, ["dwd_orders", *made], as_of, layout)
+        warehouse.build_dws_orders(spark, day, layout)
     return layout
 
 
+def line_loads(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Lines with their order's load, each with an id of its own; the third load brings the lines of 2000 again, those
+    of the first one included, whose orders lie in an older load."""
+    numbered = Window.partitionBy("OrderID", "LineNumber").orderBy("ProductID", "WarehouseID", "Quantity", "UnitPrice", "Discount", "Status")
+    own = F.concat_ws("-", "OrderID", "LineNumber", F.row_number().over(numbered))
+    lines = ods(spark, sf, "orderdetails").withColumn("OrderDetailID", own)
+    orders = ods(spark, sf, "orders").select("OrderID", F.year("OrderDate").alias("__year"), F.col("RequiredDate").isNotNull().alias("__known"))
+    placed = lines.join(orders, "OrderID", "left")
+    changed, first = F.coalesce(F.col("__year") == 2000, F.lit(False)), F.coalesce((F.col("__year") < 2001) & F.col("__known"), F.lit(False))
+    early = placed.withColumn("Status", F.when(changed, "Backorder").otherwise(F.col("Status")))
+    loads = (early.filter(first), early.filter(~first), placed.filter(changed))
+    return {day: rows.drop("__year", "__known") for day, rows in zip(LOADS, loads)}
+
+
+def line_jobs(spark: SparkSession, sf: str) -> warehouse.Layout:
+    """Orders and lines in three loads of increments, run through the jobs."""
+    layout = new_layout(snapshots=False)
+    for name in ("Customers", "Products", "Warehouses", "Factories"):
+        store(ods(spark, sf, name.lower()), layout, name, LOADS[0])
+    orders, lines = order_loads(spark, sf, snapshots=False), line_loads(spark, sf)
+    for day in LOADS:
+        # the last load brings lines of 2000 alone: their orders have come before
+        store(orders[day].limit(0) if day == AS_OF else orders[day], layout, "Orders", day)
+        store(lines[day], layout, "OrderDetails", day)
+        warehouse.build_dwd_orderdetails(spark, day, layout)
+        warehouse.build_dws_orderdetails(spark, day, layout)
+    return layout
+
+
+def view(spark: SparkSession, sf: str, name: str, snapshots: bool, as_of: str = AS_OF) -> DataFrame:
+    """A view over the jobs' tables as a user of a date sees it; the session's own views are left alone."""
+    return views.view_of(spark, name, as_of, daily_jobs(spark, sf, snapshots))
+
+
 @query
 def jobs_increments_daily_kpi(spark, sf):
     """A1 and V6 after late and changed orders."""
-    daily_jobs(spark, sf, snapshots=False)
-    return spark.table("dws_daily_kpi")
+    return view(spark, sf, "dws_daily_kpi", snapshots=False)
 
 
 @query
 def jobs_snapshots_daily_kpi(spark, sf):
-    daily_jobs(spark, sf, snapshots=True)
-    return spark.table("dws_daily_kpi")
+    return view(spark, sf, "dws_daily_kpi", snapshots=True)
 
 
 @query
 def jobs_between_loads_daily_kpi(spark, sf):
     """A1 and V6 as known on the second load, though the third one is stored."""
-    daily_jobs(spark, sf, snapshots=False, as_of=LOADS[1])
-    return spark.table("dws_daily_kpi")
+    return view(spark, sf, "dws_daily_kpi", snapshots=False, as_of=LOADS[1])
 
 
 @query
 def jobs_increments_weekly_trend(spark, sf):
     """W2."""
-    daily_jobs(spark, sf, snapshots=False)
-    return spark.table("dws_orders_weekly_trend")
+    return view(spark, sf, "dws_orders_weekly_trend", snapshots=False)
 
 
 @query
@@ -92,17 +130,126 @@ def jobs_increments_customers(spark, sf):
     return spark.table(f"{layout.dws}.dws_customer_analytics").filter(F.col("dt") == AS_OF).drop("dt")
 
 
+@query
+def jobs_increments_lines_daily(spark, sf):
+    """A4 after late and changed lines, whose orders came in older loads."""
+    layout = line_jobs(spark, sf)
+    return order_views.one_row_per_date(spark.table(f"{layout.dws}.dws_orderdetails_daily_summary")).drop("dt")
+
+
+@query
+def jobs_increments_products(spark, sf):
+    """A5."""
+    layout = line_jobs(spark, sf)
+    return spark.table(f"{layout.dws}.dws_product_analytics").filter(F.col("dt") == AS_OF).drop("dt")
+
+
+@query
+def jobs_increments_warehouses(spark, sf):
+    """A6; the efficiency of a line is that of the load it came in, so its mean is left out."""
+    layout = line_jobs(spark, sf)
+    return spark.table(f"{layout.dws}.dws_warehouse_analytics").filter(F.col("dt") == AS_OF).drop("dt", "avg_efficiency_score")
+
+
+def order_states(spark: SparkSession, sf: str) -> warehouse.Layout:
+    """Orders in three loads of increments, their daily states replaced load by load."""
+    layout = new_layout(snapshots=False)
+    for name in ("Customers", "Employees"):
+        store(ods(spark, sf, name.lower()), layout, name, LOADS[0])
+    for day, rows in order_loads(spark, sf, snapshots=False).items():
+        store(rows, layout, "Orders", day)
+        warehouse.build_dwd_orders(spark, day, layout)
+        states.build_states(spark, day, layout)
+    return layout
+
+
+@query
+def jobs_states_monthly(spark, sf):
+    """A2 merged from daily states."""
+    return states.monthly_summary(spark, AS_OF, order_states(spark, sf))
+
+
+@query
+def jobs_states_customers(spark, sf):
+    """A3 merged from daily states."""
+    return states.customer_analytics(spark, AS_OF, order_states(spark, sf))
+
+
+@query
+def jobs_states_products(spark, sf):
+    """A5 merged from daily states of lines."""
+    layout = line_jobs(spark, sf)
+    for day in LOADS:
+        states.build_states(spark, day, layout, "products")
+    return states.product_analytics(spark, AS_OF, layout)
+
+
+@query
+def jobs_states_warehouses(spark, sf):
+    """A6 merged from daily states of lines, the exact measures; the efficiency of a line is that of its load."""
+    layout = line_jobs(spark, sf)
+    for day in LOADS:
+        states.build_states(spark, day, layout, "warehouses")
+    merged = states.warehouse_analytics(spark, AS_OF, layout)
+    return merged.drop("avg_efficiency_score", "unique_orders", "unique_products")
+
+
 @query
 def jobs_increments_status_summary(spark, sf):
     """A7 through its view."""
-    daily_jobs(spark, sf, snapshots=False)
-    return spark.table("dwd_orders_status_summary")
+    return view(spark, sf, "dwd_orders_status_summary", snapshots=False)
 
 
 @query
 def jobs_snapshots_status_summary(spark, sf):
-    daily_jobs(spark, sf, snapshots=True)
-    return spark.table("dwd_orders_status_summary")
+    return view(spark, sf, "dwd_orders_status_summary", snapshots=True)
+
+
+@query
+def jobs_range_status_summary(spark, sf):
+    """Three loads cleaned in one pass, each with its own snapshot of the customers."""
+    layout = new_layout(snapshots=False)
+    for name in ("Customers", "Employees"):
+        rows = ods(spark, sf, name.lower())
+        for day in LOADS[:2]:  # the third load takes the newest one there is
+            store(rows, layout, name, day)
+    for day, rows in order_loads(spark, sf, snapshots=False).items():
+        store(rows, layout, "Orders", day)
+    warehouse.build_dwd_orders_range(spark, LOADS, layout)
+    return views.view_of(spark, "dwd_orders_status_summary", AS_OF, layout)
+
+
+@query
+def jobs_report_kpi(spark, sf):
+    """R2 saved by the report job."""
+    layout = daily_jobs(spark, sf, snapshots=False)
+    report_plan.build_reports(spark, AS_OF, layout, "kpi_window")
+    return spark.table(f"{layout.dws}.report_kpi_window").filter(F.col("dt") == AS_OF).drop("dt")
+
+
+@query
+def jobs_report_segments(spark, sf):
+    """R3 saved by the report job."""
+    layout = daily_jobs(spark, sf, snapshots=True)
+    report_plan.build_reports(spark, AS_OF, layout, "segments")
+    saved = spark.table(f"{layout.dws}.report_segments").filter(F.col("dt") == AS_OF).drop("dt")
+    return rounded(saved, "avg_orders_per_customer")
+
+
+@query
+def jobs_report_text(spark, sf):
+    """R7 saved by the report job, over line jobs in increments."""
+    layout = line_jobs(spark, sf)
+    report_plan.build_reports(spark, AS_OF, layout, "text")
+    return spark.table(f"{layout.dws}.report_text").filter(F.col("dt") == AS_OF).drop("dt")
+
+
+@query
+def jobs_published_kpi(spark, sf):
+    """A view of the catalog, read from another session."""
+    layout = daily_jobs(spark, sf, snapshots=False)
+    report_plan.publish_views(spark, ["dws_orders_daily_summary"], AS_OF, layout, f"pub_{layout.dws}")
+    return spark.table(f"pub_{layout.dws}.dws_daily_kpi")
 
 
 @query
@@ -140,4 +287,20 @@ def jobs_upsert(spark, sf):
     older = now.withColumns({"Status": F.lit("Older"), "UpdatedDate": F.date_sub("UpdatedDate", 1)})
     sync.sync_table(spark, spec, LOADS[0], lambda *_: before)
     sync.sync_table(spark, spec, LOADS[1], lambda *_: now.unionByName(older))
-    return spark.table(spec.target)
+    return upserted(spark, spec.target)
+
+
+@query
+def jobs_upsert_three_deltas(spark, sf):
+    """Three closed intervals of the change time, the source growing between and within runs."""
+    layout = new_layout(snapshots=False)
+    spec = TableSpec("orders", f"{layout.ods}.Orders", "UpdatedDate", None, strategy="upsert", keys=("OrderID",), buckets=16)
+    now = ods(spark, sf, "orders").select("OrderID", "Status", "TotalAmount", "UpdatedDate")
+    states = [now.filter(F.col("UpdatedDate") < day).withColumn("Status", F.lit("Early")) for day in ("1995-01-01", "1998-06-01")]
+    for day, rows in zip(LOADS, [*states, now]):
+        sync.sync_table(spark, spec, day, lambda *_: rows)
+        sync.sync_table(spark, spec, day, lambda *_: now)  # again, when the source has moved on
+    late = now.filter(F.col("UpdatedDate") < "1998-06-01")
+    full = TableSpec("orders", spec.target, "UpdatedDate", None, mode="full", strategy="upsert", keys=("OrderID",))
+    sync.sync_table(spark, full, LOADS[2], lambda *_: late)
+    return upserted(spark, spec.target)
