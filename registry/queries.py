@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from registry.adapters import base_table, business_table
 from tallyhouse.functions import columns, values
-from tallyhouse.operators import dwd, quality, reports, rollups, snapshots, summaries, views
+from tallyhouse.operators import by_key, dwd, quality, reports, rollups, snapshots, summaries, views
 from tallyhouse.operators.joins import DimSpec, widen
 from tallyhouse.sinks import tables as sinks
 from tallyhouse.sources import tables
@@ -68,11 +68,11 @@ def lines_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:
-    return summaries.product_analytics(lines_fact(spark, sf, "products"))
+    return by_key.product_analytics(ods(spark, sf, "orderdetails"), ods(spark, sf, "products"), batch_date=AS_OF)
 
 
 def warehouses(spark: SparkSession, sf: str) -> DataFrame:
-    return summaries.warehouse_analytics(lines_fact(spark, sf, "warehouses", "factories"))
+    return by_key.warehouse_analytics(*(ods(spark, sf, n) for n in ("orderdetails", "warehouses", "factories")), batch_date=AS_OF)
 
 
 def lines_kpi(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +175,8 @@ def product_sales_summary(spark, sf):
 
 @query
 def warehouse_efficiency_summary(spark, sf):
-    summary = rollups.warehouse_efficiency_summary(lines_fact(spark, sf, "warehouses", "factories"))
+    names = ("orderdetails", "warehouses", "factories")
+    summary = by_key.warehouse_efficiency_summary(*(ods(spark, sf, n) for n in names), batch_date=AS_OF)
     return rounded(summary, "efficiency_score")
 
 

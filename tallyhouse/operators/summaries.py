@@ -205,7 +205,12 @@ PRODUCT_KEYS = {
 
 def product_analytics(lines: DataFrame, rules: ProductRules = ProductRules()) -> DataFrame:
     """A5: sales, delivery, tier, demand and score of every product."""
-    measures = {
+    keys = (F.col(c).alias(name) for name, c in PRODUCT_KEYS.items())
+    return product_profile(lines.groupBy(*keys).agg(*named(product_measures())), rules)
+
+
+def product_measures() -> dict[str, Column]:
+    return {
         "total_orders": m.count_rows(),
         "total_quantity_sold": m.total("Quantity"),
         "total_revenue": m.total("NetAmount"),
@@ -213,7 +218,6 @@ def product_analytics(lines: DataFrame, rules: ProductRules = ProductRules()) ->
         "avg_discount": m.mean("Discount"),
         **line_outcomes("orders"),
     }
-    return product_profile(lines.groupBy(*(F.col(c).alias(name) for name, c in PRODUCT_KEYS.items())).agg(*named(measures)), rules)
 
 
 def product_profile(grouped: DataFrame, rules: ProductRules = ProductRules()) -> DataFrame:
@@ -247,30 +251,39 @@ def warehouse_analytics(
     other measures every row would carry all their buffers through the shuffle.  Spark
     moves them by warehouse *and* counted value, so a busy warehouse is spread out.
     """
-    measures = {
-        "total_items_processed": m.count_rows(),
-        "total_quantity_handled": m.total("Quantity"),
-        "total_value_handled": m.total("NetAmount"),
-        "avg_item_price": m.mean("UnitPrice"),
-        "delivered_items": m.count_of("OrderDetailStatus", "Delivered"),
-        "avg_efficiency_score": F.avg(F.col("WarehouseEfficiency").cast(t.EFFICIENCY)).cast(t.AVERAGE),
-    }
-    counted = {"unique_orders": "OrderID", "unique_products": "ProductID"}
+    efficiency = F.avg(F.col("WarehouseEfficiency").cast(t.EFFICIENCY)).cast(t.AVERAGE)
+    measures = {**warehouse_measures(), "avg_efficiency_score": efficiency}
     keys = [F.col(c).alias(name) for name, c in WAREHOUSE_KEYS.items()]
     if approx_distinct:
-        sketches = {name: F.approx_count_distinct(c) for name, c in counted.items()}
+        sketches = {name: F.approx_count_distinct(c) for name, c in WAREHOUSE_DISTINCT.items()}
         totals = lines.groupBy(*keys).agg(*named({**measures, **sketches}))
     else:
         totals = lines.groupBy(*keys).agg(*named(measures))
         # equal as structs: NULL in a key matches NULL, and readers that use neither
         # count are spared the join, as the groups on the right are unique
-        exact = lines.groupBy(F.struct(*keys).alias("__group")).agg(
-            *named({name: F.count_distinct(c) for name, c in counted.items()})
-        )
+        exact = lines.groupBy(F.struct(*keys).alias("__group")).agg(*named(warehouse_distinct()))
         totals = totals.join(exact, F.struct(*WAREHOUSE_KEYS) == F.col("__group"), "left").drop("__group")
     return warehouse_profile(totals, rules)
 
 
+WAREHOUSE_DISTINCT = {"unique_orders": "OrderID", "unique_products": "ProductID"}
+
+
+def warehouse_measures() -> dict[str, Column]:
+    """The sums of a warehouse's lines."""
+    return {
+        "total_items_processed": m.count_rows(),
+        "total_quantity_handled": m.total("Quantity"),
+        "total_value_handled": m.total("NetAmount"),
+        "avg_item_price": m.mean("UnitPrice"),
+        "delivered_items": m.count_of("OrderDetailStatus", "Delivered"),
+    }
+
+
+def warehouse_distinct() -> dict[str, Column]:
+    return {name: F.count_distinct(c) for name, c in WAREHOUSE_DISTINCT.items()}
+
+
 def warehouse_profile(totals: DataFrame, rules: WarehouseRules = WarehouseRules()) -> DataFrame:
     """What follows from the measures of each warehouse."""
     return totals.withColumns(
