@@ -1,8 +1,11 @@
 """Every registered query against its SQL, over whole tables."""
 
+from functools import lru_cache
+
 import pytest
 
 import __spark_entry__ as entry
+from registry import jobs
 from registry.oracles import ORACLES
 from registry.queries import QUERIES
 from tests import compare
@@ -15,6 +18,18 @@ def duck():
     return compare.connect(SF_DIR)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def stored_once():
+    """Queries that read the same stored loads share them here; by themselves each stores its own."""
+    names = ("daily_jobs", "line_jobs", "order_states")
+    plain = {name: getattr(jobs, name) for name in names}
+    for name, make in plain.items():
+        setattr(jobs, name, lru_cache(make))
+    yield
+    for name, make in plain.items():
+        setattr(jobs, name, make)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries())
 
