@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import decontam, jaccard, packing, queries, secrets, toxicity
-from tallyhouse.llm.common import ids_of, stored, table
+from tallyhouse.llm.common import ids_of, settings, stored, table
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,14 @@ STAGES = [
 #: No SQL: the first stage is a trained model, the last one runs a tokenizer.
 ORACLE_SQL = None
 
+#: Bytes of a batch of rows on its way to Python, at most but for a row that is longer alone: 10,000 whole texts have no
+#: bound of their own.
+BATCH_BYTES = 4 << 20
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        for _, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir))
     return docs

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -41,16 +42,28 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, and with its own ones again afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here and lost executors lose nothing. Shuffle
     files of the job go with it."""
-    spark, path, name = df.sparkSession, shared_dir(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
-    try:
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(name, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
