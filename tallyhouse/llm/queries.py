@@ -50,7 +50,7 @@ def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,6 @@ is compared window by window. Equality of units, parts and windows is that of 12
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import mix, stored
+from tallyhouse.llm.common import mix, sliced, stored
 
 LENGTH, GRAM, PART = 100, 24, 8
 #: Buckets of document ids by which texts that a step needs are told from others before they are moved.
@@ -186,20 +185,23 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of documents (doc, text as bytes, starts removed)."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-    for batch in batches:
+    """doc_id, n_bytes, spans (maximal removed runs of bytes), kept (the other bytes) of documents (doc, text as bytes,
+    starts removed)."""
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    kinds = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(span)), ("kept", pa.binary())])
+    for batch in sliced(batches):
         rows = []
         for doc, data, gone in zip(batch.column(0).to_pylist(), _texts(batch, 1), batch.column(2).to_pylist(), strict=True):
-            removed = spans = 0
+            n, spans = len(data), []
             if gone:
-                step = np.zeros(len(data) + 1, np.int32)
+                step = np.zeros(n + 1, np.int32)
                 np.add.at(step, [u["first"] for u in gone], 1)
                 np.add.at(step, [u["last"] + LENGTH for u in gone], -1)
                 covered = np.cumsum(step[:-1]) > 0
-                removed, spans = int(covered.sum()), int((np.diff(covered.astype(np.int8), prepend=0) == 1).sum())
+                edges = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0)).tolist()
+                spans = [{"start": i, "end": j} for i, j in zip(edges[::2], edges[1::2], strict=True)]
                 data = np.frombuffer(data, np.uint8)[~covered].tobytes()
-            rows.append((doc, len(data) + removed, removed, spans, hashlib.sha256(data).hexdigest()))
+            rows.append((doc, n, spans, data))
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t.type) for t in kinds], schema=kinds)
 
 
@@ -229,7 +231,8 @@ def _with_units(texts: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, a row per row.
+    """doc_id, n_bytes, spans (start, end of every maximal removed run of UTF-8 bytes), kept (the remaining bytes, joined;
+    a run may end inside a character), a row per row.
 
     Null texts are empty; texts under 100 bytes lose nothing. Rows of one id count as one place: what only they share
     stays. Rows without an id are kept whole and make nothing else repeated.
@@ -240,8 +243,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = _settled(_with_units(named, units.where("not repeated")), deal_parts)
     windows = _settled(_with_units(named, parts.where("not repeated")), deal_windows)
     gone = units.unionByName(parts).unionByName(windows).where("repeated")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
     bucketed = texts.withColumn("bucket", _bucket())
     whole = bucketed.join(_buckets(gone), "bucket", "left_anti").select("doc", "data", F.array().cast("array<struct<first:bigint,last:bigint,at:bigint>>").alias("units"))
     rest = bucketed.join(_buckets(gone), "bucket", "left_semi").join(_listed(gone), "doc", "left").select("doc", "data", "units")
     return whole.mapInArrow(cut, schema).unionByName(rest.mapInArrow(cut, schema))
+
+
+def digest(found: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of what remove_repeats() returns."""
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -164,13 +164,28 @@ def test_repeats(spark, odd, small):
     rng = np.random.default_rng(3)
     noise = ["".join(map(chr, rng.integers(97, 123, 400))) for _ in range(6)]
     texts = {1: "ab" * 300, 2: noise[0] + noise[1], 3: noise[1][37:290] + noise[0][:150], 4: "x" * 99, 5: "x" * 250, 6: noise[2] + noise[0][200:299] + noise[2], 7: "é" * 200, 8: noise[3][:180] + "!" + noise[1][100:] + "ab" * 60}
-    for found, want in ((repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")), plain_repeats(texts)), (QUERIES["op6_repeated_bytes"](spark, SMALL), plain_repeats(small))):
+    for found, want in ((repeats.digest(repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))), plain_repeats(texts)), (QUERIES["op6_repeated_bytes"](spark, SMALL), plain_repeats(small))):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(found)} == want
-    got = rows(repeats.remove_repeats(odd))
+    got = rows(repeats.digest(repeats.remove_repeats(odd)))
     assert len(got) == odd.count() and [r["n_removed"] for r in got if r["doc_id"] in (1, None)] == [0, 0, 0]
     assert rows(repeats.remove_repeats(odd.limit(0))) == []
 
 
+def test_repeats_return_the_removed_spans_and_the_kept_bytes(spark):
+    rng = np.random.default_rng(5)
+    first = "".join(map(chr, rng.integers(97, 123, 700)))
+    texts = {1: first, 2: "é" + first[50:200] + "-" + first[300:460], 3: "", 4: None, 5: first[:99]}
+    got = {r["doc_id"]: r for r in rows(repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))}
+    assert got[2]["spans"] == [{"start": 2, "end": 152}, {"start": 153, "end": 313}] and bytes(got[2]["kept"]) == "é-".encode()
+    for i, text in texts.items():
+        data, r = (text or "").encode(), got[i]
+        kept, at = b"", 0
+        for span in r["spans"]:
+            kept, at = kept + data[at : span["start"]], span["end"]
+        assert bytes(r["kept"]) == kept + data[at:] and r["n_bytes"] == len(data)
+    assert all(got[i]["spans"] == [] for i in (1, 3, 4, 5))
+
+
 def plain_links(texts):
     sets = {}
     for i, t in texts.items():
