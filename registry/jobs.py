@@ -304,3 +304,16 @@ def jobs_upsert_three_deltas(spark, sf):
     full = TableSpec("orders", spec.target, "UpdatedDate", None, mode="full", strategy="upsert", keys=("OrderID",))
     sync.sync_table(spark, full, LOADS[2], lambda *_: late)
     return upserted(spark, spec.target)
+
+
+@query
+def jobs_schema_changes(spark, sf):
+    """A copy whose source gains a column and a wider key and amount between its loads, then lacks the column again."""
+    layout = new_layout(snapshots=False)
+    spec = TableSpec("orders", f"{layout.ods}.Orders", "UpdatedDate", schema_change="widen")
+    now = ods(spark, sf, "orders").select("OrderID", "Status", "TotalAmount", "UpdatedDate")
+    narrow = now.withColumns({"OrderID": F.col("OrderID").cast("int"), "TotalAmount": F.col("TotalAmount").cast("decimal(12,2)")}).drop("Status")
+    states = [narrow.filter(F.col("UpdatedDate") < "1995-01-01"), now.filter(F.col("UpdatedDate") < "1998-06-01"), narrow]
+    for day, rows in zip(LOADS, states):
+        sync.sync_table(spark, spec, day, lambda *_: rows)
+    return spark.table(spec.target).drop("dt")

@@ -19,6 +19,8 @@ from tallyhouse.sources.tables import SOURCE_TABLES
 
 MODES = ("incremental", "full")
 KEPT = ("keep_history", "latest_only", "upsert")
+# Those that lose nothing
+SCHEMA_CHANGES = ("fail", "add_columns", "widen")
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,8 @@ class TableSpec:
 
     Strategy ``upsert`` keeps one row per ``keys``, stored in that many ``buckets`` of the key.
     ``held`` names the date and key columns by which the partitions of a fact are described, ``bucket_by`` the column and
-    number of the buckets its partitions are stored in.
+    number of the buckets its partitions are stored in.  ``schema_change`` says what a source does to its target when its
+    columns have changed (K22); ``max_records`` a file and ``block_bytes`` a row group size the files of a new table (K9).
     """
 
     source: str
@@ -44,6 +47,9 @@ class TableSpec:
     buckets: int = 64
     held: Held | None = None
     bucket_by: tuple[str, int] | None = None
+    schema_change: str = "fail"
+    max_records: int | None = None
+    block_bytes: int | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -52,6 +58,10 @@ class TableSpec:
             raise ValueError(f"unknown strategy {self.strategy} for {self.source}")
         if self.strategy == "upsert" and not self.keys:
             raise ValueError(f"strategy upsert of {self.source} needs keys")
+        if self.schema_change not in SCHEMA_CHANGES:
+            raise ValueError(f"unknown schema change {self.schema_change} for {self.source}")
+        if self.strategy == "upsert" and self.schema_change != "fail":
+            raise ValueError(f"strategy upsert of {self.source} keeps the columns of its table")
 
     @classmethod
     def of(cls, options: Mapping[str, object]) -> TableSpec:
@@ -143,6 +153,11 @@ def mark_before(spark: SparkSession, spec: TableSpec, as_of: str) -> object | No
     return high_water_mark(held, spec.inc_col).first()["hwm"]
 
 
+def fitted(spark: SparkSession, spec: TableSpec, rows: DataFrame) -> DataFrame:
+    """The rows in the columns of their target, which first takes new columns and wider types if the spec allows it."""
+    return rows if spec.schema_change == "fail" else sink.evolve_schema(spark, rows, spec.target, spec.schema_change)
+
+
 def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -> sink.WriteResult:
     """Copy one table for one date; a repeated run gives the same table.
 
@@ -158,7 +173,7 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
     Without a partition column an increment is appended and a full copy replaces.  The interval of
     a date is fixed and stored before its rows are read, so a source that goes on changing gives a
     repeated run, or a task that runs again, the same rows; rows are read once.  A source without rows
-    changes nothing.
+    changes no rows.
     """
     for database in sink.databases_of([spec.target]):
         sink.ensure_database(spark, database)
@@ -171,16 +186,18 @@ def sync_table(spark: SparkSession, spec: TableSpec, as_of: str, read: Reader) -
         begun, rows = ledger.record(spark, ledger.Entry(spec.target, as_of)), source
     if spec.part_col:
         rows = stamp(rows, as_of, spec.part_col)
+    files = {"path": spec.path, "max_records": spec.max_records, "block_bytes": spec.block_bytes}
     if spec.strategy == "upsert":
         done = upsert_table(rows, spec.target, spec.keys, spec.inc_col, buckets=spec.buckets, path=spec.path)
     elif spec.part_col and (spec.mode == "incremental" or spec.strategy == "keep_history"):
         if spec.held is not None:
-            done = replace_and_describe(rows, spec.target, spec.held, part_col=spec.part_col, path=spec.path, bucket_by=spec.bucket_by)
+            done = replace_and_describe(fitted(spark, spec, rows), spec.target, spec.held, part_col=spec.part_col, bucket_by=spec.bucket_by, **files)
         else:
-            done = sink.replace_partitions(rows, spec.target, part_col=spec.part_col, path=spec.path, bucket_by=spec.bucket_by)
+            done = sink.replace_partitions(fitted(spark, spec, rows), spec.target, part_col=spec.part_col, bucket_by=spec.bucket_by, **files)
+    elif spec.mode == "incremental":
+        done = sink.write_table(fitted(spark, spec, rows), spec.target, mode="append", **files)
     else:
-        mode = "append" if spec.mode == "incremental" else "overwrite"
-        done = sink.write_table(rows, spec.target, mode=mode, path=spec.path, keep_if_empty=True)
+        done = sink.write_table(rows, spec.target, keep_if_empty=True, **files)
     if not done.rows:
         if not exists:
             sink.drop_objects(spark, tables=[spec.target])

@@ -129,10 +129,13 @@ def sized(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def writer(df: DataFrame, mode: str, codec: str = CODEC, max_records: int | None = None, path: str | None = None):
+def writer(df: DataFrame, mode: str, codec: str = CODEC, max_records: int | None = None, path: str | None = None, block_bytes: int | None = None):
+    """K9: a Parquet writer; ``block_bytes`` is the size of a row group.  A table keeps the options that it is made with."""
     out = df.write.format("parquet").mode(mode).option("compression", codec)
     if max_records is not None:
         out = out.option("maxRecordsPerFile", max_records)
+    if block_bytes is not None:
+        out = out.option("parquet.block.size", block_bytes)
     return out if path is None else out.option("path", path)
 
 
@@ -143,10 +146,11 @@ def write_files(
     mode: str = "overwrite",
     codec: str = CODEC,
     max_records: int | None = None,
+    block_bytes: int | None = None,
     partition_by: Iterable[str] = (),
 ) -> None:
     """K1: Parquet files."""
-    writer(df, mode, codec, max_records).partitionBy(*partition_by).save(path)
+    writer(df, mode, codec, max_records, block_bytes=block_bytes).partitionBy(*partition_by).save(path)
 
 
 def replace_partitioned_table(spark: SparkSession, new: str, name: str, part_col: str, bucket_by: tuple[str, int] | None = None) -> WriteResult:
@@ -175,6 +179,7 @@ def write_table(
     path: str | None = None,
     codec: str = CODEC,
     max_records: int | None = None,
+    block_bytes: int | None = None,
     rebalance: bool = False,
     verify: bool = True,
     keep_if_empty: bool = False,
@@ -201,7 +206,7 @@ def write_table(
     ready = sized(df) if rebalance else df
     # counted in the writing stage itself: a stage run again would count its rows again
     counted = ready.observe(seen, F.count(F.lit(1)).alias("rows"), *([digest(kinds).alias("digest")] if kinds else []))
-    writer(counted, mode, codec, max_records, None if swapped else path).saveAsTable(to)
+    writer(counted, mode, codec, max_records, None if swapped else path, block_bytes).saveAsTable(to)
     rows = seen.get["rows"]
     if kinds:
         number, sum_ = spark.table(to).agg(F.count(F.lit(1)), digest(kinds)).first()
@@ -211,7 +216,7 @@ def write_table(
     if swapped and (not done.complete or keep_if_empty and not rows):
         drop_objects(spark, tables=[to])
     elif swapped and path is not None:
-        writer(spark.table(to), mode, codec, max_records, path).saveAsTable(name)
+        writer(spark.table(to), mode, codec, max_records, path, block_bytes).saveAsTable(name)
         drop_objects(spark, tables=[to])
     elif swapped:
         swap(spark, to, name)
@@ -236,6 +241,7 @@ def replace_partitions(
     path: str | None = None,
     codec: str = CODEC,
     max_records: int | None = None,
+    block_bytes: int | None = None,
     rebalance: bool = False,
     dates: Iterable[str] = (),
     verify: bool = True,
@@ -275,9 +281,9 @@ def replace_partitions(
     counted = ready.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(part).alias("dated"), F.collect_set(part).alias("dates"), *sums)
     if exists:
         with dynamic_overwrite(spark):
-            writer(counted, "overwrite", codec, max_records).insertInto(name)
+            writer(counted, "overwrite", codec, max_records, block_bytes=block_bytes).insertInto(name)
     else:
-        out = writer(counted, "errorifexists", codec, max_records, path).partitionBy(part_col)
+        out = writer(counted, "errorifexists", codec, max_records, path, block_bytes).partitionBy(part_col)
         if buckets is not None:
             out = out.bucketBy(buckets[1], buckets[0]).sortBy(buckets[0])
         out.saveAsTable(name)

@@ -3,6 +3,7 @@
 import uuid
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,39 @@ def test_upsert_keeps_one_row_per_key(spark, db):
     assert sorted(r[:2] for r in held(spark, spec.target)) == [(1, "again"), (2, "b"), (3, "c")]
 
 
+def test_a_copy_follows_its_source_into_new_columns(spark, db):
+    spec = TableSpec("orders", f"{db}.orders", inc_col="changed", schema_change="widen", max_records=1, block_bytes=1 << 20)
+    when = "timestamp'2020-01-0{}' AS changed"
+    states = [f"SELECT 1 AS id, {when.format(1)}", f"SELECT 5000000000 AS id, 'new' AS v, {when.format(2)}", f"SELECT 3 AS id, {when.format(3)}"]
+    for day, rows in enumerate(states, 1):
+        for _ in range(2):  # the second run finds the table as the first one left it
+            assert sync_table(spark, spec, f"2020-01-0{day}", lambda *_, rows=rows: spark.sql(rows)).rows == 1
+    assert held(spark, spec.target) == [(1, None, "2020-01-01"), (3, None, "2020-01-03"), (5000000000, "new", "2020-01-02")]
+    strict = TableSpec("orders", spec.target, inc_col="changed")
+    with pytest.raises(ValueError):
+        sync_table(spark, strict, "2020-01-04", lambda *_: spark.sql(f"SELECT 4 AS id, 'x' AS v, 1 AS more, {when.format(4)}"))
+    assert sync_table(spark, spec, "2020-01-05", lambda *_: spark.sql(f"SELECT 4 AS id, 1 AS more, {when.format(1)}")).rows == 0
+
+
+def test_a_table_keeps_the_sizes_of_its_files(spark, db):
+    spec = TableSpec("orders", f"{db}.orders", mode="full", max_records=10, block_bytes=1 << 20)
+    many = lambda *_: spark.range(25).coalesce(1)
+    for day in ("2020-01-01", "2020-01-02", "2020-01-02"):
+        sync_table(spark, spec, day, many)
+    files = spark.table(spec.target).groupBy("dt", F.input_file_name().alias("file")).count().collect()
+    assert sorted((r["dt"], r["count"]) for r in files) == [(d, n) for d in ("2020-01-01", "2020-01-02") for n in (5, 10, 10)]
+
+
+def test_row_groups_have_the_block_size(spark, tmp_path):
+    rows = spark.range(200_000).select(F.rand(1).alias("a"), F.rand(2).alias("b")).coalesce(1)
+    groups = []
+    for name, size in (("small", 1 << 18), ("large", 1 << 27)):
+        sink.write_files(rows, str(tmp_path / name), block_bytes=size)
+        (file,) = (tmp_path / name).glob("*.parquet")
+        groups.append(pq.ParquetFile(file).num_row_groups)
+    assert groups[0] > 4 and groups[1] == 1
+
+
 def test_unknown_modes_are_refused():
     with pytest.raises(ValueError):
         TableSpec("a", "b.a", strategy="upsert")
@@ -109,6 +143,10 @@ def test_unknown_modes_are_refused():
         TableSpec("a", "b.a", mode="sometimes")
     with pytest.raises(ValueError):
         TableSpec("a", "b.a", strategy="maybe")
+    with pytest.raises(ValueError):
+        TableSpec("a", "b.a", schema_change="recreate")  # loses what is stored
+    with pytest.raises(ValueError):
+        TableSpec("a", "b.a", strategy="upsert", keys=("id",), schema_change="widen")
 
 
 def test_jdbc_reader_picks_the_known_columns(spark):
