@@ -159,8 +159,8 @@ def join(docs: DataFrame, trees: int = TREES, longest: int = LONGEST, target: fl
     """doc_id, class_id (the least id that links lead to), n_links (other documents at least 0.8 similar), a row per row.
 
     Words are split at white space and taken as they are. A text of fewer than five words is one shingle of all its
-    words; null texts and texts without words are linked to nothing. Copies are links. Rows without an id are left out;
-    each repeated row counts as a document. Other columns are not read.
+    words; null texts and texts without words are linked to nothing. Copies are links. Rows without an id are linked to
+    nothing and have no class; each repeated row counts as a document. Other columns are not read.
     """
     rows = stored(nodes(docs, trees, longest, target))
     classes = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
@@ -174,7 +174,9 @@ def join(docs: DataFrame, trees: int = TREES, longest: int = LONGEST, target: fl
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     marks = labelled.join(least, "root").join(n, "node", "left").select("node", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     joined = rows.select("doc_id", "node").join(marks, "node", "left")
-    return joined.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    found = joined.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    nameless = F.lit(None).cast("long")
+    return found.unionByName(docs.where(F.col("doc_id").isNull()).select(nameless.alias("doc_id"), nameless.alias("class_id"), F.lit(0).cast("long").alias("n_links")))
 
 
 def links(docs: DataFrame, groups: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
