@@ -39,7 +39,7 @@ def store(rows: DataFrame, layout: warehouse.Layout, name: str, day: str) -> Non
     sinks.ensure_database(rows.sparkSession, layout.ods)
     target, dated = f"{layout.ods}.{name}", rows.withColumn("dt", F.lit(day))
     if name == "Orders":
-        replace_and_describe(dated, target, Held("OrderDate", "OrderID"))
+        replace_and_describe(dated, target, Held("OrderDate", "OrderID", once=KEYS["orders"]))
     else:
         sinks.replace_partitions(dated, target)
 

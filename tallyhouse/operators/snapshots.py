@@ -8,6 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 # ------------------------------------------------------------ partition choice
@@ -179,6 +180,16 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], *order: str) -> DataFrame
     return df.groupBy(*keys).agg(newest).select(*keys, "__row.*").select(*df.columns)
 
 
+def latest_version(df: DataFrame, keys: Iterable[str], *order: str) -> DataFrame:
+    """``latest_per_key`` of rows whose keys and ``order`` columns together occur once, so that no other column decides.
+
+    Such as rows of loads that hold each key once, ordered by load in the end.  Only the columns that a reader takes are
+    moved and sorted, and a key has a row per load at most.
+    """
+    later = F.lead(F.lit(1)).over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__later", later).filter(F.col("__later").isNull()).drop("__later")
+
+
 def upsert(target: DataFrame, changes: DataFrame, keys: Iterable[str], order_col: str) -> DataFrame:
     """The newest version of every changed row, and the target's other rows.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +12,17 @@ from tallyhouse.operators import dwd, quality, summaries
 from tallyhouse.operators.snapshots import (
     STRATEGIES,
     TABLE_STRATEGY,
+    days_before,
     latest_per_key,
     latest_snapshot,
+    latest_version,
     partition_drift,
     resolve_partition,
     stamp,
     window_by_dt,
 )
 from tallyhouse.sinks import tables as sink
-from tallyhouse.sinks.held import Held, dates_like, dates_of_keys, drop_described, replace_and_describe
+from tallyhouse.sinks.held import Held, dates_like, dates_of_keys, drop_described, holding_once, replace_and_describe
 
 
 # What the partitions of a cleaned fact are described by
@@ -61,16 +63,28 @@ class Layout:
     def database(self, name: str) -> str:
         return {"dwd": self.dwd, "dws": self.dws}.get(name.split("_")[0], self.ods)
 
-    def newest(self, rows: DataFrame, table: str) -> DataFrame:
-        order = [c for c in (CHANGED, "dt") if c in rows.columns]
-        return latest_per_key(rows, self.keys[table.split(".")[-1].lower().removeprefix("dwd_")], *order)
+    def keys_of(self, table: str) -> tuple[str, ...]:
+        return self.keys[table.split(".")[-1].lower().removeprefix("dwd_")]
+
+    def newest(self, rows: DataFrame, table: str, dates: Iterable[str] | None = None) -> DataFrame:
+        """Each order or line once, of rows that come from the partitions ``dates``.
+
+        If all of these hold each key once, as their descriptions say, versions differ by load: those of one load are
+        all the newest, and of several only the columns that are read take part.  Otherwise all columns do.
+        """
+        order, keys = [c for c in (CHANGED, "dt") if c in rows.columns], self.keys_of(table)
+        if dates is None or "dt" not in order or not set(dates) <= holding_once(rows.sparkSession, table, keys):
+            return latest_per_key(rows, keys, *order)
+        return latest_version(rows, keys, *order) if len(set(dates)) > 1 else rows
 
     def recent(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
         """The rows the aggregates and views of a date stand for, each order or line once."""
         fact = spark.table(table)
         if self.snapshots:
             return latest_snapshot(fact, as_of, dates=sink.list_partitions(spark, table))
-        return self.newest(window_by_dt(fact, as_of, self.window_days), table)
+        dates, first = sink.list_partitions(spark, table), days_before(as_of, self.window_days)
+        dates = dates if dates is None else [d for d in dates if first <= d <= as_of]
+        return self.newest(window_by_dt(fact, as_of, self.window_days), table, dates)
 
     def of_changed_days(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
         """The rows of every order date the load of a date brings, each order or line once.
@@ -90,9 +104,15 @@ class Layout:
         else:
             load = fact.filter(F.col("dt") == as_of)
             first, last = load.agg(F.min(day), F.max(day)).first()
+            dates = None
             near = fact.filter((F.col("dt") <= as_of) & (day.between(F.lit(first), F.lit(last)) | day.isNull()))
             days = load.select(day.alias("__day")).distinct()
-        return self.newest(near.join(days, day.eqNullSafe(F.col("__day")), "left_semi"), table)
+        return self.newest(near.join(days, day.eqNullSafe(F.col("__day")), "left_semi"), table, dates)
+
+
+def held_of(layout: Layout, fact: str) -> Held:
+    """What the partitions of a cleaned fact are described by: whether the layout's keys tell their rows apart, too."""
+    return replace(HELD[fact], once=layout.keys[fact])
 
 
 def dimension(spark: SparkSession, layout: Layout, name: str, batch_date: str) -> DataFrame:
@@ -134,7 +154,7 @@ def build_dwd_orders(spark: SparkSession, batch_date: str, layout: Layout) -> si
     customers, employees = (dimension(spark, layout, n, batch_date) for n in ("Customers", "Employees"))
     fact = dwd.dwd_orders(orders, customers, employees, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    done = replace_and_describe(stamp(fact, batch_date), target, HELD["orders"]).require_complete()
+    done = replace_and_describe(stamp(fact, batch_date), target, held_of(layout, "orders")).require_complete()
     return _checked(spark, layout, done, [batch_date])
 
 
@@ -168,7 +188,7 @@ def build_dwd_orders_range(spark: SparkSession, dates: Iterable[str], layout: La
     fact = dwd.dwd_orders(orders, dims["Customers"], dims["Employees"], batch_date=F.col("dt"), check=layout.check)
     fact = fact.withColumns(saved).drop(*(f"__{c}" for c in saved))
     sink.ensure_database(spark, layout.dwd)
-    done = replace_and_describe(fact, target, HELD["orders"], dates=dates, rebalance=True).require_complete()
+    done = replace_and_describe(fact, target, held_of(layout, "orders"), dates=dates, rebalance=True).require_complete()
     return _checked(spark, layout, done, dates)
 
 
@@ -201,8 +221,9 @@ def known_orders(spark: SparkSession, layout: Layout, batch_date: str, details:
         return dimension(spark, layout, "Orders", batch_date)
     table = f"{layout.ods}.Orders"
     keys = details.select("OrderID")
-    loaded = spark.table(table).filter(F.col("dt").isin(dates_of_keys(spark, table, keys, batch_date)))
-    return layout.newest(loaded.join(keys, "OrderID", "left_semi"), table)
+    dates = dates_of_keys(spark, table, keys, batch_date)
+    loaded = spark.table(table).filter(F.col("dt").isin(dates))
+    return layout.newest(loaded.join(keys, "OrderID", "left_semi"), table, dates)
 
 
 def build_dwd_orderdetails(spark: SparkSession, batch_date: str, layout: Layout) -> sink.WriteResult | None:
@@ -214,7 +235,7 @@ def build_dwd_orderdetails(spark: SparkSession, batch_date: str, layout: Layout)
     dims = [known_orders(spark, layout, batch_date, details), *(dimension(spark, layout, n, batch_date) for n in names)]
     fact = dwd.dwd_orderdetails(details, *dims, batch_date=batch_date, check=layout.check)
     sink.ensure_database(spark, layout.dwd)
-    return replace_and_describe(stamp(fact, batch_date), target, HELD["orderdetails"]).require_complete()
+    return replace_and_describe(stamp(fact, batch_date), target, held_of(layout, "orderdetails")).require_complete()
 
 
 def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout) -> list[str]:

@@ -1,7 +1,7 @@
 """What the partitions of a fact hold, in a small table beside it, so that readers name the partitions they need.
 
-``<name>__held`` has a row per partition and date of the rows in it: the date, its rows and its least and greatest
-key. The write that replaces a partition replaces its rows there. Partitions without a description are always read, so a
+``<name>__held`` has a row per partition and date of the rows in it: the date, its rows, its least and greatest
+key, and in ``once`` the columns that tell all rows of the partition apart, if they do. The write that replaces a partition replaces its rows there. Partitions without a description are always read, so a
 table that was written otherwise is read whole, never in part.
 """
 
@@ -23,10 +23,11 @@ CELLS = 10_000
 
 @dataclass(frozen=True)
 class Held:
-    """The columns that are described: a date and a whole-number key."""
+    """The columns that are described: a date and a whole-number key; ``once`` are columns that may tell the rows apart."""
 
     day: str
     key: str
+    once: tuple[str, ...] = ()
 
 
 def table_of(name: str) -> str:
@@ -39,7 +40,18 @@ def describe(spark: SparkSession, name: str, dates: Iterable[str], of: Held, par
     key = F.col(of.key).cast("long") if isinstance(fact.schema[of.key].dataType, IntegralType) else F.lit(None).cast("long")
     found = fact.filter(F.col(part_col).isin(dates)).groupBy(F.col(of.day).cast("date").alias("day"), part_col)
     rows = found.agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("least"), F.max(key).alias("greatest"))
-    sink.replace_partitions(rows.coalesce(1), table_of(name), part_col=part_col, dates=dates).require_complete()
+    once = F.lit(None).cast("string")
+    if of.once:
+        again = repeated(fact.filter(F.col(part_col).isin(dates)), of.once, part_col)
+        once = F.when(~F.col(part_col).isin(again), ",".join(of.once))
+    rows = sink.evolve_schema(spark, rows.coalesce(1).withColumn("once", once), table_of(name))  # older ones lack a column
+    sink.replace_partitions(rows, table_of(name), part_col=part_col, dates=dates).require_complete()
+
+
+def repeated(rows: DataFrame, keys: Iterable[str], part_col: str = "dt") -> list[str]:
+    """The partitions that hold a key twice, missing keys included."""
+    twice = rows.groupBy(part_col, *keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
+    return [r[0] for r in twice.select(part_col).distinct().collect()]
 
 
 def replace_and_describe(df: DataFrame, name: str, of: Held, *, part_col: str = "dt", dates: Iterable[str] = (), **options) -> sink.WriteResult:
@@ -64,6 +76,15 @@ def described(spark: SparkSession, name: str, part_col: str = "dt") -> tuple[Dat
     return spark.table(table_of(name)), set(sink.list_partitions(spark, table_of(name), part_col) or [])
 
 
+def holding_once(spark: SparkSession, name: str, keys: Iterable[str], part_col: str = "dt") -> set[str]:
+    """The partitions of a table that hold each key once, as their descriptions say."""
+    table, _ = described(spark, name, part_col)
+    if table is None or "once" not in table.columns:
+        return set()
+    told = F.coalesce(F.col("once") == ",".join(keys), F.lit(False))
+    return {r[0] for r in table.groupBy(part_col).agg(F.min(told).alias("told")).filter("told").collect()}
+
+
 def _chosen(spark: SparkSession, name: str, upto: str, known: set[str], hit: Iterable[str], part_col: str) -> list[str]:
     hit = set(hit)
     return [d for d in sink.list_partitions(spark, name, part_col) or [] if d <= upto and (d in hit or d not in known)]

@@ -13,6 +13,7 @@ from registry import jobs
 from registry.adapters import business_table
 from registry.queries import AS_OF, QUERIES
 from tallyhouse.operators import dwd, states, summaries
+from tallyhouse.operators.snapshots import latest_per_key
 from tallyhouse.plans import ledger, warehouse
 from tallyhouse.plans import reports as report_plan
 from tallyhouse.plans import states as state_plan
@@ -451,3 +452,44 @@ def test_jobs_leave_nothing_in_the_session(spark):
     before = names()
     QUERIES["jobs_increments_daily_kpi"](spark, SF_DIR)
     assert names() == before
+
+
+# ------------------------------------------------------------ versions
+def test_versions_of_loads_that_hold_a_key_once_move_only_the_columns_read(spark, layout):
+    orders = business_table(spark, SF_DIR, "ods_orders")
+    for name in ("Customers", "Employees"):
+        jobs.store(business_table(spark, SF_DIR, f"ods_{name.lower()}"), layout, name, "2001-07-30")
+    # some versions of the second load are newer, some older, some of unknown age
+    later = orders.filter("OrderID % 3 = 0").withColumns({"Status": F.lit("Canceled"), "UpdatedDate": F.expr("CASE OrderID % 4 WHEN 0 THEN date_add(UpdatedDate, 1) WHEN 1 THEN date_sub(UpdatedDate, 1) WHEN 2 THEN UpdatedDate END")})
+    table, keys = f"{layout.dwd}.dwd_orders", ("OrderID",)
+    jobs.store(orders, layout, "Orders", "2001-07-30")
+    warehouse.build_dwd_orders(spark, "2001-07-30", layout)
+    first = layout.recent(spark, table, "2001-07-30")
+    assert "Window" not in (plan := first._jdf.queryExecution().optimizedPlan().toString()) and "Aggregate" not in plan
+    jobs.store(later, layout, "Orders", "2001-07-31")
+    warehouse.build_dwd_orders(spark, "2001-07-31", layout)
+    assert held.holding_once(spark, table, keys) == {"2001-07-30", "2001-07-31"} and held.holding_once(spark, table, ("CustomerID",)) == set()
+    by_hand = latest_per_key(spark.table(table), keys, "UpdatedDate", "dt")
+    for rows in (layout.recent(spark, table, "2001-07-31"), layout.newest(spark.table(table), table)):
+        assert rows.exceptAll(by_hand).isEmpty() and by_hand.exceptAll(rows).isEmpty()
+    recent = layout.recent(spark, table, "2001-07-31").groupBy("OrderStatus").count()
+    assert scanned(recent) and not any("ShippingAddress" in x for x in scanned(recent))
+    # a load that holds a key twice: all columns decide again
+    jobs.store(later.unionByName(later.limit(2).withColumn("Status", F.lit("Processing"))), layout, "Orders", "2001-08-01")
+    warehouse.build_dwd_orders(spark, "2001-08-01", layout)
+    assert held.holding_once(spark, table, keys) == {"2001-07-30", "2001-07-31"}
+    by_hand, recent = latest_per_key(spark.table(table), keys, "UpdatedDate", "dt"), layout.recent(spark, table, "2001-08-01")
+    assert recent.exceptAll(by_hand).isEmpty() and by_hand.exceptAll(recent).isEmpty()
+    assert layout.of_changed_days(spark, table, "2001-08-01").groupBy("OrderID").count().filter("count > 1").isEmpty()
+
+
+def test_descriptions_without_uniqueness_are_brought_up_to_date(spark, db):
+    rows, name, of = spark.range(4).select("id", F.lit("1990-01-01").cast("date").alias("day"), F.lit("d1").alias("dt")), f"{db}.t", held.Held("day", "id")
+    held.replace_and_describe(rows, name, of)
+    old = spark.table(held.table_of(name)).drop("once").localCheckpoint()
+    sink.drop_objects(spark, tables=[held.table_of(name)])
+    sink.replace_partitions(old, held.table_of(name))
+    assert held.holding_once(spark, name, ("id",)) == set()
+    held.replace_and_describe(rows.withColumn("dt", F.lit("d2")), name, replace(of, once=("id",)))
+    held.replace_and_describe(rows.unionAll(rows.limit(1)).withColumn("dt", F.lit("d3")), name, replace(of, once=("id",)))
+    assert held.holding_once(spark, name, ("id",)) == {"d2"}
