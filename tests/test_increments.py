@@ -493,3 +493,17 @@ def test_descriptions_without_uniqueness_are_brought_up_to_date(spark, db):
     held.replace_and_describe(rows.withColumn("dt", F.lit("d2")), name, replace(of, once=("id",)))
     held.replace_and_describe(rows.unionAll(rows.limit(1)).withColumn("dt", F.lit("d3")), name, replace(of, once=("id",)))
     assert held.holding_once(spark, name, ("id",)) == {"d2"}
+
+
+def test_all_loads_of_lines_come_from_one_pass(spark):
+    loads = jobs.line_loads(spark, SF_DIR)
+    plan = loads._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Join ") == 1
+    lines = business_table(spark, SF_DIR, "ods_orderdetails").join(business_table(spark, SF_DIR, "ods_orders").select("OrderID", "OrderDate", "RequiredDate"), "OrderID", "left")
+    first = "coalesce(year(OrderDate) < 2001 AND RequiredDate IS NOT NULL, false)"
+    want = [lines.filter(x).count() for x in (first, f"NOT {first}", "year(OrderDate) = 2000")]
+    got = {r["dt"]: r["count"] for r in loads.groupBy("dt").count().collect()}
+    assert [got.get(day, 0) for day in jobs.LOADS] == want
+    assert loads.filter("dt < '2001-08-01'").groupBy("OrderDetailID").count().filter("count > 1").isEmpty()
+    changed = loads.filter("dt < '2001-08-01'").join(loads.filter("dt = '2001-08-01'").select("OrderDetailID"), "OrderDetailID", "left_semi")
+    assert {r[0] for r in changed.select("Status").distinct().collect()} == {"Backorder"}
