@@ -223,10 +223,11 @@ def warehouse_efficiency(lines: DataFrame) -> DataFrame:
     """W1 over a cleaned fact: every line with the efficiency of its warehouse name.
 
     Equal to a window over the whole warehouse.  The names are few or many, so Spark
-    chooses the join by the size it finds, and splits busy names if it must move lines.
+    chooses the join by the size it finds; should it move the lines, those of a busy name, such as
+    the unknown one, go to many tasks.
     """
     lines = lines.drop("WarehouseEfficiency")
     by_name = lines.groupBy("WarehouseName").agg(
         count_rows().alias("lines"), count_of("OrderDetailStatus", "Delivered").alias("delivered")
     )
-    return lines.join(efficiency_of(by_name), "WarehouseName", "left")
+    return with_efficiency(lines, by_name, small=False)

@@ -129,3 +129,23 @@ def test_warehouse_efficiency_equals_a_window(spark):
     expected = lines.withColumn("WarehouseEfficiency", delivered / F.count("*").over(window) * 100)
     got = dwd.warehouse_efficiency(lines)
     assert same_rows(got.select(*expected.columns), expected)
+
+
+def test_lines_of_a_busy_warehouse_name_go_to_many_tasks(spark):
+    lines = spark.range(4000).select(
+        F.col("id").alias("OrderID"),
+        *(F.lit(1).alias(c) for c in ("ProductID", "Quantity", "UnitPrice")),
+        F.when(F.col("id") % 2 == 0, "Unknown Warehouse").otherwise(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("WarehouseName"),
+        F.when(F.col("id") % 4 == 0, "Delivered").otherwise("Shipped").alias("OrderDetailStatus"),
+    )
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = dwd.warehouse_efficiency(lines)
+        busy = got.filter("WarehouseName = 'Unknown Warehouse'").groupBy(F.spark_partition_id().alias("task"), "WarehouseEfficiency").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(busy) > 1 and sum(r["count"] for r in busy) == 2000 and {r["WarehouseEfficiency"] for r in busy} == {50.0}
