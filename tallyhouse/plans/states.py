@@ -23,9 +23,9 @@ def build_states(spark: SparkSession, as_of: str, layout: Layout, *names: str) -
     """Replaces the states of every order date that the load of a date brings; returns the tables written.
 
     An order keeps its order date, so a changed one changes the states of one day, which are worked out from
-    the newest versions of that day's rows alone.  They are stored first; then the months they lie in are written
-    again, the states of their other days as they were.  Of a snapshot every day is written, and a month that it
-    no longer holds goes.
+    the newest versions of that day's rows alone.  The first ones make the table.  Later ones are stored beside it; then the
+    months they lie in are written again, the states of their other days as they were.  Of a snapshot every day is
+    written, and a month that it no longer holds goes.
     """
     sink.ensure_database(spark, layout.dws)
     written = []
@@ -38,15 +38,18 @@ def build_states(spark: SparkSession, as_of: str, layout: Layout, *names: str) -
         found = found.withColumn(states.DAY, F.coalesce(states.DAY, F.lit(NO_DAY)))
         found = found.withColumn(MONTH, F.when(F.col(states.DAY) == NO_DAY, NO_DAY).otherwise(F.substring(states.DAY, 1, 7)))
         sink.drop_objects(spark, tables=[beside])
-        sink.write_table(found, beside, rebalance=True).require_complete()
+        if not sink.table_exists(spark, target):
+            sink.replace_partitions(found, target, part_col=MONTH, rebalance=True).require_complete()
+            written.append(name)
+            continue
+        sink.write_table(found, beside).require_complete()  # rows of an aggregate, in tasks of the advised size
         new, old = spark.table(beside), []
-        if sink.table_exists(spark, target):
-            if layout.snapshots:
-                old = sink.list_partitions(spark, target, MONTH)
-            else:
-                months = [r[0] for r in new.select(MONTH).distinct().collect()]
-                kept = spark.table(target).filter(F.col(MONTH).isin(months))
-                new = new.unionByName(kept.join(new.select(states.DAY).distinct(), states.DAY, "left_anti"))
+        if layout.snapshots:
+            old = sink.list_partitions(spark, target, MONTH)
+        else:
+            months = [r[0] for r in new.select(MONTH).distinct().collect()]
+            kept = spark.table(target).filter(F.col(MONTH).isin(months))
+            new = new.unionByName(kept.join(new.select(states.DAY).distinct(), states.DAY, "left_anti"))
         sink.replace_partitions(new, target, part_col=MONTH, rebalance=True, dates=old).require_complete()
         sink.drop_objects(spark, tables=[beside])
         written.append(name)

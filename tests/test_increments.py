@@ -507,3 +507,19 @@ def test_all_loads_of_lines_come_from_one_pass(spark):
     assert loads.filter("dt < '2001-08-01'").groupBy("OrderDetailID").count().filter("count > 1").isEmpty()
     changed = loads.filter("dt < '2001-08-01'").join(loads.filter("dt = '2001-08-01'").select("OrderDetailID"), "OrderDetailID", "left_semi")
     assert {r[0] for r in changed.select("Status").distinct().collect()} == {"Backorder"}
+
+
+def test_the_first_states_are_stored_once(spark, layout, monkeypatch):
+    orders = business_table(spark, SF_DIR, "ods_orders")
+    for name in ("Customers", "Employees"):
+        jobs.store(business_table(spark, SF_DIR, f"ods_{name.lower()}"), layout, name, "2001-07-30")
+    plain, beside = sink.write_table, []
+    monkeypatch.setattr(sink, "write_table", lambda df, name, **named: beside.append(name) or plain(df, name, **named))
+    for day, rows in (("2001-07-30", orders), ("2001-07-31", orders.filter("OrderID % 50 = 0"))):
+        jobs.store(rows, layout, "Orders", day)
+        warehouse.build_dwd_orders(spark, day, layout)
+        state_plan.build_states(spark, day, layout, "monthly")
+        assert len(beside) == (day == "2001-07-31")
+    merged = state_plan.monthly_summary(spark, "2001-07-31", layout)
+    assert merged.agg(F.sum("total_orders")).first()[0] == orders.filter("OrderDate <= '2001-07-31' OR OrderDate IS NULL").count()
+    assert not sink.table_exists(spark, f"{state_plan.table_of(layout, 'monthly')}__delta")
