@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +15,18 @@ from tallyhouse.operators.snapshots import (
     STRATEGIES,
     TABLE_STRATEGY,
     days_before,
+    in_month,
     latest_per_key,
     latest_snapshot,
     latest_version,
+    month_range,
     partition_drift,
     resolve_partition,
     stamp,
     window_by_dt,
 )
 from tallyhouse.sinks import tables as sink
-from tallyhouse.sinks.held import Held, dates_like, dates_of_keys, drop_described, holding_once, replace_and_describe
+from tallyhouse.sinks.held import Held, dates_like, dates_of_keys, drop_described, holding_once, replace_and_describe, rows_between
 
 
 # What the partitions of a cleaned fact are described by
@@ -34,6 +38,8 @@ ROW_KEYS = {
     "inventorytransactions": ("TransactionID",),
 }
 CHANGED = "UpdatedDate"
+# Keys that are sent to every task, at most: some 50 MB
+SENT_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -86,6 +92,22 @@ class Layout:
         dates = dates if dates is None else [d for d in dates if first <= d <= as_of]
         return self.newest(window_by_dt(fact, as_of, self.window_days), table, dates)
 
+    def recent_in_month(self, spark: SparkSession, table: str, as_of: str, month: str) -> DataFrame:
+        """The rows of ``recent`` that lie in a month, by order date.
+
+        Only orders of which some version lies in the month are compared, all versions of these; if the descriptions
+        of the loads say that they are few, their keys go to the rows.  Other rows are not moved then.
+        """
+        dates, first = sink.list_partitions(spark, table), days_before(as_of, self.window_days)
+        dates = [d for d in dates or [] if first <= d <= as_of]
+        held = None if self.snapshots or len(dates) < 2 else rows_between(spark, table, dates, *month_range(month))
+        if held is None or held > SENT_KEYS:
+            return in_month(self.recent(spark, table, as_of), month)
+        rows, keys = window_by_dt(spark.table(table), as_of, self.window_days), self.keys_of(table)
+        some = in_month(rows, month).select(*(F.col(k).alias(f"__{k}") for k in keys))
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+        return in_month(self.newest(rows.join(F.broadcast(some), same, "left_semi"), table, dates), month)
+
     def of_changed_days(self, spark: SparkSession, table: str, as_of: str) -> DataFrame:
         """The rows of every order date the load of a date brings, each order or line once.
 
@@ -242,13 +264,14 @@ def build_dws_orders(spark: SparkSession, as_of: str, layout: Layout) -> list[st
     """A1 - A3 for a date; returns the tables that got rows."""
     table = f"{layout.dwd}.dwd_orders"
     recent, changed = layout.recent(spark, table, as_of), layout.of_changed_days(spark, table, as_of)
+    of_month = layout.recent_in_month(spark, table, as_of, as_of[:7])
     return _write(
         spark,
         layout,
         as_of,
         {
             "dws_orders_daily_summary": lambda: summaries.orders_daily_summary(changed),
-            "dws_orders_monthly_summary": lambda: summaries.orders_monthly_summary(recent, as_of[:7]),
+            "dws_orders_monthly_summary": lambda: summaries.orders_monthly_summary(of_month, as_of[:7]),
             "dws_customer_analytics": lambda: summaries.customer_analytics(recent, as_of),
         },
     )

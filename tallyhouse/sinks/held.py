@@ -100,6 +100,16 @@ def dates_like(spark: SparkSession, name: str, as_of: str, part_col: str = "dt")
     return days, _chosen(spark, name, as_of, known, (r[0] for r in hit.select(part_col).distinct().collect()), part_col)
 
 
+def rows_between(spark: SparkSession, name: str, dates: Iterable[str], first: str, after: str, part_col: str = "dt") -> int | None:
+    """The rows of some partitions from a day up to another one, which is left out; None if a partition is not described."""
+    table, known = described(spark, name, part_col)
+    if table is None or not set(dates) <= known:
+        return None
+    day = F.col("day")
+    near = table.filter(F.col(part_col).isin(list(dates)) & (day >= F.lit(first).cast("date")) & (day < F.lit(after).cast("date")))
+    return near.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def dates_of_keys(spark: SparkSession, name: str, keys: DataFrame, upto: str, part_col: str = "dt", cells: int = CELLS) -> list[str]:
     """The partitions up to a date whose range of keys holds a key of the column ``keys``, told apart by ``cells`` parts
     of the range of all keys: never one too few."""

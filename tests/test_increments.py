@@ -483,6 +483,36 @@ def test_versions_of_loads_that_hold_a_key_once_move_only_the_columns_read(spark
     assert layout.of_changed_days(spark, table, "2001-08-01").groupBy("OrderID").count().filter("count > 1").isEmpty()
 
 
+def test_a_month_of_recent_rows_moves_only_its_orders(spark, layout, monkeypatch):
+    """A month is that of the newest version; of other orders no row is moved, and without descriptions nothing changes."""
+    name, of = f"{layout.dwd}.dwd_orders", warehouse.held_of(layout, "orders")
+    sink.ensure_database(spark, layout.dwd)
+    kinds = "OrderID long, OrderDate date, UpdatedDate date, TotalAmount int, dt string"
+    day = lambda text: text and datetime.fromisoformat(text).date()
+    first = [(i, "2001-06-10", "2001-06-10", i) for i in range(100, 200)]
+    first += [(1, "2001-07-02", "2001-07-02", 1), (2, "2001-07-03", "2001-07-03", 2), (3, "2001-06-30", "2001-06-30", 3)]
+    first += [(4, "2001-07-31", "2001-08-05", 4), (5, None, "2001-07-01", 5), (None, "2001-07-04", "2001-07-04", 6)]
+    second = [(1, "2001-07-02", "2001-07-09", 10), (2, "2001-06-01", "2001-07-09", 20), (3, "2001-07-01", None, 30), (4, "2001-07-31", "2001-07-31", 40)]
+    second += [(6, "2001-08-01", "2001-08-01", 60), (None, "2001-06-04", "2001-07-09", 70)]
+    for dt, rows in (("2001-07-30", first), ("2001-07-31", second)):
+        held.replace_and_describe(spark.createDataFrame([(k, day(o), day(u), v, dt) for k, o, u, v in rows], kinds), name, of)
+    month = lambda: layout.recent_in_month(spark, name, "2001-07-31", "2001-07")
+    told = lambda rows: sorted(((r["OrderID"], r["TotalAmount"]) for r in rows.collect()), key=repr)
+    assert told(month()) == [(1, 10), (4, 4)]
+    assert held.rows_between(spark, name, ["2001-07-30", "2001-07-31"], "2001-07-01", "2001-08-01") == 7
+    plan = month()._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Window") < plan.index("LeftSemi")  # orders of other months leave below the window
+    monkeypatch.setattr(warehouse, "SENT_KEYS", 0)
+    assert told(month()) == [(1, 10), (4, 4)]
+    monkeypatch.undo()
+    again = spark.createDataFrame([(1, day("2001-07-02"), day("2001-07-10"), v, "2001-07-31") for v in (7, 8)], kinds)
+    held.replace_and_describe(again, name, of)  # a load that holds a key twice
+    want = told(layout.recent(spark, name, "2001-07-31").filter("OrderDate between '2001-07-01' and '2001-07-31'"))
+    assert told(month()) == want and (1, 8) in want
+    sink.drop_objects(spark, tables=[held.table_of(name)])
+    assert told(month()) == want
+
+
 def test_descriptions_without_uniqueness_are_brought_up_to_date(spark, db):
     rows, name, of = spark.range(4).select("id", F.lit("1990-01-01").cast("date").alias("day"), F.lit("d1").alias("dt")), f"{db}.t", held.Held("day", "id")
     held.replace_and_describe(rows, name, of)
