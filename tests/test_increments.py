@@ -1,6 +1,7 @@
 """Increments: verified writes, buckets, described partitions, closed intervals, resumed runs, states, ranges of dates, reports."""
 
 import re
+import threading
 import uuid
 from dataclasses import replace
 from datetime import datetime
@@ -8,6 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameWriter
 
 from registry import jobs
 from registry.adapters import business_table
@@ -553,3 +555,36 @@ def test_the_first_states_are_stored_once(spark, layout, monkeypatch):
     merged = state_plan.monthly_summary(spark, "2001-07-31", layout)
     assert merged.agg(F.sum("total_orders")).first()[0] == orders.filter("OrderDate <= '2001-07-31' OR OrderDate IS NULL").count()
     assert not sink.table_exists(spark, f"{state_plan.table_of(layout, 'monthly')}__delta")
+
+
+# ------------------------------------------------------------ cost of verified writes
+def test_rows_of_a_few_dates_are_not_sorted_to_be_written(spark, db, monkeypatch):
+    seen = []
+    for path in ("saveAsTable", "insertInto"):
+        plain = getattr(DataFrameWriter, path)
+        monkeypatch.setattr(DataFrameWriter, path, lambda self, name, plain=plain, **more: seen.append(spark.conf.get(sink.OPEN_FILES)) or plain(self, name, **more))
+    before, name, many = spark.conf.get(sink.OPEN_FILES), f"{db}.t", 3 * sink.MOST_OPEN
+    rows = spark.range(0, 5 * many, 1, 1).selectExpr("id", f"cast(id % {many} as string) AS dt")  # more dates in a task than are kept open
+    for _ in range(2):
+        done = sink.replace_partitions(rows, name).require_complete()
+        assert done.partitions == {str(i): 5 for i in range(many)} and rows.exceptAll(spark.table(name)).isEmpty()
+    assert seen == [str(sink.MOST_OPEN)] * 2 and spark.conf.get(sink.OPEN_FILES) == before
+    insert = f"EXPLAIN INSERT OVERWRITE {name} SELECT id, 'x' || id % 2 AS dt FROM range(9)"
+    with sink.unsorted_writes(spark):
+        assert "Sort" not in spark.sql(insert).first()[0]
+
+
+def test_hashes_add_up_exactly(spark):
+    hashes = [-(1 << 63), (1 << 63) - 1, (1 << 63) - 1, -1, 0, 1, -(1 << 42), (1 << 42) - 1, (1 << 21) - 1, -(1 << 63), 123456789012345678]
+    for some in (hashes, hashes[:1], []):
+        rows = spark.createDataFrame([(h,) for h in some], "h long")
+        assert int(rows.agg(sink.sum_of_hashes(F.col("h"))).first()[0]) == sum(some)
+
+
+def test_summaries_of_a_date_are_written_side_by_side(spark, layout, monkeypatch):
+    met, plain = threading.Barrier(3, timeout=60), sink.replace_partitions
+    monkeypatch.setattr(sink, "replace_partitions", lambda *rows, **named: met.wait() + 1 and plain(*rows, **named))
+    some = spark.range(3)
+    made = {"dws_a": lambda: some, "dws_none": lambda: some.limit(0), "dws_b": lambda: some}
+    assert warehouse._write(spark, layout, "2001-07-30", made) == ["dws_a", "dws_b"]
+    assert spark.table(f"{layout.dws}.dws_b").count() == 3
